@@ -5,12 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.llm import people
 from gridloom.llm import survivors as sv
 from gridloom.llm.text_forms import canonical_sql, with_canonical
 from gridloom.llm.top_n import top_n
 from gridloom.session import load
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of rows that mean the same player under different spellings, on depth charts and among match rows."""
+    charts = people.chart_pairs(load(spark, sf_dir, "ourlads_players")).withColumn("tbl", F.lit("ourlads_players"))
+    matches = people.match_pairs(load(spark, sf_dir, "player_match")).withColumn("tbl", F.lit("player_match"))
+    return charts.unionByName(matches).select("tbl", "row_id_a", "row_id_b")
+
+
 def p4_top_five(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
     """The five best cards of every position label in every rating iteration, with rank and score."""
     cards = load(spark, sf_dir, "madden_ratings")
@@ -67,6 +75,7 @@ def p6_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p1_found": p1_found,
     "p4_found": p4_found,
     "p4_top_five": p4_top_five,
     "p5_found": p5_found,
