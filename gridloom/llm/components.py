@@ -20,11 +20,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = cut_lineage(both.unionByName(both.select(F.col("y").alias("x"), F.col("x").alias("y"))).where("x <> y").distinct())
     labels = cut_lineage(edges.groupBy("x").agg(F.least("x", F.min("y")).alias("label")))
     while True:
-        near = edges.join(labels.withColumnRenamed("x", "y"), "y").groupBy("x").agg(F.min("label").alias("seen"))
-        passed = labels.join(near, "x").select("x", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
+        near = edges.join(labels.withColumnRenamed("x", "y").hint("merge"), "y").groupBy("x").agg(F.min("label").alias("seen"))
+        passed = labels.join(near.hint("merge"), "x").select("x", F.col("label").alias("old"), F.least("label", "seen").alias("label"))
         jump = labels.select(F.col("x").alias("j"), F.col("label").alias("jumped"))
         moved = cut_lineage(
-            passed.join(jump, F.col("label") == F.col("j")).select("x", "old", F.least("label", "jumped").alias("label"))
+            passed.join(jump.hint("merge"), F.col("label") == F.col("j")).select("x", "old", F.least("label", "jumped").alias("label"))
         )
         done = moved.where("label <> old").limit(1).count() == 0
         labels = moved.drop("old")

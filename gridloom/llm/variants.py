@@ -164,7 +164,7 @@ def spelling_forms(rows: DataFrame, attributes: Sequence[Attribute]) -> DataFram
     """
     spelled = rows.where(F.col("name_key").isNotNull()).select("entity", "block", F.col("name_key").alias("plain")).distinct()
     values = rows.groupBy("entity").agg(*[F.sort_array(F.collect_set(t.name)).alias(t.name) for t in attributes])
-    return spelled.join(values, "entity").withColumn("form", F.xxhash64("entity", "plain"))
+    return spelled.join(values.hint("merge"), "entity").withColumn("form", F.xxhash64("entity", "plain"))
 
 
 def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], others_initial: bool = True) -> DataFrame:
@@ -174,7 +174,8 @@ def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], others_in
     left = entries.select("entry", *[F.col(c).alias(f"a_{c}") for c in carried])
     right = entries.select(F.col("entry").alias("b_entry"), *[F.col(c).alias(f"b_{c}") for c in carried])
     allowed = (F.col("a_form") < F.col("b_form")) & compatible(attributes, "a_", "b_")
-    return left.join(right, (F.col("entry") == F.col("b_entry")) & allowed).select(F.col("a_form").alias("a"), F.col("b_form").alias("b")).distinct()
+    # exploded sides outgrow their estimate: never let the planner broadcast one
+    return left.join(right.hint("merge"), (F.col("entry") == F.col("b_entry")) & allowed).select(F.col("a_form").alias("a"), F.col("b_form").alias("b")).distinct()
 
 
 def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: float):
@@ -215,7 +216,7 @@ def link_forms(
     carried = ["entity", "plain", *[t.name for t in attributes]]
     left = forms.select(F.col("form").alias("a"), *[F.col(c).alias(f"a_{c}") for c in carried])
     right = forms.select(F.col("form").alias("b"), *[F.col(c).alias(f"b_{c}") for c in carried])
-    joined = pairs.join(left, "a").join(right, "b")
+    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     return joined.mapInPandas(_scorer(attributes, threshold, other_evidence), "a long, b long, a_entity long, b_entity long, score double")
 
 
@@ -227,7 +228,7 @@ def variant_groups(
     links = link_forms(forms, attributes, threshold, other_evidence, others_initial)
     grouped = components(links.where("a_entity <> b_entity"), "a_entity", "b_entity")
     values = forms.select("entity", *[t.name for t in attributes]).dropDuplicates(["entity"])
-    return grouped.join(values, grouped["node"] == values["entity"]).select(
+    return grouped.join(values.hint("merge"), grouped["node"] == values["entity"]).select(
         "entity", F.col("component").alias("group"), *[t.name for t in attributes]
     )
 
@@ -239,7 +240,7 @@ def variant_row_pairs(rows: DataFrame, groups: DataFrame, attributes: Sequence[A
     one entity as well; else only rows of different entities are paired.
     """
     grouped = groups.select(F.col("entity").alias("g_entity"), "group", *[t.name for t in attributes])
-    members = rows.select("row", "spelling", "entity").join(grouped, F.col("entity") == F.col("g_entity"), "left" if within_entity else "inner")
+    members = rows.select("row", "spelling", "entity").join(grouped.hint("merge"), F.col("entity") == F.col("g_entity"), "left" if within_entity else "inner")
     members = members.withColumn("group", F.coalesce("group", "entity"))
     for t in attributes:
         members = members.withColumn(t.name, F.coalesce(t.name, F.array().cast("array<int>")))
@@ -249,4 +250,4 @@ def variant_row_pairs(rows: DataFrame, groups: DataFrame, attributes: Sequence[A
     same_entity = F.col("a_entity") == F.col("b_entity")
     differ = (F.col("a_group") == F.col("b_group")) & (F.col("a_row") < F.col("b_row")) & (F.col("a_spelling") != F.col("b_spelling"))
     allowed = (same_entity | compatible(attributes, "a_", "b_")) if within_entity else (~same_entity & compatible(attributes, "a_", "b_"))
-    return left.join(right, differ & allowed).select(F.col("a_row").alias("row_id_a"), F.col("b_row").alias("row_id_b")).distinct()
+    return left.join(right.hint("merge"), differ & allowed).select(F.col("a_row").alias("row_id_a"), F.col("b_row").alias("row_id_b")).distinct()
