@@ -3,7 +3,7 @@
 1. Rows are reduced to forms: one per entity and name key (tokens without order,
    case and accents), with the values that the entity's rows give for each attribute.
 2. A symmetric-delete neighbourhood index finds forms with a token in common up
-   to an edit: each token is stored under itself and every string left after
+   to an edit: each token, as it sounds, is stored under itself and every string left after
    one deletion, with the first or last letter of another token of the name, so that a
    common first name alone never forms a bucket. Forms that contradict each
    other in an attribute are not paired.
@@ -122,9 +122,9 @@ def _indexer(others_initial: bool):
 
         def of(token: str) -> tuple[set[str], set[str]]:
             if token not in cache:
-                if len(cache) > 200_000:
+                if len(cache) > 20_000:  # a cache only: what it forgets is computed again
                     cache.clear()
-                cache[token] = (nm.deletes(token) | nm.deletes(nm.sound(token)), nm.handles(token))
+                cache[token] = (nm.deletes(nm.sound(token)), nm.handles(token))
             return cache[token]
 
         out = []
@@ -169,13 +169,12 @@ def spelling_forms(rows: DataFrame, attributes: Sequence[Attribute]) -> DataFram
 
 def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], others_initial: bool = True) -> DataFrame:
     """(a, b): forms of different spelling under a common index entry that don't contradict each other."""
-    carried = ["form", "entity", "plain", *[t.name for t in attributes]]
+    carried = ["form", *[t.name for t in attributes]]
     entries = forms.withColumn("entry", F.explode(_indexer(others_initial)("block", "plain"))).select("entry", *carried)
-    left = entries.select("entry", *[F.col(c).alias(f"a_{c}") for c in carried])
-    right = entries.select(F.col("entry").alias("b_entry"), *[F.col(c).alias(f"b_{c}") for c in carried])
-    allowed = (F.col("a_form") < F.col("b_form")) & compatible(attributes, "a_", "b_")
-    # exploded sides outgrow their estimate: never let the planner broadcast one
-    return left.join(right.hint("merge"), (F.col("entry") == F.col("b_entry")) & allowed).select(F.col("a_form").alias("a"), F.col("b_form").alias("b")).distinct()
+    # both sides are one exchange; exploded sides outgrow their estimate, so the planner may not broadcast one
+    l, r = entries.alias("l"), entries.alias("r").hint("merge")
+    allowed = (F.col("l.form") < F.col("r.form")) & compatible(attributes, "l.", "r.")
+    return l.join(r, (F.col("l.entry") == F.col("r.entry")) & allowed).select(F.col("l.form").alias("a"), F.col("r.form").alias("b")).distinct()
 
 
 def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: float):
@@ -184,7 +183,7 @@ def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: f
 
         def of(name: str) -> tuple[tuple[str, ...], str]:
             if name not in cache:
-                if len(cache) > 200_000:
+                if len(cache) > 20_000:
                     cache.clear()
                 cache[name] = nm.tokens(name)
             return cache[name]
