@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import people
 from gridloom.llm import survivors as sv
+from gridloom.llm.matching import match_rosters
 from gridloom.llm.text_forms import canonical_sql, with_canonical
 from gridloom.llm.top_n import top_n
 from gridloom.session import load
@@ -19,6 +20,17 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charts.unionByName(matches).select("tbl", "row_id_a", "row_id_b")
 
 
+def p2_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each match row without an id with the roster id of its player and the confidence of the match."""
+    unresolved = load(spark, sf_dir, "player_match").where(F.col("gsis_id").isNull())
+    return match_rosters(unresolved, load(spark, sf_dir, "nflreadpy_rosters"))
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each match row without an id with the roster id of its player."""
+    return p2_matches(spark, sf_dir).select("row_id", "gsis_id")
+
+
 def p4_top_five(spark: SparkSession, sf_dir: str, n: int = 5) -> DataFrame:
     """The five best cards of every position label in every rating iteration, with rank and score."""
     cards = load(spark, sf_dir, "madden_ratings")
@@ -76,6 +88,8 @@ def p6_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "p1_found": p1_found,
+    "p2_found": p2_found,
+    "p2_matches": p2_matches,
     "p4_found": p4_found,
     "p4_top_five": p4_top_five,
     "p5_found": p5_found,
