@@ -10,6 +10,7 @@ from gridloom.llm import survivors as sv
 from gridloom.llm.matching import match_rosters
 from gridloom.llm.text_forms import canonical_sql, with_canonical
 from gridloom.llm.top_n import top_n
+from gridloom.llm.truncation import judged_documents, truncation_rates
 from gridloom.session import load
 
 
@@ -86,6 +87,16 @@ def p6_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.fuse(rows, "player_key", MATCH_FIELDS, source, "inj_section", "loaded_at", "row_id")
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents cut off before the end of what the author wrote."""
+    return judged_documents(load(spark, sf_dir, "documents"), "doc_id", "text", "source").where("cut").select(F.col("doc").alias("doc_id"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts its texts off."""
+    return truncation_rates(load(spark, sf_dir, "documents"), "doc_id", "text", "source")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p2_found": p2_found,
@@ -96,6 +107,8 @@ QUERIES = {
     "p5_forms": p5_forms,
     "p6_found": p6_found,
     "p6_fused": p6_fused,
+    "p10_found": p10_found,
+    "p10_rates": p10_rates,
 }
 
 _TOP = """
