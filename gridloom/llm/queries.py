@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from gridloom.llm import people
 from gridloom.llm import survivors as sv
 from gridloom.llm.matching import match_rosters
+from gridloom.llm.mixing import mix_documents, mix_plan, mix_shares, sized_documents
+from gridloom.llm.packing import fill_report, pack_items
 from gridloom.llm.text_forms import canonical_sql, with_canonical
+from gridloom.llm.tokens import token_sizes
 from gridloom.llm.top_n import top_n
 from gridloom.llm.truncation import judged_documents, truncation_rates
 from gridloom.session import load
@@ -87,6 +90,35 @@ def p6_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sv.fuse(rows, "player_key", MATCH_FIELDS, source, "inj_section", "loaded_at", "row_id")
 
 
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The container of every document, or piece of one, for each kind of container."""
+    sizes = token_sizes(load(spark, sf_dir, "documents"), "text", ["doc_id"])
+    # the kinds of container are a parameter: a fixed table of a few rows
+    packs = [(row["pack_name"], row["capacity_tokens"]) for row in load(spark, sf_dir, "pack_sizes").collect()]
+    return pack_items(sizes, packs, "doc_id", "n_tokens")
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers are."""
+    return fill_report(p8_containers(spark, sf_dir))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    sized = sized_documents(load(spark, sf_dir, "documents"), "doc_id", "text", "source")
+    plan = mix_plan(sized, load(spark, sf_dir, "mix_targets"))
+    return mix_documents(sized, plan), plan
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of every mix with their repeats."""
+    return _mix(spark, sf_dir)[0].withColumnRenamed("doc", "doc_id")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of every source in every mix."""
+    return mix_shares(*_mix(spark, sf_dir))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut off before the end of what the author wrote."""
     return judged_documents(load(spark, sf_dir, "documents"), "doc_id", "text", "source").where("cut").select(F.col("doc").alias("doc_id"))
@@ -107,6 +139,10 @@ QUERIES = {
     "p5_forms": p5_forms,
     "p6_found": p6_found,
     "p6_fused": p6_fused,
+    "p8_containers": p8_containers,
+    "p8_fill": p8_fill,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_rates": p10_rates,
 }
