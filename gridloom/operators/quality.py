@@ -82,5 +82,5 @@ def match_share(df: DataFrame, matched: Column) -> DataFrame:
 def source_tally(df: DataFrame, source: str, unmatched: str = "unmatched") -> DataFrame:
     """(source, rows, share): histogram of provenance."""
     counted = df.groupBy(F.coalesce(F.col(source), F.lit(unmatched)).alias(source)).agg(F.count(F.lit(1)).alias("rows"))
-    total = df.agg(F.count(F.lit(1)).alias("_total"))  # one row
-    return counted.join(F.broadcast(total)).select(source, "rows", (F.col("rows") / F.col("_total")).alias("share"))
+    total = F.sum("rows").over(Window.partitionBy(F.lit(0)))  # over the histogram: one row per source
+    return counted.select(source, "rows", (F.col("rows") / total).alias("share"))
