@@ -71,7 +71,7 @@ def mix_documents(sized: DataFrame, plan: DataFrame, seed: int = 11) -> DataFram
     """(mix_name, source, doc, n_tokens, repeats): the documents of every mix and how often each is repeated."""
     bins = max(LEAST_BINS, sized.count() // BIN_ROWS + 1)
     kept = bounded_broadcast(plan.select("mix_name", "source", "epochs", "rest").where("epochs > 0 OR rest > 0"))
-    rows = sized.join(kept, "source")
+    rows = sized.select("doc", "source", "weight", "n_tokens", "number").join(kept, "source")
     # uniform in (0, 1) from the document, the mix and the seed: the same in every attempt of a task
     uniform = (F.pmod(F.xxhash64("number", "doc", "mix_name", F.lit(seed)), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     rows = rows.withColumn("key", -F.log(uniform) / F.col("weight"))

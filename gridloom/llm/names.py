@@ -149,9 +149,17 @@ def token_kind(a: str, b: str) -> str | None:
     return None
 
 
-def _assign(a: tuple[str, ...], b: tuple[str, ...], others: int) -> tuple[float, dict[str, int]] | None:
-    """Optimal assignment for ``len(a) <= len(b)``; up to ``others`` pairs may disagree altogether."""
-    kinds = [[token_kind(x, y) for y in b] for x in a]
+def _assign(a: tuple[str, ...], b: tuple[str, ...], others: int, joined: str = "") -> tuple[float, dict[str, int]] | None:
+    """Optimal assignment for ``len(a) <= len(b)``; up to ``others`` pairs may disagree altogether.
+
+    ``joined`` is a token made of two: it must agree as a whole, not in a part.
+    """
+
+    def kind_of(x: str, y: str) -> str | None:
+        kind = token_kind(x, y)
+        return None if joined and joined in (x, y) and kind in ("short", "initial") else kind
+
+    kinds = [[kind_of(x, y) for y in b] for x in a]
     best: tuple[float, dict[str, int]] | None = None
     spare = [-1] * sum(len(x) == 1 for x in a)  # single letters may stay without a partner
     for chosen in set(itertools.permutations([*range(len(b)), *spare], len(a))):
@@ -198,7 +206,7 @@ def align(a: tuple[str, ...], b: tuple[str, ...], others: int = 0) -> tuple[floa
     if best is None and len(b) > 1:
         for i in range(len(b) - 1):
             joined = (*b[:i], b[i] + b[i + 1], *b[i + 2 :])
-            found = _assign(*sorted((a, joined), key=len), others)
+            found = _assign(*sorted((a, joined), key=len), others, b[i] + b[i + 1])
             if found and (best is None or found[0] > best[0]):
                 best = found
     return best

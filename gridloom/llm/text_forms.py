@@ -101,7 +101,7 @@ def canonical_sql(source: str, column: str) -> str:
     other = r"[^\p{Latin}\P{L}]"  # a letter outside the Latin script
     return f"""
     WITH plain AS (
-      SELECT *, {column} AS s, {column} IS NOT NULL AND regexp_matches({column}, '[^ -_a-~À-ÖØ-öø-ž]') AS odd
+      SELECT *, {column} AS s, {column} IS NOT NULL AND regexp_matches({column}, '[^ -_a-~À-ÖØ-öø-ıĴ-ľŁ-ňŊ-ž]') AS odd
       FROM {source}),
     folded AS (
       SELECT * EXCLUDE (s), CASE WHEN odd THEN regexp_replace({_translated('s', one)}, '{INVISIBLE}', '', 'g') ELSE s END AS x

@@ -18,7 +18,7 @@ Defined results
 ---------------
 * A null text has no ending and is never found; an empty or blank one neither.
 * A body that ends in a sentence mark (also inside closing quotes or brackets)
-  is complete unless a cut mark follows it.
+  is complete unless a cut mark follows it, or white space at a significant length.
 * A null source is a source of its own; repeated texts count each time.
 * An empty table gives no documents. Other columns take no part.
 """
@@ -173,7 +173,8 @@ def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             marked_body, body, mark = body_of(text)
             sizes = [len(text), len(text.encode("utf-8", "replace")), len(marked_body), len(marked_body.encode("utf-8", "replace")), len(body), len(body.encode("utf-8", "replace"))]
             if mark == "" and _WHOLE.search(body):
-                kind, found = "whole", []
+                # white space left behind a sentence, which a limit leaves as well
+                kind, found = ("spaced" if text[-1].isspace() else "whole"), []
             elif _OPEN.search(body) or not body:
                 kind, found = "open", []
             else:
@@ -290,7 +291,7 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     doubtful = limit & (count("trusted_tokens") <= 1)  # the word alone says little where a cut is likely
     below = F.when(limit, INCOMPLETE_AT_LIMIT).otherwise(INCOMPLETE_ELSEWHERE)
     words = broken_word | doubtful | (known_share < below) | (exact & ((F.col("mark") == "") | (known_share < 0.95)))
-    cut = (F.col("mark") == "cut") | (F.col("kind") == "open") | ((F.col("kind") == "words") & words)
+    cut = (F.col("mark") == "cut") | (F.col("kind") == "open") | ((F.col("kind") == "spaced") & exact) | ((F.col("kind") == "words") & words)
     return joined.select("doc", "source", limit.alias("at_limit"), exact.alias("exact_limit"), "mark", "kind", "share", cut.alias("cut"))
 
 
