@@ -169,3 +169,34 @@ def season_pivot(df: DataFrame, keys: Sequence[str], index: str, values: Sequenc
     """Values at index 0 as they are and at index 1 as ``prev_VALUE``, one row per key."""
     at = lambda i, v: F.max(F.when(F.col(index) == i, F.col(v)))
     return df.groupBy(*keys).agg(*[at(0, v).alias(v) for v in values], *[at(1, v).alias(f"prev_{v}") for v in values])
+
+
+def season_totals(df: DataFrame, key: str, sums: Sequence[str], first: Sequence[str], last: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per known key: sums with null as 0, attributes of its first row and of its last row in order."""
+    at = F.struct(*order)
+    return df.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums],
+        *[F.min_by(c, at).alias(c) for c in first],
+        *[F.max_by(c, at).alias(c) for c in last],
+    )
+
+
+def total_and_length(df: DataFrame, values: str, total: str, length: str) -> DataFrame:
+    """Adds the sum and the number of an array's values."""
+    summed = F.aggregate(F.transform(values, lambda x: x.cast("double")), F.lit(0.0), lambda a, x: a + F.coalesce(x, F.lit(0.0)))
+    return df.withColumn(total, summed).withColumn(length, F.size(values))
+
+
+def remap_keys(column: str, names: dict[str, str]) -> Column:
+    """Map with its keys renamed (as they are, else in upper case, else kept); a later entry of the same name wins."""
+    table = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    renamed = lambda k: F.coalesce(F.try_element_at(table, k), F.try_element_at(table, F.upper(k)), k)
+    entries = F.transform(F.map_entries(column), lambda e: F.struct(renamed(e["key"]).alias("key"), e["value"].alias("value")))
+    keys = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+    last = lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"]
+    return F.map_from_arrays(keys, F.transform(keys, last))
+
+
+def without_zeros(column: str) -> Column:
+    """Map without entries that are null or zero."""
+    return F.map_filter(column, lambda _, v: v.isNotNull() & (v != "0") & (v != "0.0"))
