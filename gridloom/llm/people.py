@@ -61,6 +61,11 @@ def hashed(*columns: str) -> Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
 
 
+def entity_of(key: str, row: str) -> Column:
+    """Identity of a row's entity; a row without a key stands for itself."""
+    return F.when(F.col(key).isNotNull(), hashed(key)).otherwise(F.xxhash64(F.lit("row"), F.col(row)))
+
+
 def chart_pairs(charts: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): rows of one chart that mean the same player under different spellings.
 
@@ -84,7 +89,7 @@ def match_rows(matches: DataFrame) -> DataFrame:
         ),
         "spelling",
     )
-    return cut_lineage(keyed.withColumn("entity", hashed("player_key")))
+    return cut_lineage(keyed.withColumn("entity", entity_of("player_key", "row")))
 
 
 def match_pairs(matches: DataFrame) -> DataFrame:

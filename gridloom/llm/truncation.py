@@ -19,7 +19,8 @@ Defined results
 * A null text has no ending and is never found; an empty or blank one neither.
 * A body that ends in a sentence mark (also inside closing quotes or brackets)
   is complete unless a cut mark follows it, or white space at a significant length.
-* A null source is a source of its own; repeated texts count each time.
+* A null source is a source of its own; repeated texts count each time and
+  identifiers may be null or repeat.
 * An empty table gives no documents. Other columns take no part.
 """
 
@@ -249,10 +250,10 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     """
     named = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).alias("text"))
     id_type = dict(named.dtypes)["doc"]
-    ends = cut_lineage(named.mapInPandas(_endings, f"doc {id_type}, source string, sizes array<int>, mark string, kind string, lower boolean, contexts array<long>"))
+    ends = cut_lineage(named.mapInPandas(_endings, f"doc {id_type}, source string, sizes array<int>, mark string, kind string, lower boolean, contexts array<long>").withColumn("n", F.monotonically_increasing_id()))
     unmarked = (F.col("mark") == "") & (F.col("kind") == "whole")
-    measured = ends.select("source", "doc", (~unmarked).alias("open"), F.posexplode("sizes").alias("measure", "length"))
-    limits = cut_lineage(significant_lengths(measured.drop("doc")))
+    measured = ends.select("source", "n", (~unmarked).alias("open"), F.posexplode("sizes").alias("measure", "length"))
+    limits = cut_lineage(significant_lengths(measured.drop("n")))
 
     # candidates at a limit, or short of it by less than a word
     reached = limits.select(
@@ -261,28 +262,28 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     at_limit = (
         measured.where("open")
         .join(reached.hint("merge"), ["source", "measure", "length"])
-        .groupBy("doc")
+        .groupBy("n")
         .agg(F.max((F.col("length") == F.col("limit")) & (F.col("open_share") >= 0.5)).alias("exact"))
     )
 
     counted = named.select("text").mapInPandas(_count_contexts, "context long, seen long, ended long, closing long")
     statistics = counted.groupBy("context").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"), F.sum("closing").alias("closing"))
-    wanted = ends.where(F.size("contexts") > 0).select("doc", F.posexplode("contexts").alias("k", "context"))
+    wanted = ends.where(F.size("contexts") > 0).select("n", F.posexplode("contexts").alias("k", "context"))
     count = lambda c: F.coalesce(F.col(c), F.lit(0))
-    looked_up = wanted.join(statistics.hint("merge"), "context", "left").select("doc", "k", count("seen").alias("seen"), count("ended").alias("ended"), count("closing").alias("closing"))
+    looked_up = wanted.join(statistics.hint("merge"), "context", "left").select("n", "k", count("seen").alias("seen"), count("ended").alias("ended"), count("closing").alias("closing"))
     # endings on purpose close text after text: they count as ends, but for the text's own
     others = F.greatest(F.col("closing") - 1, F.lit(0))
     trusted = (F.col("k") < CONTEXT) & ((F.col("seen") >= LEAST_SEEN) | (others >= LEAST_SEEN))
     share = F.when(trusted, (F.col("ended") + others) / (F.col("seen") + others))
     of_k = lambda k, c: F.max(F.when(F.col("k") == k, c))
-    judged = looked_up.groupBy("doc").agg(
+    judged = looked_up.groupBy("n").agg(
         F.max_by(share, F.when(trusted, F.col("k"))).alias("share"),
         F.max(F.when(trusted, F.col("k") + 1)).alias("trusted_tokens"),
         of_k(0, F.col("seen") + others).alias("word_seen"),
         of_k(CONTEXT, F.col("seen")).alias("raw_seen"),
         of_k(CONTEXT + 1, F.col("seen")).alias("longer_seen"),
     )
-    joined = ends.drop("sizes", "contexts").join(at_limit.hint("merge"), "doc", "left").join(judged.hint("merge"), "doc", "left")
+    joined = ends.drop("sizes", "contexts").join(at_limit.hint("merge"), "n", "left").join(judged.hint("merge"), "n", "left")
     limit, exact = F.col("exact").isNotNull(), count_false(F.col("exact"))
     broken_word = (F.col("lower") & (count("word_seen") < LEAST_SEEN)) | (
         (count("raw_seen") < LEAST_SEEN) & (count("longer_seen") >= LEAST_LONGER)

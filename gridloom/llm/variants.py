@@ -18,6 +18,7 @@ Defined results
 * A null or empty name has no tokens and no links.
 * Attributes that are null on one side weigh nothing.
 * Repeated rows share a form and link like any other row of the form.
+* A row without an entity key is an entity of its own.
 * Empty tables give no pairs; columns that are not named take no part.
 * Very long names (over six tokens) link only to the same tokens in any order.
 """
@@ -237,16 +238,24 @@ def variant_row_pairs(rows: DataFrame, groups: DataFrame, attributes: Sequence[A
 
     ``rows`` has row, spelling and entity. ``within_entity`` pairs the rows of
     one entity as well; else only rows of different entities are paired.
+    Spellings are paired before rows are: rows that repeat a spelling, however
+    many, meet nothing but rows of another spelling, which is the result.
     """
     grouped = groups.select(F.col("entity").alias("g_entity"), "group", *[t.name for t in attributes])
-    members = rows.select("row", "spelling", "entity").join(grouped.hint("merge"), F.col("entity") == F.col("g_entity"), "left" if within_entity else "inner")
+    typed = rows.where(F.col("spelling").isNotNull()).select("entity", "spelling").distinct()
+    members = typed.join(grouped.hint("merge"), F.col("entity") == F.col("g_entity"), "left" if within_entity else "inner")
     members = members.withColumn("group", F.coalesce("group", "entity"))
     for t in attributes:
         members = members.withColumn(t.name, F.coalesce(t.name, F.array().cast("array<int>")))
-    carried = ("row", "spelling", "entity", "group", *[t.name for t in attributes])
-    left = members.select(*[F.col(c).alias(f"a_{c}") for c in carried])
-    right = members.select(*[F.col(c).alias(f"b_{c}") for c in carried])
-    same_entity = F.col("a_entity") == F.col("b_entity")
-    differ = (F.col("a_group") == F.col("b_group")) & (F.col("a_row") < F.col("b_row")) & (F.col("a_spelling") != F.col("b_spelling"))
-    allowed = (same_entity | compatible(attributes, "a_", "b_")) if within_entity else (~same_entity & compatible(attributes, "a_", "b_"))
-    return left.join(right.hint("merge"), differ & allowed).select(F.col("a_row").alias("row_id_a"), F.col("b_row").alias("row_id_b")).distinct()
+    l, r = members.alias("l"), members.alias("r").hint("merge")
+    same_entity = F.col("l.entity") == F.col("r.entity")
+    differ = (F.col("l.group") == F.col("r.group")) & (F.col("l.spelling") < F.col("r.spelling"))
+    allowed = compatible(attributes, "l.", "r.")
+    allowed = (same_entity | allowed) if within_entity else (~same_entity & allowed)
+    pairs = l.join(r, differ & allowed).select(
+        F.col("l.entity").alias("le"), F.col("l.spelling").alias("ls"), F.col("r.entity").alias("re"), F.col("r.spelling").alias("rs")
+    )
+    left = rows.select(F.col("entity").alias("le"), F.col("spelling").alias("ls"), F.col("row").alias("x"))
+    right = rows.select(F.col("entity").alias("re"), F.col("spelling").alias("rs"), F.col("row").alias("y"))
+    found = pairs.join(left.hint("merge"), ["le", "ls"]).join(right.hint("merge"), ["re", "rs"]).where("x <> y")
+    return found.select(F.least("x", "y").alias("row_id_a"), F.greatest("x", "y").alias("row_id_b")).distinct()

@@ -111,9 +111,10 @@ def test_match_pairs(spark):
             (2, "a", "Leo Shanopdez", "QB", 7, None, None, None, None, "x"),  # the same key is no pair
             (3, "c", "Leonard Shanopdez", "QB", 8, None, "6-1", 200, 25, "x"),  # a namesake
             (4, None, None, None, None, None, None, None, None, "x"),
+            (6, None, "L Shanopdez", "QB", 7, None, "6-1", 200, None, "x"),  # without a key: an entity of its own
             (5, "d", "Le​onard Shanopdez", "QB", 7, None, "6-1", 200, None, "x"),
         ],
         MATCH,
     )
-    assert rows(people.match_pairs(data)) == [(0, 1), (0, 5), (1, 5), (2, 5)]
+    assert rows(people.match_pairs(data)) == [(0, 1), (0, 5), (0, 6), (1, 5), (1, 6), (2, 5), (2, 6), (5, 6)]
     assert people.match_pairs(data.where("row_id > 99")).count() == 0
