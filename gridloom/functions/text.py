@@ -202,3 +202,9 @@ def html_escaped(c: Column) -> Column:
 def https_only(url: Column) -> Column:
     """The address if it is https, else null."""
     return F.when(url.rlike("^https://"), url)
+
+
+def salary_text(total: Column, years: Column) -> Column:
+    """"$12.5M / 3yr" of a total in dollars and its years; null if either is null or zero."""
+    known = (F.coalesce(total, F.lit(0)) != 0) & (F.coalesce(years, F.lit(0)) != 0)
+    return F.when(known, F.concat(F.lit("$"), F.format_number(F.bround(total / 1_000_000, 1), 1), F.lit("M / "), years.cast("string"), F.lit("yr")))

@@ -84,3 +84,12 @@ def source_tally(df: DataFrame, source: str, unmatched: str = "unmatched") -> Da
     counted = df.groupBy(F.coalesce(F.col(source), F.lit(unmatched)).alias(source)).agg(F.count(F.lit(1)).alias("rows"))
     total = F.sum("rows").over(Window.partitionBy(F.lit(0)))  # over the histogram: one row per source
     return counted.select(source, "rows", (F.col("rows") / total).alias("share"))
+
+
+def carry_column(current: DataFrame, previous: DataFrame, key: str, column: str, source_present: bool) -> DataFrame:
+    """``current`` with a whole column taken from the last output while the column's own source is missing."""
+    if source_present:
+        return current
+    held = previous.select(key, F.col(column).alias("_held")).dropDuplicates([key])
+    joined = current.drop(column).join(held, key, "left")
+    return joined.withColumn(column, F.col("_held")).drop("_held")

@@ -152,3 +152,15 @@ def test_precedence_names_its_source(spark):
 @pytest.mark.parametrize("text", ["Łukasz Ødegård", "Zoë", "Noël", ""])
 def test_accents(spark, text):
     assert values(spark, [text], tx.fold_accents(X))[0] == {"Łukasz Ødegård": "Łukasz Ødegard", "Zoë": "Zoe", "Noël": "Noel", "": ""}[text]
+
+
+def test_zero_is_missing_in_salary_texts(spark):
+    df = spark.createDataFrame([(12_450_000, 3), (0, 3), (None, 3), (5_000_000, 0)], "t long, y int")
+    assert [r[0] for r in df.select(tx.salary_text(F.col("t"), F.col("y"))).collect()] == ["$12.4M / 3yr", None, None, None]
+
+
+def test_prorating_and_groups(spark):
+    assert values(spark, [4, 1, 9], mx.prorated(F.lit(100.0), F.lit(4), X), "int") == [100.0, 25.0, 100.0]
+    groups = values(spark, ["OF", "SS", "??", None], cf.position_group(X, {"SS": "IF"}, ["OF"]))
+    assert [tuple(g) if g else None for g in groups] == [("OF", "defaulted"), ("IF", "mapped"), None, None]
+    assert values(spark, ["B", "D"], cf.scheme_slot(X, F.lit("one"), {"one": {"A": "a"}, "two": {"B": "b"}})) == ["b", None]

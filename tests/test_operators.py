@@ -115,3 +115,10 @@ def test_modes_and_factors(spark):
     assert rows(rel.modes(df, ["k"], "v")) == [("x", "a", 4, 1), ("y", "c", 1, 0)]
     ordered = spark.createDataFrame([("x", i) for i in range(6)], "k string, i int")
     assert [r[2] for r in rows(rel.diminishing(ordered, ["k"], ["i"], [1.0, 0.6, 0.35, 0.2], "f"))] == [1.0, 0.6, 0.35, 0.2, 0.2, 0.2]
+
+
+def test_columns_carried_while_their_source_is_missing(spark):
+    now = spark.createDataFrame([(1, None), (2, 5)], "k int, rating int")
+    old = spark.createDataFrame([(1, 70), (1, 70), (3, 80)], "k int, rating int")
+    assert rows(qg.carry_column(now, old, "k", "rating", False), "k", "rating") == [(1, 70), (2, None)]
+    assert rows(qg.carry_column(now, old, "k", "rating", True), "k", "rating") == [(1, None), (2, 5)]
