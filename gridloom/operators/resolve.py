@@ -63,9 +63,10 @@ def token_candidates(spine: DataFrame, spine_id: str, spine_tokens: str, cards:
     words = lambda df, key, tokens, out: df.select(*within, F.col(key).alias(out), F.col(tokens).alias(f"{out}_tokens"), F.explode(F.filter(F.array_distinct(F.col(tokens)), lambda t: F.length(t) >= least)).alias("word"))
     left, right = words(spine, spine_id, spine_tokens, "s"), words(cards, card_id, card_tokens, "c")
     joined = left.join(right.hint("merge"), [*within, "word"])
-    return joined.groupBy("s", "c").agg(
-        F.count(F.lit(1)).alias("shared"), F.first(F.array_sort("s_tokens") == F.array_sort("c_tokens")).alias("equal")
-    )
+    # a card may have several spellings: words are counted within one of them
+    spelled = joined.groupBy("s", "c", "s_tokens", "c_tokens").agg(F.count(F.lit(1)).alias("n"))
+    equal = F.array_sort("s_tokens") == F.array_sort("c_tokens")
+    return spelled.groupBy("s", "c").agg(F.max("n").alias("shared"), F.max(equal).alias("equal"))
 
 
 def unique_match(pairs: DataFrame, left: str, right: str) -> DataFrame:

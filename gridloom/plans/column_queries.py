@@ -228,7 +228,12 @@ def resolve_waterfall(spark: SparkSession, d: str) -> DataFrame:
     return rs.resolve_tiers(spine, cards, "gsis_id", tiers).select("row_id", "matched_id", "match_source")
 
 
-@query()
+_SET = "list_sort(list_distinct(list_filter(list_transform(" + _WORDS.format(x="coalesce({x}, '')") + ", lambda w: " + _sql_match_key("w", True) + "), lambda w: w <> '')))"
+
+
+@query(f"""WITH s AS (SELECT row_id, team, {_SET.replace('{x}', 'canonical_name')} AS w FROM player_match WHERE team IS NOT NULL), c AS (SELECT DISTINCT gsis_id, team, {_SET.replace('{x}', 'full_name')} AS w FROM nflreadpy_rosters),
+p AS (SELECT row_id, gsis_id FROM s JOIN c ON s.team = c.team AND len(list_filter(list_intersect(s.w, c.w), lambda x: length(x) >= 4)) >= 1 AND (len(list_filter(list_intersect(s.w, c.w), lambda x: length(x) >= 4)) >= 2 OR s.w = c.w))
+SELECT row_id, min(gsis_id) AS gsis_id FROM p GROUP BY 1 HAVING count(DISTINCT gsis_id) = 1""")
 def resolve_tokens(spark: SparkSession, d: str) -> DataFrame:
     """Match rows and rosters of one team that share two words, or all, and whose partner is unique."""
     spine = load(spark, d, "player_match").select("row_id", "team", tx.token_set(F.col("canonical_name")).alias("words")).where(F.col("team").isNotNull())

@@ -73,7 +73,15 @@ def resolve_any_key(spark: SparkSession, d: str) -> DataFrame:
     return lg.any_key_match(_spine(spark, d), _cards(spark, d), {}).select("sid", "card", "match_source")
 
 
-@query()
+_PLAIN = _KEY.replace("strip_accents(coalesce({x}, ''))", "coalesce({x}, '')")
+_PARTS = "list_filter(string_split(trim(regexp_replace({x}, '\\s+', ' ', 'g')), ' '), lambda t: replace(lower(t), '.', '') NOT IN ('jr', 'sr', 'ii', 'iii', 'iv', 'v'))"
+
+
+@query(f"""WITH s AS (SELECT row_id AS sid, team, {_PLAIN.format(x='canonical_name')} AS k, {_PARTS.format(x='canonical_name')} AS p FROM player_match),
+c AS (SELECT CAST(substr(gsis_id, 4, 8) AS BIGINT) AS card, team, {_PLAIN.format(x='full_name')} AS k, {_PARTS.format(x='full_name')} AS p FROM nflreadpy_rosters),
+si AS (SELECT sid, team, lower(p[1][1]) AS i, {_PLAIN.format(x='p[-1]')} AS l FROM s WHERE len(p) >= 2), ci AS (SELECT card, team, lower(p[1][1]) AS i, {_PLAIN.format(x='p[-1]')} AS l FROM c WHERE len(p) >= 2),
+t AS (SELECT sid, min(card) AS card FROM s JOIN c USING (team, k) WHERE k <> '' GROUP BY 1 HAVING count(DISTINCT card) = 1), n AS (SELECT sid, min(card) AS card FROM si JOIN ci USING (team, i, l) GROUP BY 1 HAVING count(DISTINCT card) = 1)
+SELECT s.sid, coalesce(t.card, n.card) AS card, CASE WHEN t.card IS NOT NULL THEN 'name' WHEN n.card IS NOT NULL THEN 'initial' END AS match_source FROM s LEFT JOIN t USING (sid) LEFT JOIN n USING (sid)""")
 def resolve_initials(spark: SparkSession, d: str) -> DataFrame:
     """Match rows to rosters by name, then by first initial and last name, within the team."""
     return lg.initial_tier(_spine(spark, d), _cards(spark, d), ["team"]).select("sid", "card", "match_source")
@@ -100,7 +108,12 @@ def claim_consensus(spark: SparkSession, d: str) -> DataFrame:
     return lg.claim_by_name(listed, cards).select("place.*", "card")
 
 
-@query()
+_REVIEW = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(coalesce({x}, ''))), '[.''`\\-]', '', 'g'), '\\b(jr|sr|ii|iii|iv|v)\\b', '', 'g'), '[^a-z ]', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query(f"""WITH s AS (SELECT row_id AS sid, team, CAST(substr(gsis_id, 4, 8) AS BIGINT) AS own, {_REVIEW.format(x='canonical_name')} AS k FROM player_match), c AS (SELECT CAST(substr(gsis_id, 4, 8) AS BIGINT) AS card, team, {_REVIEW.format(x='full_name')} AS k FROM nflreadpy_rosters),
+n AS (SELECT sid, min(card) AS card FROM s JOIN c USING (team, k) GROUP BY 1 HAVING count(DISTINCT card) = 1)
+SELECT s.sid, CASE WHEN own IN (SELECT card FROM c) THEN own ELSE n.card END AS card, CASE WHEN own IN (SELECT card FROM c) THEN 'crosswalk' WHEN n.card IS NOT NULL THEN 'name_team' END AS match_source FROM s LEFT JOIN n USING (sid)""")
 def match_by_crosswalk(spark: SparkSession, d: str) -> DataFrame:
     """Match rows by their id where they have one, else by name and team."""
     ids = load(spark, d, "player_match").where("gsis_id IS NOT NULL").select(F.col("row_id").alias("sid"), F.substring("gsis_id", 4, 8).cast("long").alias("card"))
