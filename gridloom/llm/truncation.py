@@ -28,7 +28,9 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -114,56 +116,68 @@ def contexts(tokens: list[str]) -> list[int]:
 def _count_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Partial counts per context: seen inside a text, ending a sentence there, closing a body without a sentence mark."""
     columns = ["context", "seen", "ended", "closing"]
-    counts: dict[tuple[str, ...], list[int]] = {}
-    capitalised: dict[str, int] = {}
+    seen: Counter[tuple[str, ...]] = Counter()
+    ended: Counter[tuple[str, ...]] = Counter()
+    closing: Counter[tuple[str, ...]] = Counter()
+    capitalised: Counter[str] = Counter()
 
     def flush() -> pd.DataFrame:
-        rows = [(contexts(list(key))[-1], *n) for key, n in counts.items()]
+        rows = [(contexts(list(key))[-1], seen[key], ended[key], closing[key]) for key in seen.keys() | closing.keys()]
         # a capitalised word is counted as itself, and as longer than each of its beginnings
-        longer: dict[str, int] = {}
+        longer: Counter[str] = Counter()
         for word, n in capitalised.items():
             rows.append((hashed_context("raw", word), n, 0, 0))
             for i in range(1, len(word)):
-                longer[word[:i]] = longer.get(word[:i], 0) + n
+                longer[word[:i]] += n
         rows += [(hashed_context("longer", start), n, 0, 0) for start, n in longer.items()]
-        counts.clear()
-        capitalised.clear()
+        for counts in (seen, ended, closing, capitalised):
+            counts.clear()
         return pd.DataFrame(rows, columns=columns)
 
     for batch in batches:
         for text in batch["text"]:
             if not text:
                 continue
-            body = body_of(text)[1]
-            raw = _TOKEN.findall(body)
+            raw = _TOKEN.findall(body_of(text)[1])
+            if not raw:
+                continue
             plain = [_plain(t) for t in raw]
             last = len(raw) - 1
-            for i, token in enumerate(plain):
-                if token in ".!?\n" or token[0] == "\n":
-                    continue
-                if i == last:
-                    kind = 2  # no sentence mark follows, or the body would not end here
-                else:
-                    after = raw[i + 1]
-                    following = raw[i + 2] if i + 2 <= last else "\n"
-                    stops = after[0] == "\n" or after in "!?…" or after.startswith("...") or after == "." and not following[0].islower()
-                    quoted = after in "\"”)" and i + 2 <= last and following in ".!?"
-                    kind = 1 if stops or quoted else 0
-                    if token == "<W>":
-                        capitalised[raw[i]] = capitalised.get(raw[i], 0) + 1
-                for k in range(1, min(CONTEXT, i + 1) + 1):
-                    n = counts.setdefault(tuple(plain[i + 1 - k : i + 1]), [0, 0, 0])
-                    if kind == 2:
-                        n[2] += 1
-                    else:
-                        n[0] += 1
-                        n[1] += kind
-            if len(counts) > FLUSH:
+            inside, stops = _positions(raw, plain)
+            # contexts of each length end at the same places: shifted lists, zipped, leave out the rest
+            for k in range(1, min(CONTEXT, last + 1) + 1):
+                shifted = [plain[j : last + 2 - k + j] for j in range(k)]
+                seen.update(compress(zip(*shifted, strict=True), inside[k - 1 :]))
+                ended.update(compress(zip(*shifted, strict=True), stops[k - 1 :]))
+            if plain[last] not in ".!?" and plain[last][0] != "\n":
+                # no sentence mark follows, or the body would not end here
+                closing.update(tuple(plain[last + 1 - k :]) for k in range(1, min(CONTEXT, last + 1) + 1))
+            capitalised.update(t for t, p, i in zip(raw, plain, inside, strict=True) if i and p == "<W>")
+            if len(seen) > FLUSH:
                 yield flush()
-    if counts:
+    if seen or closing:
         yield flush()
 
 
+def _positions(raw: list[str], plain: list[str]) -> tuple[list[bool], list[bool]]:
+    """Per token whether it stands inside the text (not last, no mark itself), and whether a sentence ends after it."""
+    last = len(raw) - 1
+    inside = [t not in ".!?" and t[0] != "\n" for t in plain]
+    inside[last] = False
+    stops = [False] * len(raw)
+    for i, after in enumerate(raw[1:]):
+        if not inside[i]:
+            continue
+        following = raw[i + 2] if i + 2 <= last else "\n"
+        if after == ".":
+            stops[i] = not following[0].islower()
+        elif after in "!?…" or after[0] == "\n" or after.startswith("..."):
+            stops[i] = True
+        elif after in "\"”)":
+            stops[i] = i + 2 <= last and following in ".!?"
+    return inside, stops
+
+
 def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per text: lengths by every way of measuring, kind of mark and ending, and the contexts of the ending."""
     for batch in batches:
