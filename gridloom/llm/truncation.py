@@ -59,6 +59,8 @@ INCOMPLETE_AT_LIMIT, INCOMPLETE_ELSEWHERE = 0.6, 0.25
 LEAST_LONGER = 20
 #: Longest context, in tokens.
 CONTEXT = 4
+#: Letters at the end of a text in which footers and marks stand; longer than three of them together.
+TAIL = 600
 #: Contexts that a batch counts before it passes them on.
 FLUSH = 200_000
 
@@ -72,7 +74,8 @@ _OPEN = re.compile(r"[,;:(\[{&/\-–—�+=<@#$%\\|~]$")
 
 def body_of(text: str) -> tuple[str, str, str]:
     """(body with its mark, body, mark kind): kind is cut, trail or ''."""
-    rest, marked = text.rstrip(), ""
+    whole, marked = text.rstrip(), ""
+    head, rest = whole[:-TAIL], whole[-TAIL:]
     for _ in range(3):
         shorter = _FOOTER.sub("", rest).rstrip()
         if shorter == rest:
@@ -80,11 +83,11 @@ def body_of(text: str) -> tuple[str, str, str]:
         rest = shorter
     bare = _MARK.sub("", rest)
     if bare != rest:
-        return rest, bare.rstrip(), "cut"
+        return head + rest, (head + bare).rstrip(), "cut"
     bare = _TRAIL.sub("", rest)
     if bare != rest and bare:
         marked = "trail"
-    return rest, bare.rstrip(), marked
+    return head + rest, (head + bare).rstrip(), marked
 
 
 def _plain(token: str) -> str:
