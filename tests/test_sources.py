@@ -60,10 +60,10 @@ def test_report_layout(spark, tmp_path):
 
 def test_html_tables_and_objects(spark):
     page = "<p>x<!-- <table><tr><th>N</th><td><a href='/id/5/'>Joe &amp; Co</a> x</td></tr></table> --><table><tr><td>2</table>"
-    script = 'var espnfitt = {"a": "}{", "b": {"c": 1}}; more'
+    script = 'var pageState = {"a": "}{", "b": {"c": 1}}; more'
     pages = spark.createDataFrame([("p", page), ("e", ""), ("n", None), ("s", script)], "k string, h string")
     assert rows(html.table_rows(pages, "k", "h"), "k", "table_no", "cells", "links") == [("p", 0, ["N", "Joe & Co x"], ["", "/id/5/"])]
-    assert dict(rows(html.embedded_objects(pages, "k", "h", "espnfitt")))["s"] == '{"a": "}{", "b": {"c": 1}}'
+    assert dict(rows(html.embedded_objects(pages, "k", "h", "pageState")))["s"] == '{"a": "}{", "b": {"c": 1}}'
 
 
 def test_paging_and_retries():
