@@ -56,7 +56,18 @@ def resolve_five_tiers(spark: SparkSession, d: str) -> DataFrame:
     return lg.five_tiers(_spine(spark, d), _cards(spark, d), STANDARD).select("sid", "card", "match_source")
 
 
-@query()
+_ROSTER = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(coalesce({x}, ''))), '[.''’]', '', 'g'), '[-–]', ' ', 'g'), '\\b(jr|sr|ii|iii|iv)\\b', '', 'g'), '\\s+', ' ', 'g'))"
+_W = "string_split(trim(regexp_replace({x}, '\\s+', ' ', 'g')), ' ')"
+_HEAD = f"CASE WHEN len({_W}) >= 2 AND contains({_W}[-1], '-') THEN array_to_string(list_append({_W}[1:-2], split_part({_W}[-1], '-', 1)), ' ') END"
+
+
+@query(f"""WITH s AS (SELECT row_id AS sid, team, {_ROSTER.format(x='canonical_name')} AS k, {_ROSTER.replace('{x}', _HEAD.replace('{x}', 'canonical_name'))} AS h FROM player_match),
+c AS (SELECT DISTINCT CAST(substr(gsis_id, 4, 8) AS BIGINT) AS card, team, {_ROSTER.format(x='full_name')} AS k, {_ROSTER.replace('{x}', _HEAD.replace('{x}', 'full_name'))} AS h FROM nflreadpy_rosters),
+reach AS (SELECT card, team, k AS r FROM c UNION SELECT card, team, h FROM c WHERE h <> ''),
+e AS (SELECT sid, min(card) AS card, count(DISTINCT card) AS n FROM s JOIN reach ON s.k = r AND s.team = reach.team GROUP BY 1), y AS (SELECT sid, min(card) AS card, count(DISTINCT card) AS n FROM s JOIN reach ON s.h = r AND s.team = reach.team WHERE h <> '' GROUP BY 1),
+n AS (SELECT DISTINCT sid FROM s JOIN reach ON s.k = r)
+SELECT s.sid, CASE WHEN e.n = 1 THEN e.card WHEN y.n = 1 THEN y.card END AS card, CASE WHEN e.n = 1 THEN 'exact' WHEN y.n = 1 THEN 'hyphen' WHEN e.n > 1 OR y.n > 1 THEN 'unmatched_ambiguous' WHEN n.sid IS NOT NULL THEN 'unmatched_other_team' ELSE 'unmatched_no_name' END AS match_source
+FROM s LEFT JOIN e USING (sid) LEFT JOIN y USING (sid) LEFT JOIN n USING (sid)""")
 def resolve_labelled(spark: SparkSession, d: str) -> DataFrame:
     """Match rows to rosters, every miss with its reason."""
     return lg.labelled_match(_spine(spark, d), _cards(spark, d), {}, "FA", F.lit(True)).select("sid", "card", "match_source")
