@@ -204,9 +204,11 @@ def align(a: tuple[str, ...], b: tuple[str, ...], others: int = 0) -> tuple[floa
         return (1.0, {"same": len(a), "over": 0, "crossed": 0}) if sorted(a) == sorted(b) else None
     best = _assign(a, b, others)
     if best is None and len(b) > 1:
-        for i in range(len(b) - 1):
-            joined = (*b[:i], b[i] + b[i + 1], *b[i + 2 :])
-            found = _assign(*sorted((a, joined), key=len), others, b[i] + b[i + 1])
-            if found and (best is None or found[0] > best[0]):
-                best = found
+        joined = [((*b[:i], b[i] + b[i + 1], *b[i + 2 :]), b[i] + b[i + 1]) for i in range(len(b) - 1)]
+        found = [_assign(*sorted((a, tokens_), key=len), others, pair) for tokens_, pair in joined]
+        if not any(found) and len(a) > 1:
+            # half of a double name may be missing, if all the rest has its partner
+            partly = [_assign(*sorted((a, tokens_), key=len), others) for tokens_, _ in joined]
+            found = [f for f in partly if f and not f[1]["over"]]
+        best = max((f for f in found if f), key=lambda f: f[0], default=None)
     return best
