@@ -25,6 +25,12 @@ MATCH = (
     Attribute("position", same=2.0),
     Attribute("age", same=1.5, near=1.0, tolerance=1),
 )
+#: Agreements of match rows one of which every link but one of equal names has: the thresholds of ``match_pairs`` ask for
+#: evidence of 3.5 at least, of 5 where a token is no more than close, and of jersey and weight where a token differs altogether.
+MATCH_TOGETHER = (
+    ("jersey", "position"), ("jersey", "weight"), ("jersey", "height"), ("jersey", "age"),
+    ("weight", "position"), ("weight", "height"), ("weight", "age"), ("height", "position", "age"),
+)
 
 
 def text_code(c: Column) -> Column:
@@ -69,14 +75,15 @@ def entity_of(key: str, row: str) -> Column:
 def chart_pairs(charts: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): rows of one chart that mean the same player under different spellings.
 
-    One name key on one chart is one player; other keys link to it.
+    One name key on one chart is one player; other keys link to it. A chart is
+    one document of some 70 rows, so all its keys are compared.
     """
     keyed = with_name_key(
         charts.select("doc_no", F.col("row_id").alias("row"), F.col("name").alias("spelling"), *[v.cast("int").alias(a.name) for a, v in chart_attributes()]),
         "spelling",
     )
     rows = cut_lineage(keyed.where(F.col("name_key").isNotNull()).withColumn("entity", hashed("doc_no", "name_key")).withColumn("block", F.col("doc_no").cast("string")))
-    groups = variant_groups(rows, CHART, threshold=3.0, other_evidence=9.0)
+    groups = variant_groups(rows, CHART, threshold=3.0, other_evidence=9.0, whole_blocks=True)
     return variant_row_pairs(rows, groups, CHART, within_entity=True)
 
 
@@ -95,5 +102,5 @@ def match_rows(matches: DataFrame) -> DataFrame:
 def match_pairs(matches: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): match rows of one player under different keys and spellings."""
     rows = match_rows(matches)
-    groups = variant_groups(rows, MATCH, threshold=9.5, other_evidence=11.0)
+    groups = variant_groups(rows, MATCH, threshold=9.5, other_evidence=11.0, together=MATCH_TOGETHER)
     return variant_row_pairs(rows, groups, MATCH, within_entity=False)

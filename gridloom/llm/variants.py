@@ -5,8 +5,11 @@
 2. A symmetric-delete neighbourhood index finds forms with a token in common up
    to an edit: each token, as it sounds, is stored under itself and every string left after
    one deletion, with the first or last letter of another token of the name, so that a
-   common first name alone never forms a bucket. Forms that contradict each
-   other in an attribute are not paired.
+   common first name alone never forms a bucket. The index misses pairs that the
+   scorer accepts on strong evidence, so it doesn't stand alone: blocks of bounded
+   size are compared whole, and elsewhere forms that agree in given attributes are
+   candidates whatever their names. Forms that contradict each other in an
+   attribute are not paired.
 3. The tokens of a pair are aligned by optimal assignment, permitting initials,
    abbreviations, nicknames and slips; agreeing and contradicting attributes
    weigh in, and pairs above the threshold are linked.
@@ -168,14 +171,67 @@ def spelling_forms(rows: DataFrame, attributes: Sequence[Attribute]) -> DataFram
     return spelled.join(values.hint("merge"), "entity").withColumn("form", F.xxhash64("entity", "plain"))
 
 
-def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], others_initial: bool = True) -> DataFrame:
-    """(a, b): forms of different spelling under a common index entry that don't contradict each other."""
-    carried = ["form", *[t.name for t in attributes]]
-    entries = forms.withColumn("entry", F.explode(_indexer(others_initial)("block", "plain"))).select("entry", *carried)
+def _single_values_allow(attribute: Attribute) -> Column:
+    """False where both forms of a pair have one value only and these contradict; far cheaper than lists are."""
+    a, b = F.col(f"l._{attribute.name}"), F.col(f"r._{attribute.name}")
+    allowed = a == b
+    if attribute.tolerance or attribute.steps:
+        difference = a.cast("long") - b.cast("long")
+        allowed = allowed | (F.abs(difference) <= attribute.tolerance)
+        for step in attribute.steps:
+            allowed = allowed | ((F.pmod(difference - step, F.lit(attribute.modulus)) == 0) if attribute.modulus else (difference == step))
+    return F.coalesce(allowed, F.lit(True))
+
+
+def _paired(entries: DataFrame, key: str, attributes: Sequence[Attribute]) -> DataFrame:
+    """(a, b): forms of ``entries`` with the same ``key`` that don't contradict each other."""
+    forbidding = [t for t in attributes if t.contradiction is None]
+    entries = entries.withColumns({f"_{t.name}": F.when(F.size(t.name) == 1, F.get(F.col(t.name), F.lit(0))) for t in forbidding})
     # both sides are one exchange; exploded sides outgrow their estimate, so the planner may not broadcast one
     l, r = entries.alias("l"), entries.alias("r").hint("merge")
-    allowed = (F.col("l.form") < F.col("r.form")) & compatible(attributes, "l.", "r.")
-    return l.join(r, (F.col("l.entry") == F.col("r.entry")) & allowed).select(F.col("l.form").alias("a"), F.col("r.form").alias("b")).distinct()
+    allowed = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.form") < F.col("r.form"))
+    for t in forbidding:
+        allowed = allowed & _single_values_allow(t)
+    allowed = allowed & compatible(attributes, "l.", "r.")
+    return l.join(r, allowed).select(F.col("l.form").alias("a"), F.col("r.form").alias("b"))
+
+
+def _agreement_keys(attributes: Sequence[Attribute], together: Sequence[tuple[str, ...]]) -> Column:
+    """Hashes that two forms have in common if they agree in all attributes of a group of ``together``.
+
+    Within a tolerance of one, values share one of {x, x + 1}. Empty lists give no key.
+    """
+    spread = {t.name: range(t.tolerance + 1) for t in attributes}
+    keys = []
+    for group in together:
+        combined = F.array(F.lit("|".join(group)))
+        for name in group:
+            values = F.flatten(F.transform(F.col(name), lambda x: F.array(*[(x + d).cast("string") for d in spread[name]])))  # noqa: B023
+            combined = F.flatten(F.transform(combined, lambda k: F.transform(values, lambda v: F.concat(k, F.lit("|"), v))))  # noqa: B023
+        keys.append(combined)
+    return F.transform(F.array_distinct(F.concat(*keys)), lambda k: F.xxhash64(k))
+
+
+def candidate_pairs(
+    forms: DataFrame, attributes: Sequence[Attribute], others_initial: bool = True, together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False
+) -> DataFrame:
+    """(a, b): forms that may be linked and don't contradict each other.
+
+    These are forms under a common index entry and forms that agree in all
+    attributes of a group of ``together``; with ``whole_blocks`` all forms of a
+    block, whose size must be bounded (forms without a block, of which there may
+    be any number, still go by the index).
+    """
+    carried = ["form", *[t.name for t in attributes]]
+    indexed = forms.where(F.col("block").isNull()) if whole_blocks else forms
+    entries = indexed.withColumn("entry", F.explode(_indexer(others_initial)("block", "plain"))).select("entry", *carried)
+    pairs = _paired(entries, "entry", attributes)
+    if whole_blocks:
+        pairs = pairs.unionByName(_paired(forms.select("block", *carried), "block", attributes))
+    if together:
+        keyed = forms.select(*carried).distinct().withColumn("entry", F.explode(_agreement_keys(attributes, together))).select("entry", *carried)
+        pairs = pairs.unionByName(_paired(keyed, "entry", attributes))
+    return pairs.distinct()
 
 
 def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: float):
@@ -209,10 +265,11 @@ def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: f
 
 
 def link_forms(
-    forms: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True
+    forms: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True,
+    together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False,
 ) -> DataFrame:
     """(a, b, a_entity, b_entity, score): linked forms."""
-    pairs = candidate_pairs(forms, attributes, others_initial)
+    pairs = candidate_pairs(forms, attributes, others_initial, together, whole_blocks)
     carried = ["entity", "plain", *[t.name for t in attributes]]
     left = forms.select(F.col("form").alias("a"), *[F.col(c).alias(f"a_{c}") for c in carried])
     right = forms.select(F.col("form").alias("b"), *[F.col(c).alias(f"b_{c}") for c in carried])
@@ -221,11 +278,12 @@ def link_forms(
 
 
 def variant_groups(
-    rows: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True
+    rows: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True,
+    together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False,
 ) -> DataFrame:
     """(entity, group, one array per attribute) of linked entities; ``rows`` as for ``spelling_forms``."""
     forms = cut_lineage(spelling_forms(rows, attributes))
-    links = link_forms(forms, attributes, threshold, other_evidence, others_initial)
+    links = link_forms(forms, attributes, threshold, other_evidence, others_initial, together, whole_blocks)
     grouped = components(links.where("a_entity <> b_entity"), "a_entity", "b_entity")
     values = forms.select("entity", *[t.name for t in attributes]).dropDuplicates(["entity"])
     return grouped.join(values.hint("merge"), grouped["node"] == values["entity"]).select(

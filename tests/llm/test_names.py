@@ -118,3 +118,26 @@ def test_match_pairs(spark):
     )
     assert rows(people.match_pairs(data)) == [(0, 1), (0, 5), (0, 6), (1, 5), (1, 6), (2, 5), (2, 6), (5, 6)]
     assert people.match_pairs(data.where("row_id > 99")).count() == 0
+
+
+def test_strong_evidence_links_names_without_a_common_index_entry(spark):
+    data = chart(
+        spark,
+        (1, "Coyb Drayelley", "08/2", 10, None, 59, 31, 9),
+        (1, "Decoby Drayelley", "08/2", 10, None, 59, None, 9),
+        (1, "Alexander Tarurpjy", "03/4", 2, None, 81, 24, 44),
+        (1, "Aleander Tarurphy", "03/4", 2, None, 81, 24, 44),
+        (1, "Hollis Nobbervane", "01/1", 3, None, 60, 22, 12),
+    )
+    assert rows(people.chart_pairs(data)) == [(0, 1), (2, 3)]
+
+
+def test_agreeing_match_rows_link_without_a_common_index_entry(spark):
+    data = [
+        (0, "a", "David Stavelmaer", "WR", 7, None, "6-1", 200, 25, "x"),
+        (1, "b", "Dave Stavelmore", "WR", 7, None, "6'1", 200, 26, "x"),
+        (2, "c", "David Stavelmaer", "WR", 8, None, "6-1", 200, 25, "x"),  # contradicts in jersey
+        (3, "d", "Coyb Drayelley", "WR", 9, None, "5-9", 180, None, "x"),
+        (4, "e", "Decoby Drayelley", "WR", 9, None, "5-9", 180, None, "x"),
+    ]
+    assert rows(people.match_pairs(spark.createDataFrame(data, MATCH))) == [(0, 1), (3, 4)]
