@@ -296,13 +296,16 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     judged = looked_up.groupBy("n").agg(
         F.max_by(share, F.when(trusted, F.col("k"))).alias("share"),
         F.max(F.when(trusted, F.col("k") + 1)).alias("trusted_tokens"),
-        of_k(0, F.col("seen") + others).alias("word_seen"),
+        of_k(0, F.col("seen")).alias("word_seen"),
+        of_k(0, others).alias("word_closing"),
         of_k(CONTEXT, F.col("seen")).alias("raw_seen"),
         of_k(CONTEXT + 1, F.col("seen")).alias("longer_seen"),
     )
     joined = ends.drop("sizes", "contexts").join(at_limit.hint("merge"), "n", "left").join(judged.hint("merge"), "n", "left")
     limit, exact = F.col("exact").isNotNull(), count_false(F.col("exact"))
-    broken_word = (F.col("lower") & (count("word_seen") < LEAST_SEEN)) | (
+    # closings vouch for a word only where texts trail off on purpose: cut pieces of words close texts as well
+    known = count("word_seen") + F.when(F.col("mark") == "trail", count("word_closing")).otherwise(0)
+    broken_word = (F.col("lower") & (known < LEAST_SEEN)) | (
         (count("raw_seen") < LEAST_SEEN) & (count("longer_seen") >= LEAST_LONGER)
     )
     known_share = F.coalesce("share", F.lit(0.0))

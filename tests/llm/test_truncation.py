@@ -72,3 +72,12 @@ def test_poisson_tail():
 
     found = tr._poisson_tail(pd.Series([0, 1, 3, 50]), pd.Series([2.0, 2.0, 2.0, 2.0]))
     assert abs(found[0] - 1) < 1e-12 and abs(found[1] - 0.8646647) < 1e-6 and abs(found[2] - 0.3233236) < 1e-6 and found[3] < 1e-40
+
+
+def test_a_fragment_that_closes_many_texts_is_no_word(spark):
+    data = corpus(400, 10_000)
+    cut = [(3000 + i, "free", f"{d[2]} Two players retu", "", "x") for i, d in enumerate(data[:8])]
+    whole = [(4000 + i, "free", d[2].rstrip("."), "", "x") for i, d in enumerate(data[:8])]
+    df = spark.createDataFrame([*data, *cut, *whole], DOCS)
+    found = {r[0] for r in tr.judged_documents(df, "doc_id", "text", "source").where("cut").select("doc").collect()}
+    assert found == {c[0] for c in cut}
