@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.variants import Attribute, variant_groups, variant_row_pairs, with_name_key
+from gridloom.llm.variants import Attribute, Rule, variant_groups, variant_row_pairs, with_name_key
 from gridloom.session import cut_lineage
 
 #: Depth charts: what a chart repeats about a player in each of his slots.
@@ -25,12 +25,16 @@ MATCH = (
     Attribute("position", same=2.0),
     Attribute("age", same=1.5, near=1.0, tolerance=1),
 )
-#: Agreements of match rows one of which every link but one of equal names has: the thresholds of ``match_pairs`` ask for
-#: evidence of 3.5 at least, of 5 where a token is no more than close, and of jersey and weight where a token differs altogether.
-MATCH_TOGETHER = (
-    ("jersey", "position"), ("jersey", "weight"), ("jersey", "height"), ("jersey", "age"),
-    ("weight", "position"), ("weight", "height"), ("weight", "age"), ("height", "position", "age"),
-)
+#: What a link on a chart has in common: a token that is the same, an edit off or sounds so, or two short forms; every weaker
+#: agreement of names stays below the threshold of ``chart_pairs`` unless some attribute agrees.
+CHART_RULES = (Rule("near"), Rule("", tuple((a.name,) for a in CHART)))
+#: What a link of match rows has in common: the threshold of ``match_pairs`` asks for evidence of 3.5, which is the jersey, the weight,
+#: or two of position, height and age. Without jersey and weight at most 2.0 may be lost on the name: a token is the same, or all are short forms.
+MATCH_RULES = (
+    Rule("ends", (("jersey", "position"), ("weight", "position"))),
+    Rule("exact", (("height", "position"), ("position", "age"), ("height", "age")), one_lacks=("jersey", "weight")),
+    Rule("ends", (("jersey",), ("weight",), ("height", "age")), one_lacks=("position",)),
+)
 
 
 def text_code(c: Column) -> Column:
@@ -75,32 +79,33 @@ def entity_of(key: str, row: str) -> Column:
 def chart_pairs(charts: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): rows of one chart that mean the same player under different spellings.
 
-    One name key on one chart is one player; other keys link to it. A chart is
-    one document of some 70 rows, so all its keys are compared.
+    One name key on one chart is one player; other keys link to it.
     """
     keyed = with_name_key(
         charts.select("doc_no", F.col("row_id").alias("row"), F.col("name").alias("spelling"), *[v.cast("int").alias(a.name) for a, v in chart_attributes()]),
         "spelling",
     )
-    rows = cut_lineage(keyed.where(F.col("name_key").isNotNull()).withColumn("entity", hashed("doc_no", "name_key")).withColumn("block", F.col("doc_no").cast("string")))
-    groups = variant_groups(rows, CHART, threshold=3.0, other_evidence=9.0, whole_blocks=True)
+    rows = cut_lineage(keyed.where(F.col("name_key").isNotNull()).withColumns(
+        {"entity": hashed("doc_no", "name_key"), "block": F.col("doc_no").cast("string"), "name_keys": F.array("name_key")}
+    ))
+    groups = variant_groups(rows, CHART, 3.0, 9.0, CHART_RULES)
     return variant_row_pairs(rows, groups, CHART, within_entity=True)
 
 
 def match_rows(matches: DataFrame) -> DataFrame:
-    """Match rows with entity (player key), name key and attributes."""
-    keyed = with_name_key(
-        matches.select(
-            "player_key", F.col("row_id").alias("row"), F.col("canonical_name").alias("spelling"), F.col("standard_pos").alias("block"),
-            *[v.cast("int").alias(a.name) for a, v in match_attributes()],
-        ),
-        "spelling",
+    """Match rows with entity (player key), the name keys of both name columns and attributes."""
+    columns = ["player_key", "row", "spelling", *[a.name for a in MATCH]]
+    plain = matches.select(
+        "player_key", F.col("row_id").alias("row"), F.col("canonical_name").alias("spelling"), F.col("ourlads_name").alias("listed"),
+        *[v.cast("int").alias(a.name) for a, v in match_attributes()],
     )
-    return cut_lineage(keyed.withColumn("entity", entity_of("player_key", "row")))
+    keyed = with_name_key(with_name_key(plain, "listed").withColumnRenamed("name_key", "listed_key"), "spelling")
+    keyed = keyed.withColumn("name_keys", F.array_distinct(F.array_compact(F.array("name_key", "listed_key"))))
+    return cut_lineage(keyed.select(*columns, "name_key", "name_keys", F.lit(None).cast("string").alias("block"), entity_of("player_key", "row").alias("entity")))
 
 
 def match_pairs(matches: DataFrame) -> DataFrame:
     """(row_id_a, row_id_b): match rows of one player under different keys and spellings."""
     rows = match_rows(matches)
-    groups = variant_groups(rows, MATCH, threshold=9.5, other_evidence=11.0, together=MATCH_TOGETHER)
+    groups = variant_groups(rows, MATCH, 9.5, 11.0, MATCH_RULES)
     return variant_row_pairs(rows, groups, MATCH, within_entity=False)

@@ -2,14 +2,12 @@
 
 1. Rows are reduced to forms: one per entity and name key (tokens without order,
    case and accents), with the values that the entity's rows give for each attribute.
-2. A symmetric-delete neighbourhood index finds forms with a token in common up
-   to an edit: each token, as it sounds, is stored under itself and every string left after
-   one deletion, with the first or last letter of another token of the name, so that a
-   common first name alone never forms a bucket. The index misses pairs that the
-   scorer accepts on strong evidence, so it doesn't stand alone: blocks of bounded
-   size are compared whole, and elsewhere forms that agree in given attributes are
-   candidates whatever their names. Forms that contradict each other in an
-   attribute are not paired.
+2. A symmetric-delete neighbourhood index finds forms with tokens in common up to
+   an edit. Rules say which entries of a name (``names.index_entries``) are
+   looked up together with which agreeing attributes, so that every pair the
+   scorer may accept has an entry of some rule in common and a common first name
+   alone never forms a bucket. Only hashes are shuffled. Forms that contradict
+   each other in an attribute are not paired.
 3. The tokens of a pair are aligned by optimal assignment, permitting initials,
    abbreviations, nicknames and slips; agreeing and contradicting attributes
    weigh in, and pairs above the threshold are linked.
@@ -19,15 +17,17 @@
 Defined results
 ---------------
 * A null or empty name has no tokens and no links.
+* Entities with the same tokens and attributes are one class and are paired as one, however many they are.
 * Attributes that are null on one side weigh nothing.
 * Repeated rows share a form and link like any other row of the form.
 * A row without an entity key is an entity of its own.
 * Empty tables give no pairs; columns that are not named take no part.
-* Very long names (over six tokens) link only to the same tokens in any order.
+* Names of any number of tokens are aligned as a whole.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -96,9 +96,8 @@ def attribute_worth(attribute: Attribute, a: Sequence[int], b: Sequence[int]) ->
     return best
 
 
-#: Worth of a name that agrees in every token, and what each weaker kind takes from it.
+#: Worth of a name that agrees in every token; ``names.COST`` is what weaker agreement takes from it.
 NAME_WORTH = 6.0
-NAME_COST = {"typo": 1.5, "typos": 2.5, "short": 1.0, "initial": 3.0, "other": 7.0, "over": 0.5, "crossed": 4.0}
 
 
 def name_worth(a: tuple[tuple[str, ...], str], b: tuple[tuple[str, ...], str], others: int = 1) -> float | None:
@@ -106,49 +105,16 @@ def name_worth(a: tuple[tuple[str, ...], str], b: tuple[tuple[str, ...], str], o
     found = nm.align(a[0], b[0], others)
     if found is None:
         return None
-    kinds = found[1]
+    cost, kinds = found
     # something longer than an initial must carry the match
     if not any(kinds.get(k) for k in ("same", "typo", "typos", "short")):
         return None
-    worth = NAME_WORTH - sum(cost * kinds.get(kind, 0) for kind, cost in NAME_COST.items())
+    worth = NAME_WORTH - cost
     if a[1] != b[1]:
         worth -= 6.0 if a[1] and b[1] else 0.5
     return worth
 
 
-def _indexer(others_initial: bool):
-    """Arrow UDF: the hashed index entries of a name within its block."""
-
-    def entries(block: pd.Series, name: pd.Series) -> pd.Series:
-        import xxhash
-
-        cache: dict[str, tuple[set[str], set[str]]] = {}
-
-        def of(token: str) -> tuple[set[str], set[str]]:
-            if token not in cache:
-                if len(cache) > 20_000:  # a cache only: what it forgets is computed again
-                    cache.clear()
-                cache[token] = (nm.deletes(nm.sound(token)), nm.handles(token))
-            return cache[token]
-
-        out = []
-        for b, n in zip(block, name, strict=True):
-            core, _ = nm.tokens(n)
-            found = set()
-            for i, token in enumerate(core):
-                if len(token) < 2:
-                    continue
-                beside = [of(t)[1] for j, t in enumerate(core) if j != i] if others_initial else []
-                for letter in set().union(*beside) or {""}:
-                    for left in of(token)[0]:
-                        h = xxhash.xxh64_intdigest(f"{b}\x1f{left}\x1f{letter}".encode("utf-8", "replace"))
-                        found.add(h - (1 << 64) if h >= 1 << 63 else h)
-            out.append(sorted(found))
-        return pd.Series(out)
-
-    return F.pandas_udf(entries, "array<bigint>")
-
-
 def with_name_key(df: DataFrame, name: str) -> DataFrame:
     """``df`` with ``name_key``: the tokens of the name's canonical form; null for a name without tokens."""
 
@@ -160,131 +126,145 @@ def with_name_key(df: DataFrame, name: str) -> DataFrame:
     return keyed.withColumn("name_key", F.when(F.col("name_key") != "", F.col("name_key")))
 
 
+@dataclass(frozen=True)
+class Rule:
+    """Forms are candidates if they share a name entry of a kind and agree in some attributes.
+
+    ``entries`` is near, ends, exact (``names.index_entries``) or '' for none;
+    ``together`` are groups of attributes one of which must agree in all its
+    members. With ``one_lacks``, at least one of the two has no value for one of
+    these attributes: pairs for which the other rules have no key.
+    """
+
+    entries: str
+    together: tuple[tuple[str, ...], ...] = ((),)
+    one_lacks: tuple[str, ...] = ()
+
+
 def spelling_forms(rows: DataFrame, attributes: Sequence[Attribute]) -> DataFrame:
-    """(form, entity, block, plain, one array per attribute): one row per entity and name key.
+    """(entity, block, plain, one array per attribute, form): one row per entity and name key.
 
-    ``rows`` has entity, block, name_key and the attributes as columns. Arrays
-    hold the distinct values that all rows of the entity give.
+    ``rows`` has entity, block, name_keys (an array) and the attributes as
+    columns. Arrays hold the distinct values that all rows of the entity give.
+    ``form`` is the class: equal for entities with equal tokens, block and attributes.
     """
-    spelled = rows.where(F.col("name_key").isNotNull()).select("entity", "block", F.col("name_key").alias("plain")).distinct()
+    spelled = rows.select("entity", "block", F.explode("name_keys").alias("plain")).where(F.col("plain").isNotNull()).distinct()
     values = rows.groupBy("entity").agg(*[F.sort_array(F.collect_set(t.name)).alias(t.name) for t in attributes])
-    return spelled.join(values.hint("merge"), "entity").withColumn("form", F.xxhash64("entity", "plain"))
-
-
-def _single_values_allow(attribute: Attribute) -> Column:
-    """False where both forms of a pair have one value only and these contradict; far cheaper than lists are."""
-    a, b = F.col(f"l._{attribute.name}"), F.col(f"r._{attribute.name}")
-    allowed = a == b
-    if attribute.tolerance or attribute.steps:
-        difference = a.cast("long") - b.cast("long")
-        allowed = allowed | (F.abs(difference) <= attribute.tolerance)
-        for step in attribute.steps:
-            allowed = allowed | ((F.pmod(difference - step, F.lit(attribute.modulus)) == 0) if attribute.modulus else (difference == step))
-    return F.coalesce(allowed, F.lit(True))
-
-
-def _paired(entries: DataFrame, key: str, attributes: Sequence[Attribute]) -> DataFrame:
-    """(a, b): forms of ``entries`` with the same ``key`` that don't contradict each other."""
-    forbidding = [t for t in attributes if t.contradiction is None]
-    entries = entries.withColumns({f"_{t.name}": F.when(F.size(t.name) == 1, F.get(F.col(t.name), F.lit(0))) for t in forbidding})
-    # both sides are one exchange; exploded sides outgrow their estimate, so the planner may not broadcast one
-    l, r = entries.alias("l"), entries.alias("r").hint("merge")
-    allowed = (F.col(f"l.{key}") == F.col(f"r.{key}")) & (F.col("l.form") < F.col("r.form"))
-    for t in forbidding:
-        allowed = allowed & _single_values_allow(t)
-    allowed = allowed & compatible(attributes, "l.", "r.")
-    return l.join(r, allowed).select(F.col("l.form").alias("a"), F.col("r.form").alias("b"))
+    identity = [F.coalesce("block", F.lit("\0")), F.col("plain"), *[F.concat_ws(",", F.transform(t.name, lambda x: x.cast("string"))) for t in attributes]]
+    return spelled.join(values, "entity").withColumn("form", F.xxhash64(*identity))
 
 
 def _agreement_keys(attributes: Sequence[Attribute], together: Sequence[tuple[str, ...]]) -> Column:
     """Hashes that two forms have in common if they agree in all attributes of a group of ``together``.
 
-    Within a tolerance of one, values share one of {x, x + 1}. Empty lists give no key.
+    Within a tolerance of one, values share one of {x, x + 1}; by a step, one of {x, x + step}. Empty lists give no key.
     """
-    spread = {t.name: range(t.tolerance + 1) for t in attributes}
+    spread = {t.name: (t, sorted({*range(t.tolerance + 1), *(s for s in t.steps if s > 0)})) for t in attributes}
     keys = []
     for group in together:
         combined = F.array(F.lit("|".join(group)))
         for name in group:
-            values = F.flatten(F.transform(F.col(name), lambda x: F.array(*[(x + d).cast("string") for d in spread[name]])))  # noqa: B023
+            t, added = spread[name]
+            near = lambda x: F.array(*[(F.pmod(x + d, F.lit(t.modulus)) if t.modulus else x + d).cast("string") for d in added])  # noqa: B023, E731
+            values = F.flatten(F.transform(F.col(name), near))
             combined = F.flatten(F.transform(combined, lambda k: F.transform(values, lambda v: F.concat(k, F.lit("|"), v))))  # noqa: B023
         keys.append(combined)
     return F.transform(F.array_distinct(F.concat(*keys)), lambda k: F.xxhash64(k))
 
 
-def candidate_pairs(
-    forms: DataFrame, attributes: Sequence[Attribute], others_initial: bool = True, together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False
-) -> DataFrame:
-    """(a, b): forms that may be linked and don't contradict each other.
-
-    These are forms under a common index entry and forms that agree in all
-    attributes of a group of ``together``; with ``whole_blocks`` all forms of a
-    block, whose size must be bounded (forms without a block, of which there may
-    be any number, still go by the index).
-    """
-    carried = ["form", *[t.name for t in attributes]]
-    indexed = forms.where(F.col("block").isNull()) if whole_blocks else forms
-    entries = indexed.withColumn("entry", F.explode(_indexer(others_initial)("block", "plain"))).select("entry", *carried)
-    pairs = _paired(entries, "entry", attributes)
-    if whole_blocks:
-        pairs = pairs.unionByName(_paired(forms.select("block", *carried), "block", attributes))
-    if together:
-        keyed = forms.select(*carried).distinct().withColumn("entry", F.explode(_agreement_keys(attributes, together))).select("entry", *carried)
-        pairs = pairs.unionByName(_paired(keyed, "entry", attributes))
+_NAME_ENTRIES = "struct<near:array<bigint>,ends:array<bigint>,exact:array<bigint>>"
+
+
+def _name_entries(names: pd.Series) -> pd.DataFrame:
+    found = {n: nm.index_entries(n) for n in set(names)}
+    return pd.DataFrame([found[n] for n in names], columns=["near", "ends", "exact"])
+
+
+def _entries_of(forms: DataFrame, attributes: Sequence[Attribute], rules: Sequence[Rule]) -> DataFrame:
+    """(entry, form): the hashed keys of the rules."""
+    hashes = []
+    for i, rule in enumerate(rules):
+        keys = _agreement_keys(attributes, rule.together)
+        block = F.coalesce("block", F.lit("\0"))
+        if rule.entries:
+            combine = lambda k: F.transform(F.col(f"_names.{rule.entries}"), lambda e: F.xxhash64(F.lit(i), block, k, e))  # noqa: B023, E731
+            hashes.append(F.flatten(F.transform(keys, combine)))
+        else:
+            hashes.append(F.transform(keys, lambda k: F.xxhash64(F.lit(i), block, k)))  # noqa: B023
+    return forms.select(F.explode(F.concat(*hashes)).alias("entry"), "form")
+
+
+def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], rules: Sequence[Rule]) -> DataFrame:
+    """(a, b): distinct forms that a rule makes candidates, the smaller first. ``forms`` has one row per form."""
+    named = forms.withColumn("_names", F.pandas_udf(_name_entries, _NAME_ENTRIES)("plain")) if any(r.entries for r in rules) else forms
+    named = cut_lineage(named)
+    free = [r for r in rules if not r.one_lacks]
+    found = []
+    if free:
+        entries = _entries_of(named, attributes, free)
+        # both sides are one exchange; exploded sides outgrow their estimate, so the planner may not broadcast one
+        l, r = entries.alias("l"), entries.alias("r").hint("merge")
+        found.append(l.join(r, (F.col("l.entry") == F.col("r.entry")) & (F.col("l.form") < F.col("r.form"))).select(F.col("l.form").alias("a"), F.col("r.form").alias("b")))
+    for lacking in sorted({r.one_lacks for r in rules if r.one_lacks}):
+        some = F.lit(False)
+        for name in lacking:
+            some = some | (F.size(name) == 0)
+        few = named.where(some)
+        if not few.limit(1).count():
+            continue  # no pair can meet the condition
+        bound = [r for r in rules if r.one_lacks == lacking]
+        l, r = _entries_of(few, attributes, bound).alias("l"), _entries_of(named, attributes, bound).alias("r").hint("merge")
+        pairs = l.join(r, (F.col("l.entry") == F.col("r.entry")) & (F.col("l.form") != F.col("r.form")))
+        found.append(pairs.select(F.least("l.form", "r.form").alias("a"), F.greatest("l.form", "r.form").alias("b")))
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
     return pairs.distinct()
 
 
 def _scorer(attributes: Sequence[Attribute], threshold: float, other_evidence: float):
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, tuple[tuple[str, ...], str]] = {}
-
-        def of(name: str) -> tuple[tuple[str, ...], str]:
-            if name not in cache:
-                if len(cache) > 20_000:
-                    cache.clear()
-                cache[name] = nm.tokens(name)
-            return cache[name]
-
+        cached = functools.lru_cache(maxsize=1 << 15)  # what it forgets is computed again
+        parsed = cached(nm.tokens)
+        named = cached(lambda x, y, others: name_worth(parsed(x), parsed(y), others))
         for batch in batches:
             keep = []
             columns = [(t, batch[f"a_{t.name}"].to_numpy(), batch[f"b_{t.name}"].to_numpy()) for t in attributes]
+            a, b = batch["a"].to_numpy(), batch["b"].to_numpy()
             for i, (x, y) in enumerate(zip(batch["a_plain"], batch["b_plain"], strict=True)):
-                a, b = of(x), of(y)
-                worth = name_worth(a, b, others=0)
-                other = worth is None
-                if other:
-                    worth = name_worth(a, b, others=1)
-                if worth is None:
-                    continue
                 evidence = sum(attribute_worth(t, va[i], vb[i]) for t, va, vb in columns)
-                if worth + evidence >= threshold and (not other or evidence >= other_evidence):
-                    keep.append((batch["a"].iat[i], batch["b"].iat[i], batch["a_entity"].iat[i], batch["b_entity"].iat[i], worth + evidence))
-            yield pd.DataFrame(keep, columns=["a", "b", "a_entity", "b_entity", "score"])
+                if NAME_WORTH + evidence < threshold:
+                    continue
+                worth = named(x, y, 0)
+                if worth is None and evidence >= other_evidence:
+                    worth = named(x, y, 1)
+                if worth is not None and worth + evidence >= threshold:
+                    keep.append((a[i], b[i], worth + evidence))
+            yield pd.DataFrame(keep, columns=["a", "b", "score"])
 
     return score
 
 
-def link_forms(
-    forms: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True,
-    together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False,
-) -> DataFrame:
-    """(a, b, a_entity, b_entity, score): linked forms."""
-    pairs = candidate_pairs(forms, attributes, others_initial, together, whole_blocks)
-    carried = ["entity", "plain", *[t.name for t in attributes]]
-    left = forms.select(F.col("form").alias("a"), *[F.col(c).alias(f"a_{c}") for c in carried])
-    right = forms.select(F.col("form").alias("b"), *[F.col(c).alias(f"b_{c}") for c in carried])
-    joined = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    return joined.mapInPandas(_scorer(attributes, threshold, other_evidence), "a long, b long, a_entity long, b_entity long, score double")
+def link_forms(forms: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, rules: Sequence[Rule]) -> DataFrame:
+    """(a, b, score): linked forms; a form that stands for several entities which are one is linked to itself."""
+    distinct = cut_lineage(forms.groupBy("form").agg(*[F.first(c).alias(c) for c in ("block", "plain", *[t.name for t in attributes])], F.count(F.lit(1)).alias("_n")))
+    pairs = candidate_pairs(distinct.drop("_n"), attributes, rules)
+    pairs = pairs.unionByName(distinct.where("_n > 1").select(F.col("form").alias("a"), F.col("form").alias("b")))
+    carried = ["plain", *[t.name for t in attributes]]
+    side = lambda p: distinct.select(F.col("form").alias(p), *[F.col(c).alias(f"{p}_{c}") for c in carried])
+    joined = pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").where(compatible(attributes, "a_", "b_"))
+    return joined.mapInPandas(_scorer(attributes, threshold, other_evidence), "a long, b long, score double")
 
 
-def variant_groups(
-    rows: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, others_initial: bool = True,
-    together: Sequence[tuple[str, ...]] = (), whole_blocks: bool = False,
-) -> DataFrame:
+def variant_groups(rows: DataFrame, attributes: Sequence[Attribute], threshold: float, other_evidence: float, rules: Sequence[Rule]) -> DataFrame:
     """(entity, group, one array per attribute) of linked entities; ``rows`` as for ``spelling_forms``."""
     forms = cut_lineage(spelling_forms(rows, attributes))
-    links = link_forms(forms, attributes, threshold, other_evidence, others_initial, together, whole_blocks)
-    grouped = components(links.where("a_entity <> b_entity"), "a_entity", "b_entity")
+    links = cut_lineage(link_forms(forms, attributes, threshold, other_evidence, rules).select("a", "b"))
+    linked = links.select(F.col("a").alias("form")).unionByName(links.select(F.col("b").alias("form"))).distinct()
+    # entities hang on their forms: many entities of one form are as many links, not as many squared
+    owned = forms.join(linked.hint("merge"), "form", "left_semi").select(F.col("entity").alias("a"), F.xxhash64(F.lit("form"), "form").alias("b"))
+    between = links.where("a <> b").select(F.xxhash64(F.lit("form"), "a").alias("a"), F.xxhash64(F.lit("form"), "b").alias("b"))
+    grouped = components(owned.unionByName(between), "a", "b")
     values = forms.select("entity", *[t.name for t in attributes]).dropDuplicates(["entity"])
     return grouped.join(values.hint("merge"), grouped["node"] == values["entity"]).select(
         "entity", F.col("component").alias("group"), *[t.name for t in attributes]

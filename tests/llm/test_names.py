@@ -62,13 +62,57 @@ def test_contradictions_cost():
     assert attribute_worth(jersey, [7], [97]) == jersey.near and attribute_worth(jersey, [7], [8]) < -50 and attribute_worth(jersey, [], [8]) == 0
 
 
-def test_many_tokens_align_only_as_equals():
-    long = " ".join(f"part{c}" for c in "abcdefgh")
-    assert nm.align(nm.tokens(long)[0], nm.tokens(" ".join(reversed(long.split())))[0]) is not None
-    assert nm.align(nm.tokens(long)[0], nm.tokens(long + "x")[0]) is None
+def test_names_of_many_tokens_are_aligned_as_a_whole():
+    long = " ".join(f"{c}part{c}" for c in "abcdefgh")
+    other = " ".join(reversed(long.split())).replace("cpartc", "cpartce")
+    assert nm.align(nm.tokens(long)[0], nm.tokens(other)[0]) == (nm.COST["short"], {"same": 7, "short": 1, "over": 0, "crossed": 0})
+    assert nm.align(nm.tokens(long)[0], nm.tokens(long + " zorro quentin")[0]) is None
     assert nm.tokens("x" * 100_000)[0] == ("x" * 100_000,)
 
 
+def test_least_cost_equals_all_permutations():
+    r = random.Random(5)
+    for _ in range(200):
+        n = r.randrange(1, 6)
+        cost = [[r.choice([0.0, 1.0, 1.5, 2.5, 3.0, nm.FORBIDDEN]) for _ in range(n)] for _ in range(n)]
+        total, columns = nm.least_cost(nm.np.array(cost))
+        assert sorted(columns) == list(range(n))
+        assert abs(total - min(sum(cost[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(n)))) < 1e-6
+
+
+FIRST = ["william", "bill", "robert", "bob", "christopher", "chris", "topher", "anthony", "tony", "jo", "joe", "mark", "marcus", "ezekiel", "zeke", "anna", "joanna", "phil"]
+LAST = ["stonewell", "dunurberg", "drayelley", "okaforsen", "li", "lee", "quentin", "xanundsen", "macalister", "sotomeyer", "vanderkolk", "ruiz"]
+
+
+def slip(r, word):
+    i = r.randrange(len(word))
+    return r.choice([word[:i] + word[i + 1 :], word[:i] + r.choice("aeklt") + word[i:], word[:i] + r.choice("aeklt") + word[i + 1 :], word[: max(i - 1, 0)] + word[max(i - 1, 0) : i + 1][::-1] + word[i + 1 :]]) or word
+
+
+def test_every_pair_the_scorer_accepts_has_the_entries_that_the_rules_rely_on():
+    r = random.Random(9)
+    linked = 0
+    for _ in range(6000):
+        a = [r.choice(FIRST), r.choice(LAST)][r.randrange(2) :] if r.random() < 0.1 else [r.choice(FIRST), r.choice(LAST)]
+        b = [w if r.random() < 0.8 else r.choice(FIRST + LAST) for w in a]
+        for _ in range(r.randrange(4)):
+            i = r.randrange(len(b))
+            b[i] = r.choice([slip(r, b[i]), b[i][: max(3, len(b[i]) // 2)], b[i][-max(3, len(b[i]) - 2) :], b[i]])
+        x, y = nm.name_key(" ".join(a)), nm.name_key(" ".join(b))
+        s, t = nm.tokens(x), nm.tokens(y)
+        worth = name_worth(s, t, 0)
+        weak = name_worth(s, t, 1)
+        (near, ends, exact), (near_, ends_, exact_) = nm.index_entries(x), nm.index_entries(y)
+        if weak is not None:
+            linked += 1
+            assert set(ends) & set(ends_), (x, y)  # whatever the worth
+        if worth is not None and worth >= 3.0:
+            assert set(near) & set(near_), (x, y)  # chart links without evidence
+        if worth is not None and worth >= 4.0:
+            assert set(exact) & set(exact_), (x, y)  # match links without jersey and weight
+    assert linked > 1000
+
+
 def test_components_of_chains_and_rings(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     found = dict(rows(components(spark.createDataFrame(links, "a long, b long"))))
@@ -100,19 +144,19 @@ def test_chart_pairs(spark):
     assert people.chart_pairs(data.where("row_id > 99")).count() == 0
 
 
-MATCH = "row_id long, player_key string, canonical_name string, standard_pos string, jersey int, madden_jersey int, height string, weight int, age int, entity string"
+MATCH = "row_id long, player_key string, canonical_name string, ourlads_name string, standard_pos string, jersey int, madden_jersey int, height string, weight int, age int, entity string"
 
 
 def test_match_pairs(spark):
     data = spark.createDataFrame(
         [
-            (0, "a", "Leonard Shanopdez", "QB", 7, None, "6-1", 200, 25, "x"),
-            (1, "b", "Leo Shanopdez", "QB", None, 7, "6'1\"", 200, 26, "x"),
-            (2, "a", "Leo Shanopdez", "QB", 7, None, None, None, None, "x"),  # the same key is no pair
-            (3, "c", "Leonard Shanopdez", "QB", 8, None, "6-1", 200, 25, "x"),  # a namesake
-            (4, None, None, None, None, None, None, None, None, "x"),
-            (6, None, "L Shanopdez", "QB", 7, None, "6-1", 200, None, "x"),  # without a key: an entity of its own
-            (5, "d", "Le​onard Shanopdez", "QB", 7, None, "6-1", 200, None, "x"),
+            (0, "a", "Leonard Shanopdez", None, "QB", 7, None, "6-1", 200, 25, "x"),
+            (1, "b", "Leo Shanopdez", None, "QB", None, 7, "6'1\"", 200, 26, "x"),
+            (2, "a", "Leo Shanopdez", None, "QB", 7, None, None, None, None, "x"),  # the same key is no pair
+            (3, "c", "Leonard Shanopdez", None, "QB", 8, None, "6-1", 200, 25, "x"),  # a namesake
+            (4, None, None, None, None, None, None, None, None, None, "x"),
+            (6, None, "L Shanopdez", None, "QB", 7, None, "6-1", 200, None, "x"),  # without a key: an entity of its own
+            (5, "d", "Le​onard Shanopdez", None, "QB", 7, None, "6-1", 200, None, "x"),
         ],
         MATCH,
     )
@@ -134,10 +178,10 @@ def test_strong_evidence_links_names_without_a_common_index_entry(spark):
 
 def test_agreeing_match_rows_link_without_a_common_index_entry(spark):
     data = [
-        (0, "a", "David Stavelmaer", "WR", 7, None, "6-1", 200, 25, "x"),
-        (1, "b", "Dave Stavelmore", "WR", 7, None, "6'1", 200, 26, "x"),
-        (2, "c", "David Stavelmaer", "WR", 8, None, "6-1", 200, 25, "x"),  # contradicts in jersey
-        (3, "d", "Coyb Drayelley", "WR", 9, None, "5-9", 180, None, "x"),
-        (4, "e", "Decoby Drayelley", "WR", 9, None, "5-9", 180, None, "x"),
+        (0, "a", "David Stavelmaer", None, "WR", 7, None, "6-1", 200, 25, "x"),
+        (1, "b", "Dave Stavelmore", None, "WR", 7, None, "6'1", 200, 26, "x"),
+        (2, "c", "David Stavelmaer", None, "WR", 8, None, "6-1", 200, 25, "x"),  # contradicts in jersey
+        (3, "d", "Coyb Drayelley", None, "WR", 9, None, "5-9", 180, None, "x"),
+        (4, "e", "Decoby Drayelley", None, "WR", 9, None, "5-9", 180, None, "x"),
     ]
     assert rows(people.match_pairs(spark.createDataFrame(data, MATCH))) == [(0, 1), (3, 4)]
