@@ -180,8 +180,37 @@ def _name_entries(names: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([found[n] for n in names], columns=["near", "ends", "exact"])
 
 
+def signature(attributes: Sequence[Attribute]) -> Column:
+    """The single values of all forbidding attributes in one number, so that pairs are refused before they are written.
+
+    Each attribute has the same number of bits: 0 for no or several values, else
+    1 + the value modulo the rest of the range.
+    """
+    forbidding = [t for t in attributes if t.contradiction is None]
+    width = 63 // max(len(forbidding), 1)
+    packed = F.lit(0).cast("long")
+    for i, t in enumerate(forbidding):
+        code = F.when(F.size(t.name) == 1, 1 + F.pmod(F.get(F.col(t.name), F.lit(0)).cast("long"), F.lit((1 << width) - 1))).otherwise(F.lit(0).cast("long"))
+        packed = packed.bitwiseOR(F.shiftleft(code, i * width))
+    return packed
+
+
+def signatures_allow(attributes: Sequence[Attribute], a: Column, b: Column) -> Column:
+    """False only for pairs of signatures that contradict each other in an attribute."""
+    forbidding = [t for t in attributes if t.contradiction is None]
+    width = 63 // max(len(forbidding), 1)
+    mask = (1 << width) - 1
+    allowed = F.lit(True)
+    for i, t in enumerate(forbidding):
+        x, y = (F.shiftrightunsigned(s, i * width).bitwiseAND(mask) for s in (a, b))
+        steps = {0, *range(-t.tolerance, t.tolerance + 1), *t.steps, *(s - t.modulus for s in t.steps if t.modulus and s > 0), *(s + t.modulus for s in t.steps if t.modulus and s < 0)}
+        close = x == y if steps == {0} else F.pmod(x - y, F.lit(mask)).isin(sorted({s % mask for s in steps}))
+        allowed = allowed & ((x == 0) | (y == 0) | close)
+    return allowed
+
+
 def _entries_of(forms: DataFrame, attributes: Sequence[Attribute], rules: Sequence[Rule]) -> DataFrame:
-    """(entry, form): the hashed keys of the rules."""
+    """(entry, form, sig): the hashed keys of the rules."""
     hashes = []
     for i, rule in enumerate(rules):
         keys = _agreement_keys(attributes, rule.together)
@@ -191,20 +220,21 @@ def _entries_of(forms: DataFrame, attributes: Sequence[Attribute], rules: Sequen
             hashes.append(F.flatten(F.transform(keys, combine)))
         else:
             hashes.append(F.transform(keys, lambda k: F.xxhash64(F.lit(i), block, k)))  # noqa: B023
-    return forms.select(F.explode(F.concat(*hashes)).alias("entry"), "form")
+    return forms.select(F.explode(F.concat(*hashes)).alias("entry"), "form", "sig")
 
 
 def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], rules: Sequence[Rule]) -> DataFrame:
     """(a, b): distinct forms that a rule makes candidates, the smaller first. ``forms`` has one row per form."""
     named = forms.withColumn("_names", F.pandas_udf(_name_entries, _NAME_ENTRIES)("plain")) if any(r.entries for r in rules) else forms
-    named = cut_lineage(named)
+    named = cut_lineage(named.withColumn("sig", signature(attributes)))
     free = [r for r in rules if not r.one_lacks]
     found = []
+    allowed = (F.col("l.entry") == F.col("r.entry")) & signatures_allow(attributes, F.col("l.sig"), F.col("r.sig"))
     if free:
         entries = _entries_of(named, attributes, free)
         # both sides are one exchange; exploded sides outgrow their estimate, so the planner may not broadcast one
         l, r = entries.alias("l"), entries.alias("r").hint("merge")
-        found.append(l.join(r, (F.col("l.entry") == F.col("r.entry")) & (F.col("l.form") < F.col("r.form"))).select(F.col("l.form").alias("a"), F.col("r.form").alias("b")))
+        found.append(l.join(r, allowed & (F.col("l.form") < F.col("r.form"))).select(F.col("l.form").alias("a"), F.col("r.form").alias("b")))
     for lacking in sorted({r.one_lacks for r in rules if r.one_lacks}):
         some = F.lit(False)
         for name in lacking:
@@ -214,7 +244,7 @@ def candidate_pairs(forms: DataFrame, attributes: Sequence[Attribute], rules: Se
             continue  # no pair can meet the condition
         bound = [r for r in rules if r.one_lacks == lacking]
         l, r = _entries_of(few, attributes, bound).alias("l"), _entries_of(named, attributes, bound).alias("r").hint("merge")
-        pairs = l.join(r, (F.col("l.entry") == F.col("r.entry")) & (F.col("l.form") != F.col("r.form")))
+        pairs = l.join(r, allowed & (F.col("l.form") != F.col("r.form")))
         found.append(pairs.select(F.least("l.form", "r.form").alias("a"), F.greatest("l.form", "r.form").alias("b")))
     pairs = found[0]
     for more in found[1:]:
