@@ -2,11 +2,14 @@
 
 1. Both sides become records: one per entity (player key, roster id) and name key.
 2. Sorted neighbourhood over composite sort keys of measures and of names;
-   sliding windows compare records of different sides with weighted field
-   similarities. A contradiction in a measure costs more than any agreement of
-   names can win, so namesakes and relatives fall below the threshold.
-3. One-to-one assignment between entities, maximising the total score. Keys
-   that lose an id to a key that is plainly the same player share it.
+   records of different sides within a window, or with an equal leading part of
+   the key, are compared with weighted field similarities. A contradiction in a
+   measure costs more than any agreement of names can win, so namesakes and
+   relatives fall below the threshold.
+3. Keys of the match rows that share their best id and contradict each other in
+   no measure are one player under several keys: they are merged.
+4. One-to-one assignment between players and ids, maximising the total score.
+   All rows of a merged player get its id.
 
 Defined results
 ---------------
@@ -23,7 +26,7 @@ import itertools
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.llm import names as nm
@@ -31,7 +34,7 @@ from gridloom.llm.assignment import assign
 from gridloom.llm.neighbourhood import sorted_neighbourhood
 from gridloom.llm.people import entity_of, hashed, inches
 from gridloom.llm.survivors import UNKNOWN
-from gridloom.llm.variants import name_worth, with_name_key
+from gridloom.llm.variants import NAME_WORTH, name_worth, with_name_key
 from gridloom.session import cut_lineage
 
 #: Roster positions that each position of the match rows may appear as.
@@ -44,11 +47,12 @@ WORTH = {"jersey": (4.0, -8.0), "height": (2.0, -6.0), "weight": (3.0, -6.0), "a
 #: Pounds within which weights agree, years within which ages do.
 WEIGHT_NEAR, AGE_NEAR = 6, 1
 THRESHOLD = 9.0
+#: Worth of all other fields from which one token of the names may differ altogether.
+OTHER_EVIDENCE = 11.0
 #: Score at which ``match_confidence`` is 100.
 FULL_SCORE = 21.0
-WINDOW = 40
-#: A pair further than this below the best pair of its key takes no part in the assignment.
-MARGIN = 3.0
+#: Records after each that are compared with it besides those of an equal leading part.
+WINDOW = 20
 
 
 def known_text(c: Column) -> Column:
@@ -109,23 +113,38 @@ def _records(rows: DataFrame, side: int) -> DataFrame:
     return named.join(said.hint("merge"), "entity").withColumn("side", F.lit(side))
 
 
+def with_key_token(records: DataFrame) -> DataFrame:
+    """``records`` with ``token``, the rarest token of the name over all records (usually the family name), and ``rest``, the others."""
+    tokens = records.select("entity", "name_key", F.explode(F.split("name_key", " ")).alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    rarest = F.max_by("token", F.struct(-F.col("n"), F.length("token"), "token"))
+    chosen = tokens.join(counts.hint("merge"), "token").groupBy("entity", "name_key").agg(rarest.alias("token"))
+    rest = F.array_join(F.array_sort(F.array_except(F.split("name_key", " "), F.array("token"))), " ")
+    return records.join(chosen.hint("merge"), ["entity", "name_key"]).withColumn("rest", rest)
+
+
 def sort_keys() -> Column:
-    """The composite sort keys, one per pass; a pass whose leading parts are unknown is skipped."""
+    """The composite sort keys, one per pass, with their leading parts; a pass whose parts are unknown is skipped."""
     number = lambda c: F.lpad(c.cast("string"), 3, "0")
-    words = F.split("name_key", " ")
-    longest = F.element_at(F.array_sort(F.transform(words, lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), 1)["w"]
-    rest = F.array_join(F.array_sort(F.array_except(words, F.array(longest))), " ")
     jersey, height = number(F.col("jersey")), number(F.col("height"))
     weight, age = number(((F.col("weight_low") + F.col("weight_high")) / 2).cast("int")), number(F.col("age_low"))
+    known = lambda c: F.coalesce(c, F.lit(""))
+    token, rest, letter = F.col("token"), F.col("rest"), F.substring("token", 1, 1)
     keys = [
-        F.concat(jersey, height, F.coalesce(weight, F.lit("")), longest),
-        F.concat(jersey, weight, F.coalesce(age, F.lit("")), longest),
-        F.concat(height, weight, F.coalesce(age, F.lit("")), longest),
-        F.concat(jersey, age, longest),
-        F.concat(longest, F.lit(" "), rest, F.coalesce(height, F.lit("")), F.coalesce(weight, F.lit(""))),
-        F.concat(F.reverse(longest), F.lit(" "), rest, F.coalesce(jersey, F.lit(""))),
+        (F.concat(jersey, height, letter), F.concat(known(weight), token)),
+        (F.concat(jersey, weight), F.concat(known(age), token)),
+        (F.concat(jersey, age, letter), token),
+        (F.concat(jersey, F.substring(token, -4, 4)), token),
+        (F.concat(height, weight, letter), F.concat(known(age), token)),
+        (F.concat(height, age, letter), F.concat(known(weight), token)),
+        (token, F.concat(rest, known(height), known(weight))),
+        (F.concat(F.reverse(token), F.lit(" "), F.substring(rest, 1, 1)), F.concat(rest, known(height))),
     ]
-    return F.array(*[F.struct(F.lit(i).alias("p"), k.alias("k")) for i, k in enumerate(keys)])
+    passes = F.array(*[F.struct(F.lit(i).alias("p"), lead.alias("lead"), k.alias("k")) for i, (lead, k) in enumerate(keys)])
+    # every token of some length beside a measure: a slip in one token leaves the others
+    words = F.filter(F.split("name_key", " "), lambda w: F.length(w) > 2)
+    beside = lambda p, measure: F.transform(words, lambda w: F.struct(F.lit(p).alias("p"), F.concat(w, F.lit(" "), measure).alias("lead"), known(weight).alias("k")))
+    return F.concat(passes, beside(len(keys), height), beside(len(keys) + 1, age))
 
 
 def _college_worth(a: str, b: str) -> float:
@@ -144,89 +163,109 @@ def _position_worth(a: str, b: str) -> float:
     return WORTH["position"][0 if wanted & set(b.split("|")) else 1]
 
 
-def _letters(name_key: str) -> int:
-    """Bits for the first and the last letters of the tokens; names that align have two in common but for rare slips."""
-    bits = 0
-    for token in name_key.split(" "):
-        bits |= 1 << (ord(token[0]) % 31) | 1 << (31 + ord(token[-1]) % 31)
-    return bits
+def _codes(values: np.ndarray) -> tuple[np.ndarray, list]:
+    """Small numbers for values, and the values by number."""
+    codes, distinct = pd.factorize(pd.Series(values, dtype="object"), use_na_sentinel=False)
+    return codes, list(distinct)
 
 
-def _compare(block: pd.DataFrame, first: int, window: int) -> pd.DataFrame:
-    """Scores of the pairs of different sides within the window."""
-    number = lambda c: block[c].to_numpy(dtype="float64", na_value=np.nan)
-    side, pass_no = block["side"].to_numpy(), block["pass"].to_numpy()
-    jersey, height = number("jersey"), number("height")
-    light, heavy, young, old = number("weight_low"), number("weight_high"), number("age_low"), number("age_high")
-    entity, keys = block["entity"].to_numpy(), block["name_key"].to_numpy()
-    bits = np.array([_letters(k) for k in keys], dtype="uint64")
-    positions, colleges, teams = block["positions"].to_numpy(), block["colleges"].to_numpy(), block["teams"].to_numpy()
-    parsed: dict[str, tuple[tuple[str, ...], str]] = {}
-    found: dict[tuple[int, int], float] = {}
-    seen: set[tuple[int, str, int, str]] = set()
-    for d in range(1, min(window, len(block) - 1) + 1):
-        i = np.arange(min(first, len(block) - d))
-        j = i + d
-        unknown = lambda x: np.isnan(x[i]) | np.isnan(x[j])  # noqa: B023, E731
-
-        def worth(field: str, same: np.ndarray, missing: np.ndarray) -> np.ndarray:
-            return np.where(missing, 0.0, np.where(same, *WORTH[field]))
-
-        total = worth("jersey", jersey[i] == jersey[j], unknown(jersey)) + worth("height", height[i] == height[j], unknown(height))
-        apart = np.maximum(light[i] - heavy[j], light[j] - heavy[i])
-        total += worth("weight", apart <= WEIGHT_NEAR, np.isnan(apart))
-        years = np.maximum(young[i] - old[j], young[j] - old[i])
-        total += worth("age", years <= AGE_NEAR, np.isnan(years))
-        # what name, position, college and team can still add
-        hopeful = (side[i] != side[j]) & (pass_no[i] == pass_no[j]) & (total + 11.0 >= THRESHOLD)
-        hopeful &= np.bitwise_count(bits[i] & bits[j]) >= 2
-        for x in np.flatnonzero(hopeful):
-            a, b = (x, x + d) if side[x] == 0 else (x + d, x)
-            key = (entity[a], keys[a], entity[b], keys[b])
-            if key in seen:
-                continue
-            seen.add(key)
-            for k in (keys[a], keys[b]):
-                if k not in parsed:
-                    parsed[k] = nm.tokens(k)
-            named = name_worth(parsed[keys[a]], parsed[keys[b]], others=0)
-            if named is None:
-                continue
-            score = total[x] + named + _position_worth(positions[a], positions[b])
-            score += _college_worth(colleges[a], colleges[b])
-            if set(teams[a].split("|")) & set(teams[b].split("|")) - {""}:
-                score += WORTH["team"][0]
-            if score >= THRESHOLD:
-                found[entity[a], entity[b]] = max(score, found.get((entity[a], entity[b]), 0.0))
-    return pd.DataFrame([(a, b, s) for (a, b), s in found.items()], columns=["l", "r", "score"])
+def _looked_up(a: np.ndarray, b: np.ndarray, judge) -> np.ndarray:
+    """``judge`` of two codes, once per distinct pair."""
+    joint = a.astype("int64") << 32 | b
+    distinct, place = np.unique(joint, return_inverse=True)
+    return np.array([judge(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in distinct], dtype="float64")[place]
 
 
-def matched_entities(records: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(l, r, score): entity of the match rows, entity of the roster, total weight."""
-    keyed = records.withColumn("passes", sort_keys())
+def _compare(rows: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+    """Scores of the pairs of rows that reach the threshold; of two rows one is of side 0 and one of side 1."""
+    empty = pd.DataFrame({"l": np.zeros(0, "int64"), "r": np.zeros(0, "int64"), "score": np.zeros(0)})
+    if not len(x):
+        return empty
+    number = lambda c: rows[c].to_numpy(dtype="float64", na_value=np.nan)
+    left = rows["side"].to_numpy()[x] == 0
+    i, j = np.where(left, x, y), np.where(left, y, x)
+
+    def worth(field: str, same: np.ndarray, missing: np.ndarray) -> np.ndarray:
+        return np.where(missing, 0.0, np.where(same, *WORTH[field]))
+
+    jersey, height = number("jersey"), number("height")
+    light, heavy, young, old = number("weight_low"), number("weight_high"), number("age_low"), number("age_high")
+    total = worth("jersey", jersey[i] == jersey[j], np.isnan(jersey[i]) | np.isnan(jersey[j]))
+    total += worth("height", height[i] == height[j], np.isnan(height[i]) | np.isnan(height[j]))
+    apart = np.maximum(light[i] - heavy[j], light[j] - heavy[i])
+    total += worth("weight", apart <= WEIGHT_NEAR, np.isnan(apart))
+    years = np.maximum(young[i] - old[j], young[j] - old[i])
+    total += worth("age", years <= AGE_NEAR, np.isnan(years))
+    # each further field is judged once per distinct pair of values, and only where the rest can still reach the threshold
+    left_to_win = sum(most for _, most, _ in _FURTHER)
+    for field, most, judge in _FURTHER:
+        hopeful = total + left_to_win >= THRESHOLD
+        left_to_win -= most
+        i, j, total = i[hopeful], j[hopeful], total[hopeful]
+        if not len(i):
+            return empty
+        codes, values = _codes(rows[field].to_numpy())
+        added = _looked_up(codes[i], codes[j], lambda a, b: judge(values[a], values[b]))  # noqa: B023
+        if field == "name_key":
+            again = np.isinf(added) & (total >= OTHER_EVIDENCE)
+            if again.any():
+                added[again] = _looked_up(codes[i[again]], codes[j[again]], lambda a, b: _name_worth(1)(values[a], values[b]))  # noqa: B023
+        total = total + added
+    good = total >= THRESHOLD
+    entity = rows["entity"].to_numpy()
+    return pd.DataFrame({"l": entity[i[good]], "r": entity[j[good]], "score": total[good]}).groupby(["l", "r"], as_index=False)["score"].max()
+
+
+def _name_worth(others: int):
+    def judge(a: str, b: str) -> float:
+        found = name_worth(nm.tokens(a), nm.tokens(b), others)
+        return -np.inf if found is None else found
+
+    return judge
+
+
+def _team_worth(a: str, b: str) -> float:
+    return WORTH["team"][0 if set(a.split("|")) & set(b.split("|")) - {""} else 1]
+
+
+#: Fields judged by distinct values, with the most that each can add.
+_FURTHER = (
+    ("positions", WORTH["position"][0], _position_worth), ("teams", WORTH["team"][0], _team_worth),
+    ("colleges", WORTH["college"][0], _college_worth), ("name_key", NAME_WORTH, _name_worth(0)),
+)
+
+
+def scored_pairs(records: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(l, r, score): entity of the match rows, entity of the roster, best total weight of their records."""
+    keyed = with_key_token(records).withColumn("passes", sort_keys()).drop("token", "rest")
     scored = sorted_neighbourhood(keyed, "passes", _compare, "l long, r long, score double", window, "entity")
-    pairs = scored.groupBy("l", "r").agg(F.max("score").alias("score"))
-    best = F.max("score").over(Window.partitionBy("l"))
-    pairs = cut_lineage(pairs.withColumn("_best", best).where(F.col("score") >= F.col("_best") - MARGIN).drop("_best"))
-    chosen = cut_lineage(assign(pairs))
-    return chosen.unionByName(_shared(pairs, chosen, records))
+    return scored.groupBy("l", "r").agg(F.max("score").alias("score"))
+
 
+def merged_players(pairs: DataFrame, records: DataFrame) -> DataFrame:
+    """(l, unit): match entities, and the player each belongs to (the entity itself unless it is merged).
 
-def _shared(pairs: DataFrame, chosen: DataFrame, records: DataFrame) -> DataFrame:
-    """Pairs of keys that lost their best id to a key that no measure tells apart from them."""
+    An entity joins the one that scores highest with the same best id, unless a measure contradicts.
+    """
     measures = ["jersey", "height", "weight_low", "positions"]
     said = records.where("side = 0").select("entity", *measures).dropDuplicates(["entity"])
-    lost = pairs.join(chosen.select("l").hint("merge"), "l", "left_anti")
-    order = Window.partitionBy("l").orderBy(F.col("score").desc(), "r")
-    lost = lost.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
-    held = chosen.select(F.col("l").alias("w"), F.col("r").alias("w_r"))
-    rivals = lost.join(held.hint("merge"), F.col("r") == F.col("w_r"))
-    of = lambda prefix: said.select(*[F.col(c).alias(f"{prefix}{c}") for c in said.columns]).hint("merge")
-    rivals = rivals.join(of("a_"), F.col("l") == F.col("a_entity")).join(of("b_"), F.col("w") == F.col("b_entity"))
+    best = pairs.groupBy("l").agg(F.max_by(F.struct("r", "score"), F.struct("score", (-F.col("r")).alias("m"))).alias("b")).select("l", "b.r", "b.score")
+    best = cut_lineage(best.join(said.hint("merge"), F.col("l") == F.col("entity")).drop("entity"))
+    head = best.groupBy("r").agg(F.max_by(F.struct("l", *measures), F.struct("score", (-F.col("l")).alias("m"))).alias("h"))
+    joined = best.join(head.hint("merge"), "r")
     same = F.lit(True)
     for m in measures:
-        same = same & F.coalesce(F.col(f"a_{m}") == F.col(f"b_{m}"), F.lit(True))
-    return rivals.where(same).select("l", "r", "score")
+        same = same & F.coalesce(F.col(m) == F.col(f"h.{m}"), F.lit(True))
+    return joined.select("l", F.when(same, F.col("h.l")).otherwise(F.col("l")).alias("unit"))
+
+
+def matched_entities(records: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(l, r, score): entity of the match rows, its roster entity, and the score of its player with it."""
+    pairs = cut_lineage(scored_pairs(records, window))
+    units = cut_lineage(merged_players(pairs, records))
+    of_units = pairs.join(units.hint("merge"), "l").groupBy("unit", "r").agg(F.max("score").alias("score"))
+    chosen = assign(of_units.select(F.col("unit").alias("l"), "r", "score"))
+    return units.join(chosen.withColumnRenamed("l", "unit").hint("merge"), "unit").select("l", "r", "score")
 
 
 def roster_year(rosters: DataFrame) -> int:

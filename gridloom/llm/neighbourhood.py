@@ -1,72 +1,93 @@
 """Sorted neighbourhood: records of two sources under several composite sort keys, compared in sliding windows.
 
-All passes are one global sort. Ranks come from the sorted partitions' sizes;
-blocks of consecutive ranks, each with the first rows of the next block, go to
-tasks of equal size. A key that every record shares is then sorted by the rest
-of the key and spread over as many blocks as it fills: no task depends on how
-often a key occurs.
+All passes are one global sort. A record is compared with the ``window``
+records after it and with all records that share the leading part of its sort
+key, so what a pass finds doesn't depend on how densely the data fill the key's
+range. Ranks fall into blocks of equal size; a task compares one block with
+itself or with one other, so no task depends on how often a key occurs: a
+leading part that many records share is spread over as many pairs of blocks as
+it fills.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.ordering import ranked
 from gridloom.session import cut_lineage
 
-#: Rows of one block; a task holds one block and a window at a time.
+#: Rows of one block; a task holds two blocks at most.
 BLOCK_ROWS = 4000
+#: Pairs that are handed to the comparison at once.
+PAIRS_AT_ONCE = 500_000
 
 
-def ranked(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` with ``rank``: the row's place in the global order, without a global task.
+def window_pairs(rank: np.ndarray, reach: np.ndarray, kept: Callable[[np.ndarray, np.ndarray], np.ndarray], split: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (x, y) of the pairs with rank[x] < rank[y] <= reach[x] that ``kept`` lets pass, in portions; ranks ascend.
 
-    The sorted rows are written to the checkpoint folder first, so a lost
-    executor can't give a row another rank.
+    With ``split`` > 0 the first ``split`` rows are compared with the others only.
     """
-    placed = cut_lineage(
-        df.repartitionByRange(*[F.col(c).asc_nulls_last() for c in order])
-        .sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in order])
-        .withColumn("_place", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_place", 33)
-    sizes = sorted((row["p"], row["n"]) for row in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
-    starts, total = [], 0
-    for p, n in sizes:  # one entry per partition
-        starts.append((p, total))
-        total += n
-    offsets = df.sparkSession.createDataFrame(starts or [(0, 0)], "p long, start long")
-    return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), F.col("_part") == F.col("p"))
-        .withColumn("rank", F.col("start") + F.col("_place").bitwiseAND((1 << 33) - 1))
-        .drop("_place", "_part", "p", "start")
-    )
+    xs, ys, held = [], [], 0
+    if split:
+        rows = [(x, np.arange(split, np.searchsorted(rank, reach[x], side="right"))) for x in np.flatnonzero(reach[:split] >= rank[split])]
+        steps = ((np.full(len(y), x), y) for x, y in rows)
+    else:
+        n = len(rank)
+        last = np.searchsorted(rank, reach, side="right") - 1
+        most = int((last - np.arange(n)).max(initial=0))
+        steps = ((x, x + d) for d in range(1, most + 1) for x in (np.flatnonzero(last >= np.arange(n) + d),))
+    for x, y in steps:
+        ok = kept(x, y)
+        xs.append(x[ok])
+        ys.append(y[ok])
+        held += len(xs[-1])
+        if held > PAIRS_AT_ONCE:
+            yield np.concatenate(xs), np.concatenate(ys)
+            xs, ys, held = [], [], 0
+    if held:
+        yield np.concatenate(xs), np.concatenate(ys)
 
 
 def sorted_neighbourhood(
-    records: DataFrame, passes: str, compare: Callable[[pd.DataFrame, int, int], pd.DataFrame], schema: str, window: int, tie: str
+    records: DataFrame, passes: str, compare: Callable[[pd.DataFrame, np.ndarray, np.ndarray], pd.DataFrame], schema: str, window: int, tie: str
 ) -> DataFrame:
-    """Result of ``compare`` over every block.
+    """Result of ``compare`` over all pairs of neighbours that are of different sides.
 
-    ``passes`` is an array column of (p int, k string) sort keys, null keys
-    taking no part in their pass. ``compare(block, first, window)`` gets rows
-    sorted by rank, of which the first ``first`` are to be compared with the up
-    to ``window`` rows after each; ``pass`` must be equal for a comparison.
+    ``records`` has ``side``; ``passes`` is an array column of (p int, lead
+    string, k string) sort keys, null leads and keys taking no part in their
+    pass. ``compare(rows, x, y)`` gets rows and the places of the pairs' members.
+    A pair may be compared in several passes.
     """
     keyed = records.withColumn("_e", F.explode(passes)).drop(passes)
-    keyed = keyed.withColumn("pass", F.col("_e.p")).withColumn("sort_key", F.col("_e.k")).drop("_e").where(F.col("sort_key").isNotNull())
-    rows = ranked(keyed, "pass", "sort_key", tie)
-    block = F.floor(F.col("rank") / BLOCK_ROWS)
-    also = F.when((F.col("rank") % BLOCK_ROWS < window) & (block > 0), F.array(block, block - 1)).otherwise(F.array(block))
-    blocked = rows.drop("sort_key").withColumn("block", F.explode(also))
+    keyed = keyed.withColumns({"pass": F.col("_e.p"), "lead": F.col("_e.lead"), "sort_key": F.col("_e.k")}).drop("_e").where("lead IS NOT NULL AND sort_key IS NOT NULL")
+    rows = cut_lineage(ranked(keyed, "pass", "lead", "sort_key", tie).drop("sort_key"))
+    runs = rows.groupBy(F.col("pass").alias("_p"), F.col("lead").alias("_l")).agg(F.min("rank").alias("_from"), F.max("rank").alias("_to"))
+    long_runs = runs.where(F.col("_to") - F.col("_from") > window)
+    joined = rows.join(long_runs, (F.col("pass") == F.col("_p")) & (F.col("lead") == F.col("_l")), "left").drop("lead", "_p", "_l")
+    size = F.lit(BLOCK_ROWS)
+    reach = F.greatest(F.col("rank") + window, F.coalesce("_to", F.lit(-1)))
+    since = F.greatest(F.least(F.col("rank") - window, F.coalesce("_from", F.col("rank"))), F.lit(0))
+    block, first = F.floor(F.col("rank") / size), F.floor(since / size)
+    as_left = F.transform(F.sequence(block, F.floor(reach / size)), lambda j: F.struct(block.alias("i"), j.alias("j")))
+    as_right = F.when(first < block, F.transform(F.sequence(first, block - 1), lambda i: F.struct(i.alias("i"), block.alias("j"))))
+    tasks = F.concat(as_left, F.coalesce(as_right, F.array().cast("array<struct<i:bigint,j:bigint>>")))
+    spread = joined.withColumns({"reach": reach, "block": block, "_t": F.explode(tasks)}).drop("_from", "_to")
+    spread = spread.withColumns({"_i": F.col("_t.i"), "_j": F.col("_t.j")}).drop("_t")
 
-    def run(rows_of_block: pd.DataFrame) -> pd.DataFrame:
-        ordered = rows_of_block.sort_values("rank", kind="stable").reset_index(drop=True)
-        end = (int(ordered["block"].iat[0]) + 1) * BLOCK_ROWS
-        return compare(ordered, int((ordered["rank"] < end).sum()), window)
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        ordered = group.sort_values("rank", kind="stable").reset_index(drop=True)
+        own, other = int(ordered["_i"].iat[0]), int(ordered["_j"].iat[0])
+        split = 0 if own == other else int((ordered["block"] == own).sum())
+        side, pass_no = ordered["side"].to_numpy(), ordered["pass"].to_numpy()
+        found = []
+        if not (own != other and split in (0, len(ordered))):
+            kept = lambda x, y: (side[x] != side[y]) & (pass_no[x] == pass_no[y])
+            found = [compare(ordered, x, y) for x, y in window_pairs(ordered["rank"].to_numpy(), ordered["reach"].to_numpy(), kept, split)]
+        return pd.concat(found) if found else compare(ordered, np.zeros(0, int), np.zeros(0, int))
 
-    return blocked.groupBy("block").applyInPandas(run, schema)
+    return spread.groupBy("_i", "_j").applyInPandas(run, schema)

@@ -11,25 +11,30 @@ from pyspark.sql import functions as F
 from gridloom.llm import assignment as asg
 from gridloom.llm import matching as mt
 from gridloom.llm import neighbourhood as nb
+from gridloom.operators.ordering import ranked
 from tests.conftest import rows
 
 
 def test_ranks_are_the_global_order(spark):
     r = random.Random(3)
     df = spark.createDataFrame([(r.choice([None, "a", "b", "c"]), i) for i in range(200)], "k string, i int")
-    found = [x["i"] for x in nb.ranked(df, "k", "i").orderBy("rank").collect()]
+    found = [x["i"] for x in ranked(df, "k", "i").orderBy("rank").collect()]
     assert found == [x["i"] for x in df.orderBy(F.col("k").asc_nulls_last(), "i").collect()]
 
 
-def test_windows_cover_block_borders(spark, monkeypatch):
+@pytest.mark.parametrize("lead", ["one", "few"])
+def test_windows_and_runs_cover_block_borders(spark, monkeypatch, lead):
     monkeypatch.setattr(nb, "BLOCK_ROWS", 10)
-    df = spark.createDataFrame([(i,) for i in range(57)], "i int").withColumn("keys", F.expr("array(struct(1 AS p, 'same' AS k), struct(2 AS p, cast(null AS string) AS k))"))
+    run_of = (lambda i: 0) if lead == "one" else (lambda i: i // 23)
+    df = spark.createDataFrame([(i, i % 2, f"{run_of(i):03}", f"{i:03}") for i in range(57)], "i int, side int, lead string, k string")
+    df = df.withColumn("keys", F.expr("array(struct(1 AS p, lead AS lead, k AS k), struct(2 AS p, cast(null AS string) AS lead, k AS k), struct(3 AS p, lead AS lead, cast(null AS string) AS k))"))
 
-    def compare(block, first, window):
-        return pd.DataFrame([(int(block["i"][a]), int(block["i"][a + d])) for a in range(first) for d in range(1, window + 1) if a + d < len(block)], columns=["a", "b"])
+    def compare(block, x, y):
+        return pd.DataFrame({"a": block["i"].to_numpy()[x], "b": block["i"].to_numpy()[y]})
 
-    found = rows(nb.sorted_neighbourhood(df, "keys", compare, "a int, b int", 4, "i"))
-    assert sorted(found) == [(i, i + d) for i in range(57) for d in range(1, 5) if i + d < 57]
+    found = rows(nb.sorted_neighbourhood(df.drop("lead", "k"), "keys", compare, "a int, b int", 4, "i"))
+    assert sorted(found) == [(i, j) for i in range(57) for j in range(i + 1, 57) if i % 2 != j % 2 and (j - i <= 4 or run_of(i) == run_of(j))]
+    assert nb.sorted_neighbourhood(df.drop("lead", "k").where("i > 99"), "keys", compare, "a int, b int", 4, "i").count() == 0
 
 
 def exhaustive(weights):
@@ -52,13 +57,23 @@ def test_assignment_is_optimal(seed):
         assert sum(weights[p] for p in chosen) == exhaustive(weights)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_assignment_of_larger_components_is_optimal(seed):
+    r = random.Random(seed)
+    weights = {(a, b): r.randrange(1, 40) / 2 for a in range(7) for b in range(10, 16) if r.random() < 0.5}
+    chosen = asg.best_assignment(weights)
+    assert len({a for a, _ in chosen}) == len({b for _, b in chosen}) == len(chosen)
+    assert sum(weights[p] for p in chosen) == exhaustive(weights)
+
+
 def test_assign_over_a_table(spark, monkeypatch):
     pairs = [(1, 1, 5.0), (1, 2, 4.0), (2, 1, 4.0), (7, 7, 3.0)]
     df = spark.createDataFrame(pairs, "l long, r long, score double")
     assert rows(asg.assign(df)) == [(1, 2, 4.0), (2, 1, 4.0), (7, 7, 3.0)]
     assert asg.assign(df.where("l > 99")).count() == 0
-    monkeypatch.setattr(asg, "EXACT_EDGES", 2)  # the way of components that no task should hold
-    assert rows(asg.assign(df)) == [(1, 1, 5.0), (7, 7, 3.0)]
+    monkeypatch.setattr(asg, "TASK_EDGES", 2)  # the way of components that no task should hold
+    monkeypatch.setattr(asg, "STEP", 0.25)
+    assert rows(asg.assign(df)) == [(1, 2, 4.0), (2, 1, 4.0), (7, 7, 3.0)]
 
 
 MATCH = "row_id long, player_key string, canonical_name string, team string, standard_pos string, jersey int, madden_jersey int, college string, age int, height string, weight int, side string, name string"
@@ -97,6 +112,12 @@ def test_roster_matches(spark, tables):
     assert all(0 < r["match_confidence"] <= 100 for r in found.collect())
 
 
+def test_merged_keys_share_an_id_and_others_do_not(spark):
+    records = spark.createDataFrame([(1, 7, 73, 200, "WR", 0), (2, None, 73, None, "WR", 0), (3, 8, 73, 200, "WR", 0)], "entity long, jersey int, height int, weight_low int, positions string, side int")
+    pairs = spark.createDataFrame([(1, 50, 20.0), (2, 50, 15.0), (3, 50, 12.0), (3, 60, 10.0)], "l long, r long, score double")
+    assert rows(mt.merged_players(pairs, records)) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_empty_sides(spark, tables):
     matches, rosters = tables
     assert mt.match_rosters(matches.where("row_id > 99"), rosters).count() == 0
