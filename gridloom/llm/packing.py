@@ -12,7 +12,8 @@ Defined results
 * A null text is no item. An empty text has size 0 and fits anywhere.
 * An item that exceeds the capacity is split into full pieces, each filling a
   container, and a rest that is placed like any item. No other item is split.
-* Repeated rows are separate items. Ties are placed by identifier.
+* Repeated rows are separate items. Ties are placed by identifier. The same
+  items give the same containers in whatever order or files they come.
 * A capacity that is null or below 1 is no container; an empty table fills none.
 """
 
@@ -25,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.ordering import ranked_within
 from gridloom.session import cut_lineage
 
 #: Items of one group: a group is packed in one task.
@@ -85,10 +87,12 @@ def pack_items(items: DataFrame, packs: Sequence[tuple[str, int]], item: str, si
     ``packs`` are the kinds of container with their capacities; every kind gets all items.
     """
     kept = [(n, int(c)) for n, c in packs if c is not None and c >= 1]
-    numbered = cut_lineage(items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("n_tokens")).withColumn("_n", F.monotonically_increasing_id()))
+    # groups follow from the identifier and, for repeated ones, the copy: the layout of the files plays no part
+    sized = items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("n_tokens"))
+    numbered = cut_lineage(ranked_within(sized, ["item"], ["n_tokens"], "_copy"))
     groups = max(1, math.ceil(numbered.count() / GROUP_ITEMS))
     kinds = F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("long").alias("capacity")) for n, c in kept]) if kept else None
-    grouped = numbered.withColumn("pack_group", F.pmod(F.xxhash64("_n", F.lit(seed)), F.lit(groups))).drop("_n")
+    grouped = numbered.withColumn("pack_group", F.pmod(F.xxhash64("item", "_copy", F.lit(seed)), F.lit(groups))).drop("_copy")
     if kinds is None:
         kinds = F.array().cast("array<struct<pack_name:string,capacity:bigint>>")
     spread = grouped.withColumn("_k", F.explode(kinds)).select("item", "n_tokens", "pack_group", "_k.pack_name", "_k.capacity")

@@ -68,7 +68,7 @@ def test_packing_is_whole_and_within_capacity(spark, monkeypatch):
     assert pk.pack_items(items, [], "doc", "n").count() == 0
 
 
-SIZED = "doc long, source string, weight double, n_tokens long, number long, epochs string"
+SIZED = "doc long, source string, weight double, n_tokens long, copy long, epochs string"
 
 
 def sized_table(spark, counts, size=10):
@@ -86,7 +86,7 @@ TARGETS = "mix_name string, source string, target_share double, max_repeats int,
 def test_mix_meets_budgets(spark):
     sized = sized_table(spark, {"big": 300, "mid": 60, "tiny": 10})
     targets = spark.createDataFrame([("m", "big", 0.5, 2, "x"), ("m", "mid", 0.4, 3, "x"), ("m", "tiny", 0.1, 2, "x"), ("m", "gone", 0.0, None, "x"), ("m", None, 0.3, 1, "x")], TARGETS)
-    plan = mx.mix_plan(sized, targets)
+    plan = mx.mix_plan(sized, targets, size=3700)
     budgets = {r["source"]: (r["budget"], r["epochs"], r["rest"]) for r in plan.collect()}
     assert budgets == {"big": (1850, 0, 1850), "mid": (1480, 2, 280), "tiny": (200, 2, 0), "gone": (0, 0, 0)}
     mixed = mx.mix_documents(sized, plan).cache()
@@ -99,6 +99,32 @@ def test_mix_meets_budgets(spark):
     assert sorted(map(tuple, mixed.collect())) == sorted(map(tuple, mx.mix_documents(sized, plan).collect()))
 
 
+def test_without_a_size_every_source_that_can_reaches_its_share(spark):
+    sized = sized_table(spark, {"big": 300, "mid": 60, "tiny": 10})
+    targets = spark.createDataFrame([("m", "big", 0.5, 1, "x"), ("m", "mid", 0.4, 3, "x"), ("m", "tiny", 0.1, 2, "x"), ("m", "none", 0.0, 1, "x"), ("n", "gone", 1.0, 1, "x")], TARGETS)
+    plan = mx.mix_plan(sized, targets)
+    budgets = {(r["mix_name"], r["source"]): (r["budget"], r["epochs"]) for r in plan.collect()}
+    assert budgets == {("m", "big"): (1000, 0), ("m", "mid"): (800, 1), ("m", "tiny"): (200, 2), ("m", "none"): (0, 0), ("n", "gone"): (0, 0)}
+    shares = {r["source"]: r["actual_share"] for r in mx.mix_shares(mx.mix_documents(sized, plan), plan).collect()}
+    assert abs(shares["big"] - 0.5) < 0.01 and abs(shares["mid"] - 0.4) < 0.01 and abs(shares["tiny"] - 0.1) < 0.01
+
+
+@needs_vocabulary
+def test_layout_of_the_input_changes_nothing(spark):
+    r = random.Random(4)
+    data = [(i, r.choice(["a", "b", None]), "word " * r.randrange(0, 60), 1) for i in range(150)] + [(3, "a", "again", 1), (3, "a", "again", 1), (None, "b", "no id", 1)]
+    docs = spark.createDataFrame(data, "doc_id long, source string, text string, n_tokens int")
+    other = docs.orderBy(F.desc("text")).repartition(3)
+    targets = spark.createDataFrame([("m", "a", 0.7, 1, "x"), ("m", "b", 0.3, 2, "x")], TARGETS)
+
+    def both(df):
+        sized = mx.sized_documents(df, "doc_id", "text", "source")
+        packed = pk.pack_items(tk.token_sizes(df.drop("n_tokens"), "text", ["doc_id"]), [("p", 40)], "doc_id", "n_tokens")
+        return rows(mx.mix_documents(sized, mx.mix_plan(sized, targets))), rows(packed)
+
+    assert both(docs) == both(other)
+
+
 def test_weights_matter(spark):
     data = [(i, "s", 1.0 if i % 2 else 0.25, 10, i, "x") for i in range(4000)]
     sized = spark.createDataFrame(data, SIZED)
