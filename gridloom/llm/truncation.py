@@ -1,10 +1,13 @@
 """Texts cut off before the author's end.
 
-1. A trailing footer or cut mark is taken off each text; what remains is its body.
+1. Trailing footers and a cut mark are taken off each text; what remains is its
+   body. Footers are learnt: lines whose first word stands (almost) only at the
+   end of texts, in many of them, and doesn't begin sentences.
 2. Length hazards: per source and way of measuring, the share of texts that end
    at a length among those that reach it. Each hazard is tested against the
-   pooled hazards of neighbouring lengths (Poisson tail), with false-discovery
-   control per source: significant lengths are the limits that fields had.
+   pooled hazard of the neighbouring lengths (Poisson tail of the texts at
+   risk), with false-discovery control per source: significant lengths are the
+   limits that fields had.
 3. Ending statistics of all texts: how often the last words of a body, wherever
    they occur inside a text, end a sentence there. An ending in whose place
    sentences rarely end is incomplete; at a significant length the benefit of
@@ -29,26 +32,24 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
 from itertools import compress
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from gridloom.session import cut_lineage
-
-#: Lines that publishers append below a text.
-FOOTERS = (
-    r"(?:-- )?filed from [^\n]{1,40}", r"Filed \d+/\d+", r"Desk note \d+/\d+", r"Rating: ?\d+/\d+", r"Posted on \w+",
-    r"Compiled by [^\n]{1,50}", r"Next: [^\n]{1,60}", r"Tags?: [^\n]{1,90}", r"Final: [^\n]{1,60}",
-    r"\[end of [^\n\]]{1,30}\]", r"\(full [^\n)]{1,60}\)", r"(?:#\w+ ?)+", r"[^\w\s]*[\U0001F000-\U0001FAFF☀-➿️]+",
-)
-#: Marks that a cut leaves; the last group also ends texts that trail off on purpose.
-MARKS = r"\s*(?:\.\.\.|…)?\s*(?:\[(?:more|truncated|cont(?:inued|\.)?|\.\.\.|…)\]|\((?:more|cont\.?|continued)\)|>>+|Read more)"
-TRAILING = r"(?:\.\.\.+|…)"
+from gridloom.session import bounded_broadcast, cut_lineage
+
+#: A footer's first word opens lines that are last, or last but one, in this share of its lines and of all texts at least, and ends
+#: in a sentence mark in no more than this share. The second bounds the number of footers learnt, whatever the data.
+FOOTER_LAST, FOOTER_TEXTS, FOOTER_SENTENCES = 0.8, 1 / 4000, 0.2
+#: Marks that a cut leaves; dots alone also end texts that trail off on purpose.
+CUT_MARKS = ("[more]", "[truncated]", "[continued]", "[cont]", "[cont.]", "[...]", "[…]", "(more)", "(cont)", "(cont.)", "(continued)", "Read more")
 #: Lengths on either side whose hazards a length is compared with, and false-discovery rate.
 NEIGHBOURS, FALSE_DISCOVERIES = 20, 0.01
+#: Share of a source's lengths whose ends, against what was expected, count as ordinary clustering.
+CLUSTERED = 0.95
 #: Letters that a cut at a word boundary may fall short of the limit by.
 SHORT_BY = 14
 #: Occurrences from which a context is trusted.
@@ -59,35 +60,81 @@ INCOMPLETE_AT_LIMIT, INCOMPLETE_ELSEWHERE = 0.6, 0.25
 LEAST_LONGER = 20
 #: Longest context, in tokens.
 CONTEXT = 4
-#: Letters at the end of a text in which footers and marks stand; longer than three of them together.
-TAIL = 600
 #: Contexts that a batch counts before it passes them on.
 FLUSH = 200_000
 
 _TOKEN = re.compile(r"\n+|[^\W\d_]+(?:['’\-][^\W\d_]+)*|\d+(?:[.:,/\-]\d+)*|\.\.\.+|[^\w\s]|_")
-_FOOTER = re.compile(r"\n[^\S\n]*(?:" + "|".join(FOOTERS) + r")\s*$")
-_MARK = re.compile(MARKS + r"\s*$")
-_TRAIL = re.compile(r"\s*" + TRAILING + r"\s*$")
-_WHOLE = re.compile(r"[.!?。！？]['\"”’»)\]*_]*$")
 _OPEN = re.compile(r"[,;:(\[{&/\-–—�+=<@#$%\\|~]$")
 
 
-def body_of(text: str) -> tuple[str, str, str]:
-    """(body with its mark, body, mark kind): kind is cut, trail or ''."""
-    whole, marked = text.rstrip(), ""
-    head, rest = whole[:-TAIL], whole[-TAIL:]
-    for _ in range(3):
-        shorter = _FOOTER.sub("", rest).rstrip()
-        if shorter == rest:
+def ends_sentence(text: str) -> bool:
+    """Whether a text ends in a sentence mark, perhaps inside quotes, brackets or emphasis."""
+    return text.rstrip("'\"”’»)]*_").endswith((".", "!", "?", "。", "！", "？"))
+
+
+def line_head(line: str) -> str:
+    """First word of a line: digits as 0, tags as #, and lines without letters or digits as one."""
+    first = line.split(maxsplit=1)[0].lower() if line.strip() else ""
+    if first.startswith("#"):
+        return "#"
+    first = re.sub(r"\d+", "0", first)
+    return first if any(c.isalnum() for c in line) or not first else "*"
+
+
+def body_of(text: str, footers: Set[str] = frozenset()) -> tuple[str, str, str]:
+    """(body with its mark, body, mark kind): kind is cut, trail or ''. ``footers`` are heads of lines to take off."""
+    rest = text.rstrip()
+    while (at := rest.rfind("\n")) >= 0 and line_head(rest[at + 1 :]) in footers:
+        rest = rest[:at].rstrip()
+    bare = rest
+    if bare.endswith(">>"):
+        bare = bare.rstrip(">")
+    for mark in CUT_MARKS:
+        if bare.endswith(mark):
+            bare = bare[: -len(mark)]
             break
-        rest = shorter
-    bare = _MARK.sub("", rest)
     if bare != rest:
-        return head + rest, (head + bare).rstrip(), "cut"
-    bare = _TRAIL.sub("", rest)
-    if bare != rest and bare:
-        marked = "trail"
-    return head + rest, (head + bare).rstrip(), marked
+        bare = bare.rstrip()
+        for dots in ("...", "…"):
+            bare = bare.removesuffix(dots)
+        return rest, bare.rstrip(), "cut"
+    bare = rest.rstrip("…") if rest.endswith("…") else rest.rstrip(".") if rest.endswith("...") else rest
+    return rest, bare.rstrip(), "trail" if bare != rest and bare.strip() else ""
+
+
+def learnt_footers(texts: DataFrame) -> frozenset[str]:
+    """Heads of the lines that follow texts without belonging to them; at most one per ``FOOTER_TEXTS`` of all texts.
+
+    ``texts`` has one column, ``text``.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lines: Counter[str] = Counter()
+            last: Counter[str] = Counter()
+            stops: Counter[str] = Counter()
+            several = 0
+            for text in batch["text"]:
+                found = [line for line in (text or "").split("\n") if line.strip()]
+                heads = [line_head(line) for line in found]
+                several += len(heads) > 0
+                lines.update(heads)
+                tail = set(heads[max(len(heads) - 2, 1) :])
+                last.update(tail)
+                # the same head may open several trailing lines of a text: counted once on both sides
+                lines.subtract({h: heads[max(len(heads) - 2, 1) :].count(h) - 1 for h in tail})
+                stops.update({h for h, line in zip(heads, found, strict=True) if ends_sentence(line.rstrip())} & tail)
+            rows = [("", several, 0, 0, True)] + [(h, lines[h], last[h], stops[h], False) for h in lines]
+            yield pd.DataFrame(rows, columns=["head", "n", "last", "stops", "all"])
+
+    counted = texts.mapInPandas(count, "head string, n long, last long, stops long, all boolean")
+    summed = counted.groupBy("head", "all").agg(*[F.sum(c).alias(c) for c in ("n", "last", "stops")])
+    often = cut_lineage(summed.where(F.col("all") | (F.col("last") >= FOOTER_LAST * F.col("n"))).where("all OR last >= 5"))
+    texts_n = often.where("all").first()
+    if texts_n is None:
+        return frozenset()
+    kept = often.where(~F.col("all") & (F.col("last") >= FOOTER_TEXTS * texts_n["n"]) & (F.col("stops") <= FOOTER_SENTENCES * F.col("last")) & (F.col("head") != ""))
+    return frozenset(row["head"] for row in kept.select("head").collect())
 
 
 def _plain(token: str) -> str:
@@ -116,50 +163,40 @@ def contexts(tokens: list[str]) -> list[int]:
     return found
 
 
-def _count_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+class _Counts:
     """Partial counts per context: seen inside a text, ending a sentence there, closing a body without a sentence mark."""
-    columns = ["context", "seen", "ended", "closing"]
-    seen: Counter[tuple[str, ...]] = Counter()
-    ended: Counter[tuple[str, ...]] = Counter()
-    closing: Counter[tuple[str, ...]] = Counter()
-    capitalised: Counter[str] = Counter()
-
-    def flush() -> pd.DataFrame:
-        rows = [(contexts(list(key))[-1], seen[key], ended[key], closing[key]) for key in seen.keys() | closing.keys()]
+
+    def __init__(self) -> None:
+        self.seen: Counter[tuple[str, ...]] = Counter()
+        self.ended: Counter[tuple[str, ...]] = Counter()
+        self.closing: Counter[tuple[str, ...]] = Counter()
+        self.capitalised: Counter[str] = Counter()
+
+    def add(self, raw: list[str], plain: list[str]) -> None:
+        last = len(raw) - 1
+        inside, stops = _positions(raw, plain)
+        # contexts of each length end at the same places: shifted lists, zipped, leave out the rest
+        for k in range(1, min(CONTEXT, last + 1) + 1):
+            shifted = [plain[j : last + 2 - k + j] for j in range(k)]
+            self.seen.update(compress(zip(*shifted, strict=True), inside[k - 1 :]))
+            self.ended.update(compress(zip(*shifted, strict=True), stops[k - 1 :]))
+        if plain[last] not in ".!?" and plain[last][0] != "\n":
+            # no sentence mark follows, or the body would not end here
+            self.closing.update(tuple(plain[last + 1 - k :]) for k in range(1, min(CONTEXT, last + 1) + 1))
+        self.capitalised.update(t for t, p, i in zip(raw, plain, inside, strict=True) if i and p == "<W>")
+
+    def flush(self) -> pd.DataFrame:
+        rows = [(contexts(list(key))[-1], self.seen[key], self.ended[key], self.closing[key]) for key in self.seen.keys() | self.closing.keys()]
         # a capitalised word is counted as itself, and as longer than each of its beginnings
         longer: Counter[str] = Counter()
-        for word, n in capitalised.items():
+        for word, n in self.capitalised.items():
             rows.append((hashed_context("raw", word), n, 0, 0))
             for i in range(1, len(word)):
                 longer[word[:i]] += n
         rows += [(hashed_context("longer", start), n, 0, 0) for start, n in longer.items()]
-        for counts in (seen, ended, closing, capitalised):
+        for counts in (self.seen, self.ended, self.closing, self.capitalised):
             counts.clear()
-        return pd.DataFrame(rows, columns=columns)
-
-    for batch in batches:
-        for text in batch["text"]:
-            if not text:
-                continue
-            raw = _TOKEN.findall(body_of(text)[1])
-            if not raw:
-                continue
-            plain = [_plain(t) for t in raw]
-            last = len(raw) - 1
-            inside, stops = _positions(raw, plain)
-            # contexts of each length end at the same places: shifted lists, zipped, leave out the rest
-            for k in range(1, min(CONTEXT, last + 1) + 1):
-                shifted = [plain[j : last + 2 - k + j] for j in range(k)]
-                seen.update(compress(zip(*shifted, strict=True), inside[k - 1 :]))
-                ended.update(compress(zip(*shifted, strict=True), stops[k - 1 :]))
-            if plain[last] not in ".!?" and plain[last][0] != "\n":
-                # no sentence mark follows, or the body would not end here
-                closing.update(tuple(plain[last + 1 - k :]) for k in range(1, min(CONTEXT, last + 1) + 1))
-            capitalised.update(t for t, p, i in zip(raw, plain, inside, strict=True) if i and p == "<W>")
-            if len(seen) > FLUSH:
-                yield flush()
-    if seen or closing:
-        yield flush()
+        return pd.DataFrame(rows, columns=["context", "seen", "ended", "closing"])
 
 
 def _positions(raw: list[str], plain: list[str]) -> tuple[list[bool], list[bool]]:
@@ -181,32 +218,51 @@ def _positions(raw: list[str], plain: list[str]) -> tuple[list[bool], list[bool]
     return inside, stops
 
 
-def _endings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per text: lengths by every way of measuring, kind of mark and ending, and the contexts of the ending."""
-    for batch in batches:
-        rows = []
-        for doc, source, text in zip(batch["doc"], batch["source"], batch["text"], strict=True):
-            if text is None or not text.strip():
-                continue
-            marked_body, body, mark = body_of(text)
-            sizes = [len(text), len(text.encode("utf-8", "replace")), len(marked_body), len(marked_body.encode("utf-8", "replace")), len(body), len(body.encode("utf-8", "replace"))]
-            if mark == "" and _WHOLE.search(body):
-                # white space left behind a sentence, which a limit leaves as well
-                kind, found = ("spaced" if text[-1].isspace() else "whole"), []
-            elif _OPEN.search(body) or not body:
-                kind, found = "open", []
-            else:
-                kind = "whole" if _WHOLE.search(body) else "words"
+_ENDING = ["doc", "source", "sizes", "mark", "kind", "lower", "contexts"]
+_COUNT = ["context", "seen", "ended", "closing"]
+
+
+def _reader(footers: Set[str]):
+    """One pass over the texts: a row per text (lengths by every way of measuring, mark, ending and its contexts), and rows of partial counts."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = _Counts()
+
+        def flushed() -> pd.DataFrame:
+            return counts.flush().reindex(columns=[*_ENDING, *_COUNT]).astype(object).where(lambda x: x.notna(), None)
+
+        for batch in batches:
+            rows = []
+            for doc, source, text in zip(batch["doc"], batch["source"], batch["text"], strict=True):
+                if text is None or not text.strip():
+                    continue
+                marked_body, body, mark = body_of(text, footers)
                 raw = _TOKEN.findall(body)
-                found = contexts([_plain(t) for t in raw])
-                end = raw[-1] if raw else ""
-                if end[:1].isupper():
-                    found = [*found, *[0] * (CONTEXT - len(found)), hashed_context("raw", end), hashed_context("longer", end)]
-                    # the start of a name that the text spells out elsewhere
-                    if end not in raw[:-1] and any(t.startswith(end) for t in raw[:-1]):
-                        kind = "open"
-            rows.append((doc, source, sizes, mark, kind, body[-1:].islower(), found))
-        yield pd.DataFrame(rows, columns=["doc", "source", "sizes", "mark", "kind", "lower", "contexts"])
+                plain = [_plain(t) for t in raw]
+                if raw:
+                    counts.add(raw, plain)
+                sizes = [len(x) for t in (text, marked_body, body) for x in (t, t.encode("utf-8", "replace"))]
+                if mark == "" and ends_sentence(body):
+                    # white space left behind a sentence, which a limit leaves as well
+                    kind, found = ("spaced" if text[-1].isspace() else "whole"), []
+                elif not body or _OPEN.search(body[-1]):
+                    kind, found = "open", []
+                else:
+                    kind = "whole" if ends_sentence(body) else "words"
+                    found = contexts(plain[-CONTEXT:])
+                    end = raw[-1] if raw else ""
+                    if end[:1].isupper():
+                        found = [*found, *[0] * (CONTEXT - len(found)), hashed_context("raw", end), hashed_context("longer", end)]
+                        # the start of a name that the text spells out elsewhere
+                        if end not in raw[:-1] and any(t.startswith(end) for t in raw[:-1]):
+                            kind = "open"
+                rows.append((doc, source, sizes, mark, kind, body[-1:].islower(), found, None, None, None, None))
+            yield pd.DataFrame(rows, columns=[*_ENDING, *_COUNT])
+            if len(counts.seen) > FLUSH:
+                yield flushed()
+        yield flushed()
+
+    return read
 
 
 def _poisson_tail(observed: pd.Series, expected: pd.Series) -> pd.Series:
@@ -233,28 +289,50 @@ def _poisson_tail(observed: pd.Series, expected: pd.Series) -> pd.Series:
     return pd.Series([tail(int(k), float(m)) for k, m in zip(observed, expected, strict=True)])
 
 
+def _at_risk(by: WindowSpec, reach: int) -> Column:
+    """Sum of the texts at risk over all lengths within ``reach`` of the row's, also those at which no text ends.
+
+    A row stands for its own length and the gap before it, whose lengths as many
+    texts reach as its own; below, the gap of the frame's first row is cut at the
+    frame's edge, and above, the next row's reach holds up to the edge.
+    """
+    near = by.orderBy("length").rangeBetween(-reach, reach)
+    beyond = by.orderBy("length").rangeBetween(reach + 1, Window.unboundedFollowing)
+    first = F.first(F.struct("length", "gap", "reached")).over(near)
+    below = F.greatest(F.col("length") - reach - (first["length"] - first["gap"] + 1), F.lit(0))
+    above = F.col("length") + reach - F.max("length").over(near)
+    return F.sum(F.col("gap") * F.col("reached")).over(near) - below * first["reached"] + above * F.coalesce(F.first("reached").over(beyond), F.lit(0))
+
+
 def significant_lengths(lengths: DataFrame) -> DataFrame:
     """(source, measure, length, ended, hazard, p, open_share): limits by false-discovery control, from rows (source, measure, length, open).
 
+    The hazard of a length is the share of the texts that end there among those
+    that reach it. Its neighbours' pooled hazard says how many of the texts at
+    risk were to end there; at least half a text is taken to end among them.
     ``open_share`` is the share of the texts of this length that lack a sentence mark.
     """
     histogram = lengths.groupBy("source", "measure", "length").agg(
         F.count(F.lit(1)).alias("ended"), F.avg(F.col("open").cast("double")).alias("open_share")
     )
     by = Window.partitionBy("source", "measure")
-    reach = by.orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    near = by.orderBy("length").rangeBetween(-NEIGHBOURS, NEIGHBOURS)
-    close = by.orderBy("length").rangeBetween(-1, 1)
-    at_risk = histogram.withColumn("reached", F.sum("ended").over(reach))
-    # lengths at which nothing ended are at risk as well: as many as the window holds, with the reach of this length
-    pooled = at_risk.withColumn("_others", F.sum("ended").over(near) - F.sum("ended").over(close))
-    tested = pooled.withColumn("expected", F.greatest(F.col("_others"), F.lit(0.5)) / (2 * NEIGHBOURS - 1))
-    tested = tested.withColumn("p", F.pandas_udf(_poisson_tail, "double")("ended", "expected"))
+    upward = by.orderBy("length")
+    histogram = histogram.withColumn("reached", F.sum("ended").over(by.orderBy(F.col("length").desc()).rowsBetween(Window.unboundedPreceding, 0)))
+    histogram = histogram.withColumn("gap", F.col("length") - F.coalesce(F.lag("length").over(upward), F.lit(-1)))
+    ended = F.sum("ended").over(upward.rangeBetween(-NEIGHBOURS, NEIGHBOURS)) - F.sum("ended").over(upward.rangeBetween(-1, 1))
+    pooled = histogram.withColumn("_ended", F.greatest(ended, F.lit(0.5))).withColumn("_at_risk", F.greatest(_at_risk(by, NEIGHBOURS) - _at_risk(by, 1), F.lit(1)))
+    # near the greatest length hazards rise by themselves: a limit stands out from the ends per length as well
+    by_hazard, by_density = F.col("reached") * F.least(F.col("_ended") / F.col("_at_risk"), F.lit(1.0)), F.col("_ended") / (2 * NEIGHBOURS - 2)
+    tested = pooled.withColumn("expected", F.greatest(by_hazard, by_density))
+    # texts of one mould or sent twice end together: what all but a few lengths show of that is taken as the size of one event
+    together = F.greatest(F.percentile_approx(F.col("ended") / F.greatest(F.col("expected"), F.lit(1.0)), F.lit(CLUSTERED)).over(by), F.lit(1.0))
+    tested = tested.withColumns({"_k": F.floor(F.col("ended") / together), "_m": F.col("expected") / together})
+    tested = tested.withColumn("p", F.pandas_udf(_poisson_tail, "double")("_k", "_m"))
     number = F.count(F.lit(1)).over(by)
     rank = F.row_number().over(by.orderBy("p", "length"))
     passing = tested.withColumn("_ok", F.col("p") <= FALSE_DISCOVERIES * rank / number)
     limit = F.max(F.when(F.col("_ok"), F.col("p"))).over(by)
-    return passing.withColumn("_limit", limit).where((F.col("p") <= F.col("_limit")) & (F.col("ended") >= 5)).select(
+    return passing.withColumn("_limit", limit).where(F.col("p") <= F.col("_limit")).select(
         "source", "measure", "length", "ended", (F.col("ended") / F.col("reached")).alias("hazard"), "p", "open_share"
     )
 
@@ -267,7 +345,10 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     """
     named = docs.select(F.col(doc_id).alias("doc"), F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"), F.col(text).alias("text"))
     id_type = dict(named.dtypes)["doc"]
-    ends = cut_lineage(named.mapInPandas(_endings, f"doc {id_type}, source string, sizes array<int>, mark string, kind string, lower boolean, contexts array<long>").withColumn("n", F.monotonically_increasing_id()))
+    footers = learnt_footers(named.select("text"))
+    schema = f"doc {id_type}, source string, sizes array<int>, mark string, kind string, lower boolean, contexts array<long>, context long, seen long, ended long, closing long"
+    read = cut_lineage(named.mapInPandas(_reader(footers), schema).withColumn("n", F.monotonically_increasing_id()))
+    ends = read.where(F.col("kind").isNotNull()).drop(*_COUNT)
     unmarked = (F.col("mark") == "") & (F.col("kind") == "whole")
     measured = ends.select("source", "n", (~unmarked).alias("open"), F.posexplode("sizes").alias("measure", "length"))
     limits = cut_lineage(significant_lengths(measured.drop("n")))
@@ -278,16 +359,17 @@ def judged_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Da
     )
     at_limit = (
         measured.where("open")
-        .join(reached.hint("merge"), ["source", "measure", "length"])
+        .join(bounded_broadcast(reached), ["source", "measure", "length"])
         .groupBy("n")
         .agg(F.max((F.col("length") == F.col("limit")) & (F.col("open_share") >= 0.5)).alias("exact"))
     )
 
-    counted = named.select("text").mapInPandas(_count_contexts, "context long, seen long, ended long, closing long")
-    statistics = counted.groupBy("context").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"), F.sum("closing").alias("closing"))
+    statistics = read.where(F.col("kind").isNull()).groupBy("context").agg(F.sum("seen").alias("seen"), F.sum("ended").alias("ended"), F.sum("closing").alias("closing"))
     wanted = ends.where(F.size("contexts") > 0).select("n", F.posexplode("contexts").alias("k", "context"))
     count = lambda c: F.coalesce(F.col(c), F.lit(0))
-    looked_up = wanted.join(statistics.hint("merge"), "context", "left").select("n", "k", count("seen").alias("seen"), count("ended").alias("ended"), count("closing").alias("closing"))
+    # few contexts are asked for: their statistics alone are kept, and a common ending asks once
+    asked = statistics.join(wanted.select("context").distinct().hint("merge"), "context", "left_semi")
+    looked_up = wanted.join(bounded_broadcast(asked), "context", "left").select("n", "k", count("seen").alias("seen"), count("ended").alias("ended"), count("closing").alias("closing"))
     # endings on purpose close text after text: they count as ends, but for the text's own
     others = F.greatest(F.col("closing") - 1, F.lit(0))
     trusted = (F.col("k") < CONTEXT) & ((F.col("seen") >= LEAST_SEEN) | (others >= LEAST_SEEN))

@@ -40,12 +40,36 @@ def test_significant_lengths(spark):
 
 
 def test_bodies():
-    assert tr.body_of("A text.\nRating: 5/99") == ("A text.", "A text.", "")
-    assert tr.body_of("A te [more]\nFiled 3/4")[1:] == ("A te", "cut")
+    footers = {"rating:", "filed", "*"}
+    assert tr.body_of("A text.\nRating: 5/99", footers) == ("A text.", "A text.", "")
+    assert tr.body_of("A te [more]\nFiled 3/4", footers)[1:] == ("A te", "cut")
+    assert tr.body_of("A text.\nFiled 3/4\n\nRating: 1/9\n🏈\n" + "Filed " + "x" * 2000, footers)[1] == "A text."
+    assert tr.body_of("A te" + " " * 2000 + ">>>>" + "\n" * 900)[1:] == ("A te", "cut")
+    assert tr.body_of("Rating: 5/99", footers)[1] == "Rating: 5/99"  # a text's only line is no footer
     assert tr.body_of("A te...[truncated]")[1:] == ("A te", "cut")
     assert tr.body_of("So it goes…")[1:] == ("So it goes", "trail")
     assert tr.body_of("  ")[1:] == ("", "")
-    assert tr.body_of("Whole.\n🏈🏈")[1] == "Whole."
+    assert tr.body_of("Whole.\n🏈🏈", footers)[1] == "Whole."
+
+
+def test_footers_are_learnt(spark):
+    r = random.Random(6)
+    data = [f"{r.choice(PARTS)}\nOverall, {r.choice(PARTS)}" + (f"\nDesk note {i}/9" if i % 3 else "\n#tag #other") for i in range(300)]
+    df = spark.createDataFrame([(t,) for t in [*data, None, "", "\n\n"]], "text string")
+    assert tr.learnt_footers(df) == {"desk", "#"}
+    assert tr.learnt_footers(df.where("text = 'nothing'")) == frozenset()
+
+
+def test_hazards_count_all_lengths_at_risk(spark):
+    r = random.Random(8)
+    lengths = [r.randrange(1, 90) ** 2 // 40 for _ in range(300)]
+    found = spark.createDataFrame([("s", 0, x) for x in lengths], "source string, measure int, length int").groupBy("source", "measure", "length").agg(F.count(F.lit(1)).alias("ended"))
+    by = tr.Window.partitionBy("source", "measure")
+    table = found.withColumn("reached", F.sum("ended").over(by.orderBy(F.col("length").desc()).rowsBetween(tr.Window.unboundedPreceding, 0)))
+    table = table.withColumn("gap", F.col("length") - F.coalesce(F.lag("length").over(by.orderBy("length")), F.lit(-1)))
+    for reach in (1, 20):
+        for row in table.withColumn("risk", tr._at_risk(by, reach)).collect():
+            assert row["risk"] == sum(sum(x >= y for x in lengths) for y in range(max(row["length"] - reach, 0), row["length"] + reach + 1))
 
 
 def test_endings_on_purpose_and_lacking_stops(spark):
