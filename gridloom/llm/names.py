@@ -196,6 +196,29 @@ def least_cost(cost: np.ndarray) -> tuple[float, list[int]]:
     return float(sum(cost[i, j] for i, j in enumerate(columns))), columns
 
 
+def _all_ways(pairs: list[list[tuple[float, str]]], spare_a: list[float], spare_b: list[float]) -> tuple[float, list[int]]:
+    """Least total and the partner of each row (the number of columns for none) over all assignments."""
+    n, m = len(pairs), len(spare_b)
+    best: tuple[float, list[int]] = (FORBIDDEN, [m] * n)
+
+    def go(i: int, cost: float, chosen: list[int]) -> None:
+        nonlocal best
+        if cost >= best[0]:
+            return
+        if i == n:
+            total = cost + sum(spare_b[j] for j in range(m) if j not in chosen)
+            if total < best[0]:
+                best = (total, chosen)
+            return
+        for j in range(m):
+            if j not in chosen:
+                go(i + 1, cost + pairs[i][j][0], [*chosen, j])
+        go(i + 1, cost + spare_a[i], [*chosen, m])
+
+    go(0, -1.0, [])  # costs of equal tokens are a hair below zero
+    return best[0] + 1.0, best[1]
+
+
 def _assign(a: tuple[str, ...], b: tuple[str, ...], others: int, joined: str = "") -> tuple[float, dict[str, int]] | None:
     """Assignment of least cost for ``len(a) <= len(b)``; up to ``others`` pairs may disagree altogether.
 
@@ -217,9 +240,8 @@ def _assign(a: tuple[str, ...], b: tuple[str, ...], others: int, joined: str = "
     pairs = [[pair(x, y) for y in b] for x in a]
     spare_a = [OVER_COST + CROSSED_COST if len(x) == 1 else FORBIDDEN for x in a]
     spare_b = [OVER_COST if len(y) == 1 else FORBIDDEN for y in b]
-    if n == m and n <= 2 and all(len(x) > 1 for x in a):  # the usual name: both ways are tried
-        ways = [tuple(range(n)), tuple(reversed(range(n)))]
-        total, chosen = min((sum(pairs[i][j][0] for i, j in enumerate(w)), w) for w in ways)
+    if n <= 3:  # the usual name: all ways are tried, which is quicker
+        total, chosen = _all_ways(pairs, spare_a, spare_b)
     else:
         cost = np.zeros((n + m, n + m))
         cost[:n, :m] = [[c for c, _ in row] for row in pairs]

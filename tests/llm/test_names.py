@@ -80,6 +80,21 @@ def test_least_cost_equals_all_permutations():
         assert abs(total - min(sum(cost[i][j] for i, j in enumerate(p)) for p in itertools.permutations(range(n)))) < 1e-6
 
 
+def test_both_ways_of_assigning_agree():
+    r = random.Random(11)
+    words = ["al", "ali", "b", "c", "smith", "smyth", "jo", "joe", "j", "stone"]
+    for _ in range(300):
+        a, b = sorted((tuple(r.choice(words) for _ in range(r.randrange(1, 4))), tuple(r.choice(words) for _ in range(r.randrange(1, 5)))), key=len)
+        pairs = [[(nm.COST[k], k) if (k := nm.token_kind(x, y)) else (nm.FORBIDDEN, "other") for y in b] for x in a]
+        spare_a, spare_b = ([c if len(x) == 1 else nm.FORBIDDEN for x in side] for side, c in ((a, 4.5), (b, 0.5)))
+        n, m = len(a), len(b)
+        cost = nm.np.zeros((n + m, n + m))
+        cost[:n, :m] = [[c for c, _ in row] for row in pairs]
+        cost[:n, m:], cost[n:, :m] = nm.np.array(spare_a)[:, None], nm.np.array(spare_b)[None, :]
+        one, other = nm._all_ways(pairs, spare_a, spare_b)[0], nm.least_cost(cost)[0]
+        assert abs(one - other) < 1e-6 or min(one, other) >= nm.FORBIDDEN / 2
+
+
 FIRST = ["william", "bill", "robert", "bob", "christopher", "chris", "topher", "anthony", "tony", "jo", "joe", "mark", "marcus", "ezekiel", "zeke", "anna", "joanna", "phil"]
 LAST = ["stonewell", "dunurberg", "drayelley", "okaforsen", "li", "lee", "quentin", "xanundsen", "macalister", "sotomeyer", "vanderkolk", "ruiz"]
 
