@@ -97,25 +97,32 @@ def digits_in(text: Column, pattern: str) -> Column:
     return F.regexp_extract(text, pattern, 1).try_cast("long")
 
 
+def _labelled_values(parts: Column) -> Column:
+    """Array of (label, value) from parts like "13 GP"; parts of one word are left out."""
+    trimmed = F.filter(F.transform(parts, lambda p: F.trim(p)), lambda p: p.contains(" "))
+    return F.transform(trimmed, lambda p: F.struct(F.trim(F.regexp_replace(p, r"^\S+ ", "")).alias("label"), F.substring_index(p, " ", 1).alias("value")))
+
+
 def season_line(text: Column) -> Column:
-    """Struct (season, school, gp, stats) of the last season block of "2025: School | 13 GP | 87 Rec; Career: ...".
+    """Struct (season, school, gp, stats, career) of "2025: School | 13 GP | 87 Rec; Career: 38 GP | ...".
 
-    ``stats`` is an array of (label, value) without GP; null if no block is a season.
+    The last season block counts; null if no block is a season. ``stats`` is an
+    array of (label, value) without GP, ``career`` all of the last career block, null without one.
     """
-    blocks = F.filter(F.split(text, ";"), lambda b: F.trim(F.substring_index(b, ":", 1)).rlike(r"^\d+$") & b.contains(":"))
-    block = F.element_at(blocks, -1)
-    parts = F.split(F.regexp_replace(block, r"^[^:]*:", ""), r"\|")
-    items = F.transform(
-        F.filter(F.slice(parts, 2, 1000), lambda p: F.trim(p).contains(" ")),
-        lambda p: F.struct(F.trim(F.regexp_replace(F.trim(p), r"^\S+ ", "")).alias("label"), F.substring_index(F.trim(p), " ", 1).alias("value")),
-    )
-    games = F.filter(items, lambda x: x["label"] == "GP")
+    headed = F.filter(F.transform(F.split(text, ";"), lambda b: F.trim(b)), lambda b: b.contains(":"))
+    head = lambda b: F.trim(F.substring_index(b, ":", 1))
+    rest = lambda b: F.split(F.regexp_replace(b, r"^[^:]*:", ""), r"\|")
+    season = F.try_element_at(F.filter(headed, lambda b: head(b).rlike(r"^\d+$")), F.lit(-1))
+    career = F.try_element_at(F.filter(headed, lambda b: F.lower(head(b)) == "career"), F.lit(-1))
+    parts = rest(season)
+    items = _labelled_values(F.slice(parts, F.lit(2), F.size(parts)))
     return F.when(
-        F.size(blocks) > 0,
+        season.isNotNull(),
         F.struct(
-            F.trim(F.substring_index(block, ":", 1)).alias("season"),
+            head(season).alias("season"),
             F.trim(F.get(parts, F.lit(0))).alias("school"),
-            F.get(games, F.lit(0))["value"].alias("gp"),
+            F.get(F.filter(items, lambda x: x["label"] == "GP"), F.lit(0))["value"].alias("gp"),
             F.filter(items, lambda x: x["label"] != "GP").alias("stats"),
+            _labelled_values(rest(career)).alias("career"),
         ),
     )

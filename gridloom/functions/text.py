@@ -119,7 +119,7 @@ def listed_name(raw: Column) -> Column:
 
 def _cased_word(word: Column) -> Column:
     upper = F.upper(word)
-    plain = F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substring(word, 2, 1000)))
+    plain = F.concat(F.upper(F.substring(word, 1, 1)), F.lower(F.substr(word, F.lit(2))))
     cased = F.when(upper.isin("II", "III", "IV", "V", "DJ", "AJ", "CJ", "TJ", "OJ", "BJ"), upper)
     return cased.when(upper.isin("JR", "SR", "JR.", "SR."), plain).otherwise(plain)
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
 from gridloom.operators.relational import first_claims
-from gridloom.operators.resolve import Tier, resolve_tiers
+from gridloom.operators.resolve import Tier, fuzzy_in_block, resolve_tiers, similar_names
 
 
 def _coalesced(spine: DataFrame, tiers: Sequence[tuple[str, DataFrame]], found: str = "card", source: str = "match_source") -> DataFrame:
@@ -22,7 +22,7 @@ def _coalesced(spine: DataFrame, tiers: Sequence[tuple[str, DataFrame]], found:
     result, matched, which = spine, [], F.lit(None).cast("string")
     for i, (_, table) in enumerate(tiers):
         one = table.select(F.col("sid").alias(f"_s{i}"), F.col("card").alias(f"_c{i}"))
-        result = result.join(one.hint("merge"), F.col("sid") == F.col(f"_s{i}"), "left").drop(f"_s{i}")
+        result = result.join(one, F.col("sid") == F.col(f"_s{i}"), "left").drop(f"_s{i}")
         matched.append(F.col(f"_c{i}"))
     for i in reversed(range(len(tiers))):
         which = F.when(matched[i].isNotNull(), F.lit(tiers[i][0])).otherwise(which)
@@ -40,38 +40,40 @@ def _only(pairs: DataFrame) -> DataFrame:
     return judged.where(F.col("card") == F.col("_most")).drop("_most")
 
 
-def word_subset_pairs(spine: DataFrame, cards: DataFrame, same_team: bool) -> DataFrame:
-    """(sid, card, ord): cards whose words include all words of the spine's name.
+def word_subset_pairs(spine: DataFrame, cards: DataFrame) -> DataFrame:
+    """Columns of the spine (sid, team, try, key) and (card, ord, c_team): cards whose words include all words of the spine's key.
 
     The longest word of the spine's name is looked up among the cards' words.
     """
     words = lambda c: F.filter(F.split(c, " "), lambda w: w != "")
     rare = F.get(F.array_sort(F.transform(words(F.col("key")), lambda w: F.struct((-F.length(w)).alias("n"), w.alias("w")))), F.lit(0))["w"]
-    s = spine.where("key <> ''").select("sid", F.col("key").alias("s_key"), F.col("team").alias("s_team"), rare.alias("word"))
+    s = spine.where("key <> ''").withColumn("word", rare)
     c = cards.select("card", "ord", F.col("key").alias("c_key"), F.col("team").alias("c_team"), F.explode(F.array_distinct(words(F.col("key")))).alias("word"))
     joined = s.join(c.hint("merge"), "word")
-    if same_team:
-        joined = joined.where(F.col("s_team") == F.col("c_team"))
-    return joined.where(tx.is_token_subset(words(F.col("s_key")), words(F.col("c_key")))).select("sid", "card", "ord")
+    return joined.where(tx.is_token_subset(words(F.col("key")), words(F.col("c_key")))).drop("word", "c_key")
 
 
-def find_cards(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
-    """Own team by name, own team by words, then the league by name and by words.
+def find_cards(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str] | None = None, cross_team: bool = True) -> DataFrame:
+    """Own team by name, own team by words, then (if ``cross_team``) the league by name and by words.
 
-    A name that cards of several teams carry is never looked up in the league.
-    The aliased name is tried before the name as typed.
+    Each way tries the aliased name first, then the name as typed. A name that
+    cards of several teams carry is never looked up in the league. The first
+    card in order counts; several are no contradiction.
     """
-    key = tx.spaced_key(tx.mapped(F.col("name"), aliases or {}, default=F.col("name")))
-    s = spine.withColumn("key", key)
+    aliased = tx.spaced_key(tx.mapped(F.col("name"), aliases or {}))
+    tried = F.array_distinct(F.array_compact(F.array(F.when(aliased != "", aliased), tx.spaced_key(F.col("name")))))
+    s = spine.select("sid", "team", F.posexplode(tried).alias("try", "key")).where("key <> ''")
     c = cards.withColumn("key", tx.spaced_key(F.col("name")))
     shared = c.groupBy("key").agg(F.count_distinct("team").alias("teams")).where("teams > 1").select("key")
-    safe = s.join(shared.hint("merge"), "key", "left_anti")
-    named = lambda a, on: _first(a.select("sid", "key", "team").join(c.select("key", F.col("team").alias("team") if "team" in on else F.col("team").alias("_t"), "card", "ord").hint("merge"), list(on)))
-    own_name = named(s.where("key <> ''"), ("key", "team"))
-    own_words = _first(word_subset_pairs(s, c, True))
-    any_name = named(safe.where("key <> ''"), ("key",))
-    any_words = _first(word_subset_pairs(safe, c, False))
-    return _coalesced(spine, [("team_name", own_name), ("team_words", own_words), ("league_name", any_name), ("league_words", any_words)])
+    by_try = lambda pairs: pairs.groupBy("sid").agg(F.min_by("card", F.struct("try", "ord", "card")).alias("card"))
+    named = s.join(c.select("key", F.col("team").alias("c_team"), "card", "ord"), "key")
+    worded = word_subset_pairs(s, c)
+    own = F.col("team") == F.col("c_team")
+    tiers = [("team_name", by_try(named.where(own))), ("team_words", by_try(worded.where(own)))]
+    if cross_team:
+        tiers.append(("league_name", by_try(named.join(shared, "key", "left_anti"))))
+        tiers.append(("league_words", by_try(worded.join(shared, "key", "left_anti"))))
+    return _coalesced(spine, tiers)
 
 
 def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str], aliases: Mapping[str, str | None] | None = None) -> DataFrame:
@@ -88,13 +90,13 @@ def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str]
         "card", "ord", F.col("team").alias("c_team"), "position", tx.match_key(F.col("name"), True).alias("c_key"), tx.match_key(F.split(F.trim("name"), r"\s+")[0], True).alias("c_first"), tx.token_set(F.col("name")).alias("c_words")
     )
     s = s.where("key <> ''")
-    by_name = s.join(c.hint("merge"), F.col("key") == F.col("c_key"))
+    by_name = s.join(c, F.col("key") == F.col("c_key"))
     name_team = _first(by_name.where(F.col("team") == F.col("c_team")).select("sid", "card", (-F.col("ord")).alias("ord")))  # the last card of a name and team
     name_only = _only(by_name.select("sid", "card"))
     # every tier below needs a word in common besides the first: a common first name alone joins nothing
     exploded = s.withColumn("word", F.explode(F.array_except("words", F.array("first"))))
     other = c.withColumn("word", F.explode("c_words"))
-    shared = exploded.join(other.hint("merge"), "word").drop("word").dropDuplicates(["sid", "card", "c_key"])
+    shared = exploded.join(other.hint("merge"), "word").drop("word").dropDuplicates(["sid", "card", "c_key", "c_team", "position"])
     shared = shared.withColumn("common", F.array_intersect("words", "c_words"))
     further = F.filter("common", lambda w: (w != F.col("first")) & (w != F.col("c_first")))
     long_further = F.filter(further, lambda w: F.length(w) >= 4)
@@ -104,11 +106,11 @@ def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str]
     swapped = _only(own.where(same_words).select("sid", "card"))
     strong = shared.where((same_first & (F.size(long_further) > 0)) | same_words)
     weak = shared.where(F.size(F.filter("common", lambda w: F.length(w) >= 4)) >= 2)
-    weak = weak.join(strong.select("sid").distinct().hint("merge"), "sid", "left_anti")
+    weak = weak.join(strong.select("sid").distinct(), "sid", "left_anti")
     one = _only(strong.select("sid", "card").unionByName(weak.select("sid", "card")))
     details = strong.unionByName(weak).select("sid", "card", "grp", "position").distinct()
     fits = F.array_contains(F.split(tx.mapped(F.col("position"), compatible), " "), F.col("grp"))
-    league = one.join(details.hint("merge"), ["sid", "card"]).where(fits).select("sid", "card").distinct()
+    league = one.join(details, ["sid", "card"]).where(fits).select("sid", "card").distinct()
     return _coalesced(spine, [("name_team", name_team), ("name_only", name_only), ("token_overlap", overlap), ("token_set_swap", swapped), ("league_token", league)])
 
 
@@ -128,7 +130,7 @@ def labelled_match(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str
     named = hits.where(F.col("t.n") != "hyphen").groupBy("sid").agg(
         F.min("c_card").alias("n_card"), F.max("c_card").alias("n_most"), F.min(F.when((F.col("c_team") == free_agents) & agrees, F.col("c_card"))).alias("fa")
     )
-    joined = spine.join(best.hint("merge"), "sid", "left").join(named.hint("merge"), "sid", "left")
+    joined = spine.join(best, "sid", "left").join(named, "sid", "left")
     free = (F.col("n_card") == F.col("n_most")) & F.col("fa").isNotNull()
     card = F.when(F.col("best").isNotNull(), F.col("best.card")).when(F.coalesce("ambiguous", F.lit(0)) == 1, F.lit(None)).when(free, F.col("fa"))
     source = (
@@ -150,17 +152,20 @@ def any_key_match(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str]
     names = F.array_compact(F.array(F.col("name"), tx.mapped(F.col("name"), aliases), tx.mapped(F.col("name"), inverse)))
     s = spine.select("sid", "team", F.explode(F.array_distinct(F.transform(names, lambda n: tx.match_key(n, True)))).alias("key")).where("key <> ''")
     c = cards.select("card", F.col("team").alias("c_team"), tx.match_key(F.col("name"), True).alias("key"))
-    hits = s.join(c.hint("merge"), "key")
+    hits = s.join(c, "key")
     tiers = [("name_team", _only(hits.where(F.col("team") == F.col("c_team")))), ("name_only", _only(hits))]
     return _coalesced(spine, [*([("carried", carried)] if carried is not None else []), *tiers])
 
 
 def initial_tier(spine: DataFrame, cards: DataFrame, within: Sequence[str]) -> DataFrame:
-    """Exact key, then first initial and last name, unique within the given columns."""
+    """Exact key, then first initial and last name, unique within the given columns.
+
+    A card whose source has a short name beside the display name is listed under both.
+    """
     s = spine.select("sid", *within, tx.match_key(tx.display_name(F.col("name"))).alias("key"), tx.initial_last(F.col("name")).alias("ini"))
     c = cards.select("card", *within, tx.match_key(tx.display_name(F.col("name"))).alias("key"), tx.initial_last(F.col("name")).alias("ini"))
-    exact = _only(s.where("key <> ''").join(c.drop("ini").hint("merge"), [*within, "key"]).select("sid", "card"))
-    near = _only(s.where("ini IS NOT NULL").drop("key").join(c.drop("key").hint("merge"), [*within, "ini"]).select("sid", "card"))
+    exact = _only(s.where("key <> ''").join(c.drop("ini"), [*within, "key"]).select("sid", "card"))
+    near = _only(s.where("ini IS NOT NULL").drop("key").join(c.drop("key"), [*within, "ini"]).select("sid", "card"))
     return _coalesced(spine, [("name", exact), ("initial", near)])
 
 
@@ -175,10 +180,10 @@ def school_cards(spine: DataFrame, cards: DataFrame, compatible: Column) -> Data
     c = c.withColumn("c_words", F.array_sort(F.array_distinct(F.split("c_key", " ")))).withColumn("c_last", F.element_at(F.split("c_key", " "), -1))
     # all three tiers agree in the school and in a word of the name: that word is the join key, not the school alone
     worded = s.withColumn("word", F.explode("words")).join(c.withColumn("word", F.explode("c_words")).hint("merge"), ["team", "word"])
-    pairs = worded.drop("word").dropDuplicates(["sid", "card", "c_key"])
+    pairs = worded.drop("word").dropDuplicates(["sid", "card", "c_key", "c_position"])
     exact = pairs.where(F.col("key") == F.col("c_key")).withColumn("_fits", compatible)
     some_fit = exact.groupBy("sid").agg(F.max(F.col("_fits").cast("int")).alias("_any"), F.count_distinct("card").alias("_n"))
-    exact = _only(exact.join(some_fit.hint("merge"), "sid").where((F.col("_n") == 1) | (F.col("_any") == 0) | F.col("_fits")).select("sid", "card"))
+    exact = _only(exact.join(some_fit, "sid").where((F.col("_n") == 1) | (F.col("_any") == 0) | F.col("_fits")).select("sid", "card"))
     same = _only(pairs.where(F.col("words") == F.col("c_words")).select("sid", "card"))
     initial = (F.col("last") == F.col("c_last")) & (F.substring("key", 1, 1) == F.substring("c_key", 1, 1)) & F.col("key").contains(" ") & F.col("c_key").contains(" ")
     near = _only(pairs.where(initial & compatible).select("sid", "card"))
@@ -189,16 +194,84 @@ def claim_by_name(listed: DataFrame, prospects: DataFrame) -> DataFrame:
     """(place, card): entries of a ranked list that claim a prospect whose name only they can mean; the first claim wins."""
     e = listed.select("place", tx.spaced_key(F.col("name")).alias("key"), "grp")
     p = prospects.select("card", tx.spaced_key(F.col("name")).alias("key"), F.col("grp").alias("p_grp"))
-    hits = e.join(p.hint("merge"), "key").withColumn("_fits", F.coalesce(F.col("grp") == F.col("p_grp"), F.lit(False)))
+    hits = e.join(p, "key").withColumn("_fits", F.coalesce(F.col("grp") == F.col("p_grp"), F.lit(False)))
     fits = hits.groupBy("place").agg(F.max(F.col("_fits").cast("int")).alias("_any"), F.count_distinct("card").alias("_n"))
-    kept = hits.join(fits.hint("merge"), "place").where((F.col("_n") == 1) | (F.col("_any") == 0) | F.col("_fits"))
+    kept = hits.join(fits, "place").where((F.col("_n") == 1) | (F.col("_any") == 0) | F.col("_fits"))
     single = kept.groupBy("place").agg(F.min("card").alias("card"), F.max("card").alias("_m")).where(F.col("card") == F.col("_m")).drop("_m")
     return first_claims(single, ["card"], "place", ["place"])
 
 
 def crosswalk_then_name(spine: DataFrame, ids: DataFrame, cards: DataFrame) -> DataFrame:
-    """An id crosswalk (sid, card) first, then name and team if unique."""
+    """An id crosswalk (sid, card) first, whether or not a card has the id, then name and team if unique.
+
+    Of several ids of a spine row the last one listed counts, where ``ids`` has ``ord``, else the smallest.
+    """
     both = F.when(F.col("team").isNotNull(), F.struct(tx.review_key(F.col("name")).alias("k"), "team"))
     named = resolve_tiers(spine, cards, "card", [Tier("name_team", both, both)], "card", "_source").where("card IS NOT NULL").select("sid", "card")
-    known = ids.join(cards.select("card").distinct().hint("merge"), "card", "left_semi").groupBy("sid").agg(F.min("card").alias("card"))
+    chosen = F.max_by("card", F.struct("ord", "card")) if "ord" in ids.columns else F.min("card")
+    known = ids.where("card IS NOT NULL").groupBy("sid").agg(chosen.alias("card"))
     return _coalesced(spine, [("crosswalk", known), ("name_team", named)])
+
+
+def find_ids(
+    spine: DataFrame, sources: Sequence[tuple[str, DataFrame]], aliases: Mapping[str, str | None] | None = None,
+    without: Sequence[str] = (), retry: Mapping[str, str] | None = None, strict: float = 95.0, loose: float = 80.0,
+) -> DataFrame:
+    """The most similar card of the row's position, source after source.
+
+    Sources (label, cards) have (card, name, team, position), a position being
+    the spine's; from ``strict`` on any team counts, from ``loose`` on the own
+    one. Rows of a position in ``without`` and names with a null alias are never
+    looked up. A row that no source has under its position is looked up once
+    more under the position that ``retry`` gives it.
+    """
+    lookup = tx.mapped(F.col("name"), aliases or {}, default=F.col("name"))
+    s = spine.withColumn("key", tx.spaced_key(lookup)).where(lookup.isNotNull() & ~F.coalesce(F.col("grp").isin(*without), F.lit(False)))
+    s = s.select("sid", "team", "grp", "key").where("key <> ''")
+    tried = [("", s)]
+    if retry:
+        tried.append(("_retry", s.withColumn("grp", tx.mapped(F.col("grp"), retry)).where("grp IS NOT NULL")))
+    tiers = []
+    for suffix, rows in tried:
+        for label, cards in sources:
+            c = cards.select("card", "team", F.col("position").alias("grp"), tx.spaced_key(F.col("name")).alias("key")).where("key <> ''").distinct()
+            found = fuzzy_in_block(rows, "sid", "key", c, "card", "key", "grp", "team", strict, loose)
+            tiers.append((label + suffix, found.select("sid", "card")))
+    return _coalesced(spine, tiers)
+
+
+def legacy_match(spine: DataFrame, cards: DataFrame, low: float = 95.0) -> DataFrame:
+    """(sid, card, score, low_confidence): a name that one card has (100), else the best ratio from 90 on, else from 75 on with 80 in the team.
+
+    Of cards of one name the last one in order counts; names are compared in one block.
+    """
+    whole = F.lit("all")
+    s = spine.select("sid", "team", whole.alias("b"), tx.spaced_key(F.col("name")).alias("key")).where("key <> ''")
+    named = cards.select("card", "team", "ord", tx.spaced_key(F.col("name")).alias("key")).where("key <> ''")
+    last = named.groupBy("key", "team").agg(F.max_by("card", F.struct("ord", "card")).alias("card"))
+    single = named.groupBy("key").agg(F.min("card").alias("card"), F.max("card").alias("_most")).where(F.col("card") == F.col("_most"))
+    exact = s.join(single, "key").select("sid", "card", F.lit(100.0).alias("score"), F.lit(0).alias("tier"))
+    scored = similar_names(s.select("b", F.col("key").alias("x")).distinct(), last.select(whole.alias("b"), F.col("key").alias("y")).distinct(), 75.0)
+    pairs = s.withColumnRenamed("key", "x").join(scored.hint("merge"), ["b", "x"]).join(last.select(F.col("key").alias("y"), F.col("team").alias("c_team"), "card"), "y")
+    best = lambda c: F.max(F.when(c, F.struct("score", (-F.col("card")).alias("m"))))
+    judged = pairs.groupBy("sid").agg(best(F.lit(True)).alias("any"), best((F.col("team") == F.col("c_team")) & (F.col("score") >= 80)).alias("own"))
+    chosen = F.when(F.col("any.score") >= 90, F.col("any")).otherwise(F.col("own"))
+    fuzzy = judged.withColumn("_c", chosen).where("_c IS NOT NULL").select("sid", (-F.col("_c.m")).alias("card"), F.col("_c.score").alias("score"), F.lit(1).alias("tier"))
+    first = exact.unionByName(fuzzy).groupBy("sid").agg(F.min_by(F.struct("card", "score"), F.col("tier")).alias("f"))
+    joined = spine.select("sid").join(first, "sid", "left")
+    return joined.select("sid", F.col("f.card").alias("card"), F.col("f.score").alias("score"), F.coalesce(F.col("f.score") < low, F.lit(False)).alias("low_confidence"))
+
+
+def draft_picks(entries: DataFrame, picks: DataFrame, aliases: Mapping[str, str] | None = None) -> DataFrame:
+    """Entries (sid, name, year, round) with the pick of their name in that year and round.
+
+    Alias, own name, then first initial and last name; a way counts only if it leads to one distinct pick.
+    ``picks`` has (pick, name, year, round).
+    """
+    on = ["year", "round"]
+    s = entries.where("year IS NOT NULL AND round IS NOT NULL").select("sid", *on, tx.match_key(tx.mapped(F.col("name"), aliases or {})).alias("alias"), tx.match_key(F.col("name")).alias("key"), tx.initial_last(F.col("name")).alias("ini"))
+    p = picks.select(F.col("pick").alias("card"), *on, tx.match_key(F.col("name")).alias("key"), tx.initial_last(F.col("name")).alias("ini"))
+    by_alias = _only(s.where("alias <> ''").select("sid", *on, F.col("alias").alias("key")).join(p, [*on, "key"]).select("sid", "card"))
+    by_name = _only(s.where("key <> ''").select("sid", *on, "key").join(p, [*on, "key"]).select("sid", "card"))
+    by_initial = _only(s.where("ini IS NOT NULL").select("sid", *on, "ini").join(p, [*on, "ini"]).select("sid", "card"))
+    return _coalesced(entries, [("alias", by_alias), ("name", by_name), ("initial", by_initial)], "pick")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.operators.ordering import ranked_within
+
 
 def pick_row(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """First row of each key in an order.
@@ -45,10 +47,8 @@ def healthy_first(df: DataFrame, keys: Sequence[str], injured: Column, depth: Co
 
 
 def position_ranks(df: DataFrame, group: str, score: str, order: str) -> DataFrame:
-    """Adds ``group_rank`` (by decreasing score, ties by order) and ``group_total``."""
-    by = Window.partitionBy(group)
-    rank = F.row_number().over(by.orderBy(F.col(score).desc_nulls_last(), F.col(order)))
-    return df.withColumn("group_rank", rank).withColumn("group_total", F.count(F.lit(1)).over(by))
+    """Adds ``group_rank`` (by decreasing score, ties by order) and ``group_total``; a group may hold most of the rows."""
+    return ranked_within(df, [group], [F.col(score).desc_nulls_last(), order], "group_rank", "group_total")
 
 
 def running_record(df: DataFrame, keys: Sequence[str], order: Sequence[str], outcome: str, values: Sequence[str]) -> DataFrame:
@@ -83,9 +83,9 @@ def running_index(df: DataFrame, keys: Sequence[str], order: Sequence[str], name
 
 
 def with_suffixes(df: DataFrame, key: str, order: Sequence[str], name: str) -> DataFrame:
-    """Adds an id made unique: the key, then key-2, key-3 in order."""
-    n = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn(name, F.when(n == 1, F.col(key)).otherwise(F.concat_ws("-", key, n.cast("string"))))
+    """Adds an id made unique: the key, then key-2, key-3 in order; a key may be that of most rows."""
+    numbered = ranked_within(df, [key], list(order), "_nth")
+    return numbered.withColumn(name, F.when(F.col("_nth") == 1, F.col(key)).otherwise(F.concat_ws("-", key, F.col("_nth").cast("string")))).drop("_nth")
 
 
 def first_claims(claims: DataFrame, claimed: Sequence[str], claimant: str, order: Sequence[str]) -> DataFrame:
@@ -99,9 +99,9 @@ def first_claims(claims: DataFrame, claimed: Sequence[str], claimant: str, order
 
 def diminishing(df: DataFrame, keys: Sequence[str], order: Sequence[str], factors: Sequence[float], name: str) -> DataFrame:
     """Adds the factor of the k-th row of a key; the last factor repeats."""
-    k = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     table = F.array(*[F.lit(float(f)) for f in factors])
-    return df.withColumn(name, F.element_at(table, F.least(k, F.lit(len(factors)))))
+    numbered = ranked_within(df, list(keys), list(order), "_nth")
+    return numbered.withColumn(name, F.element_at(table, F.least("_nth", F.lit(len(factors))))).drop("_nth")
 
 
 def modes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -116,6 +116,22 @@ def modes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     )
 
 
+def prefix_contains(df: DataFrame, others: DataFrame, name: str, other: str, letters: int = 6) -> DataFrame:
+    """Pairs of distinct names (name, other) where ``other`` contains the first ``letters`` letters of ``name``; shorter names have none.
+
+    Names are cut into all their runs of that many letters, so the pairs are an equi-join.
+    """
+    heads = df.where(F.length(name) >= letters).select(name, F.substring(name, 1, letters).alias("_run")).distinct()
+    runs = F.transform(F.sequence(F.lit(1), F.length(other) - letters + 1), lambda i: F.substr(F.col(other), i, F.lit(letters)))
+    held = others.where(F.length(other) >= letters).select(other).distinct().withColumn("_run", F.explode(F.array_distinct(runs)))
+    return heads.join(held.hint("merge"), "_run").drop("_run")
+
+
+def first_rows(df: DataFrame, order: Sequence[str | Column], n: int = 10) -> DataFrame:
+    """The first ``n`` rows in a total order: a preview or a report."""
+    return df.orderBy(*[F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]).limit(n)
+
+
 def prefer_side(fresh: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:
     """All fresh rows and the previous rows whose key no fresh row has."""
     kept = previous.join(fresh.select(*keys).distinct(), list(keys), "left_anti")

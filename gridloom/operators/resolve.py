@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.functions import similarity as sim
+from gridloom.session import bounded_broadcast, cut_lineage
+
 
 @dataclass(frozen=True)
 class Tier:
@@ -75,19 +78,47 @@ def unique_match(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return agreed.where(F.col("_a") == F.col("_b")).select(left, F.col("_a").alias(right))
 
 
+def similar_names(names: DataFrame, others: DataFrame, least: float) -> DataFrame:
+    """(b, x, y, score): names (b, x) and others (b, y) of one block whose sorted words have a ratio of ``least`` or more.
+
+    An exact candidate index stands in for all pairs of a block: names that
+    similar share so many grams (``grams_in_common``) that the rarest ones of
+    both, all but that many less one, have one in common. ``least`` is above 200/3.
+    """
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        sorted_name = df.select("b", name, sim.sorted_words(F.col(name)).alias("k")).where("k <> ''").distinct()
+        return sorted_name.withColumn("g", F.explode(sim.numbered_grams(F.col("k"))))
+
+    left, right = cut_lineage(keyed(names, "x")), cut_lineage(keyed(others, "y"))
+    frequent = left.select("g").unionByName(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    frequent = bounded_broadcast(frequent)
+
+    def rarest(df: DataFrame, name: str) -> DataFrame:
+        listed = df.join(frequent, "g").groupBy("b", name, "k").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
+        # letters of short texts stand beside their pairs: they are all looked up
+        kept = F.when(F.length("k") <= 3, F.size("gs")).otherwise(F.size("gs") - sim.grams_in_common(F.length("k"), least) + 1)
+        return listed.select("b", name, F.col("k").alias(f"k_{name}"), F.explode(F.slice("gs", F.lit(1), F.greatest(kept, F.lit(1)).cast("int"))).alias("e")).select("b", name, f"k_{name}", F.col("e.g").alias("g"))
+
+    bound = sim.ratio_bound(F.col("k_x"), F.col("k_y")) >= least
+    pairs = rarest(left, "x").join(rarest(right, "y").hint("merge"), ["b", "g"]).where(bound).select("b", "x", "y").distinct()
+    # the aggregate keeps the costly expression out of the join's condition
+    scored = pairs.withColumn("score", sim.token_sort_ratio(F.col("x"), F.col("y")))
+    return scored.where(F.col("score") >= least)
+
+
 def fuzzy_in_block(
     spine: DataFrame, spine_id: str, spine_name: str, candidates: DataFrame, candidate_id: str, candidate_name: str,
-    block: str, team: str, ratio, bound, strict: float = 95.0, loose: float = 80.0,
+    block: str, team: str, strict: float = 95.0, loose: float = 80.0,
 ) -> DataFrame:
     """(spine id, candidate id, score): best ratio within a block.
 
     From ``strict`` on the best name of the block counts whatever its team;
     from ``loose`` on the best name of the row's own team does. Distinct names
-    are compared once per block; a bound by length filters them before.
+    are compared once per block.
     """
     names = spine.select(F.col(block).alias("b"), F.col(spine_name).alias("x")).distinct()
     others = candidates.select(F.col(block).alias("b"), F.col(candidate_name).alias("y")).distinct()
-    scored = names.join(others.hint("merge"), "b").where(bound(F.col("x"), F.col("y")) >= loose).withColumn("score", ratio(F.col("x"), F.col("y"))).where(F.col("score") >= loose)
+    scored = similar_names(names, others, loose)
     rows = spine.select(F.col(spine_id).alias("s"), F.col(block).alias("b"), F.col(spine_name).alias("x"), F.col(team).alias("t"))
     cards = candidates.select(F.col(candidate_id).alias("c"), F.col(block).alias("b"), F.col(candidate_name).alias("y"), F.col(team).alias("ct"))
     pairs = rows.join(scored.hint("merge"), ["b", "x"]).join(cards.hint("merge"), ["b", "y"])

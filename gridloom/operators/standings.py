@@ -1,15 +1,13 @@
 """Who owned a slot first, inferred from an order of picks.
 
 ``modal_owners``: a slot whose most frequent owner over the rounds is clear is
-that team's, if it is clear for one slot only. ``standing_owners``: teams in
-order of their records fill the slots of a round in groups of equal records; a
-team that holds a slot of its own group keeps it, and where one slot and one
-team are left they belong together.
+that team's, if it is clear for one slot only. ``standing_owners``: teams with
+equal records share as many consecutive slots of a round as there are of them,
+worst record first.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,46 +25,44 @@ def modal_owners(picks: DataFrame) -> DataFrame:
     return clear.withColumn("_c", claims).where("_c = 1").select("slot", F.col("modal").alias("team"))
 
 
-def _round_owners(group_of: dict[str, int], sizes: list[int]):
-    starts = [sum(sizes[:g]) for g in range(len(sizes))]
-
-    def label(picks: pd.DataFrame) -> pd.DataFrame:
-        owner = dict(zip(picks["slot"], picks["owner"], strict=True))
-        base = sum(sizes)
-        found = dict(owner)
-        if len(owner) < base:
-            return picks.assign(original=picks["owner"])
-        reach = {t: range(starts[g] + 1, starts[g] + sizes[g] + 1) for t, g in group_of.items()}
-        displaced: dict[str, int] = {}
-        for slot in range(1, base + 1):
-            t = owner[slot]
-            if t not in reach or t in displaced or slot in reach[t] or any(owner[x] == t for x in reach[t]):
-                continue
-            if min(abs(slot - x) for x in reach[t]) <= WOBBLE:
-                displaced[t] = slot
-        for g in range(len(sizes)):
-            slots = [x for x in range(starts[g] + 1, starts[g] + sizes[g] + 1) if x not in displaced.values()]
-            members = {t for t, own in group_of.items() if own == g}
-            claimed, rest = set(), []
-            for slot in slots:
-                if owner[slot] in members and owner[slot] not in claimed:
-                    claimed.add(owner[slot])
-                else:
-                    rest.append(slot)
-            missing = members - claimed - set(displaced)
-            if len(rest) == 1 and len(missing) == 1:
-                found[rest[0]] = missing.pop()
-        return picks.assign(original=[found[s] for s in picks["slot"]])
-
-    return label
+def slot_ranges(standings: DataFrame) -> DataFrame:
+    """(team, low, high): the slots that a team's group of equal records takes, from standings (team, share)."""
+    share = F.round("share", 6)
+    low = F.rank().over(Window.orderBy(share))  # one row per team of a league
+    return standings.select("team", low.alias("low"), (low + F.count(F.lit(1)).over(Window.partitionBy(share)) - 1).alias("high"))
 
 
 def standing_owners(picks: DataFrame, standings: DataFrame) -> DataFrame:
-    """(round, slot, owner, original) of picks (round, slot, owner) by standings (team, share); a round is one small task."""
-    ranked = standings.select("team", F.dense_rank().over(Window.orderBy(F.round("share", 6))).alias("g"))  # one row per team of a league
-    group_of = {r["team"]: r["g"] - 1 for r in ranked.collect()}
-    sizes = [list(group_of.values()).count(g) for g in range(len(set(group_of.values())))]
-    return picks.groupBy("round").applyInPandas(_round_owners(group_of, sizes), "round int, slot int, owner string, original string")
+    """(round, slot, owner, original) of picks (round, slot, owner) by standings (team, share).
+
+    In a round with a pick for every team's slot: a team keeps its first slot in
+    its group's range; one without any there may hold the nearest slot outside,
+    within ``WOBBLE``, as its own. A group with one other slot and one team
+    without a slot has found them: the slot was that team's. Everything else stays with its owner.
+    """
+    ranges = slot_ranges(standings)
+    groups = ranges.groupBy("low", "high").agg(F.collect_set("team").alias("members"))
+    places = groups.select("members", F.col("low").alias("group"), F.explode(F.sequence("low", "high")).alias("slot"))
+    # only slots of the base order are judged, and only in rounds that have all of them
+    placed = picks.join(places, "slot", "left").withColumn("_in_base", F.count("group").over(Window.partitionBy("round")))
+    all_slots = F.lit(standings.count())  # a league's teams
+    judged = placed.where(F.col("group").isNotNull() & (F.col("_in_base") >= all_slots)).join(ranges, F.col("owner") == F.col("team"), "left")
+    by_owner = Window.partitionBy("round", "owner")
+    within = F.coalesce(F.col("slot").between(F.col("low"), F.col("high")), F.lit(False))
+    away = F.greatest(F.col("low") - F.col("slot"), F.col("slot") - F.col("high"))
+    judged = judged.withColumn("_first_own", F.min(F.when(within, F.col("slot"))).over(by_owner))
+    judged = judged.withColumn("_moved", F.min(F.when(F.col("_first_own").isNull() & (away <= WOBBLE), F.col("slot"))).over(by_owner))
+    holds = F.col("slot") == F.coalesce("_first_own", "_moved")
+    judged = judged.withColumn("_holds", F.coalesce(holds, F.lit(False)))
+    others = judged.groupBy("round", "group").agg(
+        F.count(F.when(~F.col("_holds"), F.col("slot"))).alias("_others"), F.min(F.when(~F.col("_holds"), F.col("slot"))).alias("_other"), F.first("members").alias("members")
+    )
+    holders = judged.where("_holds").groupBy("round", F.col("low").alias("group")).agg(F.collect_set("owner").alias("holders"))
+    one_left = others.where("_others = 1").join(holders, ["round", "group"], "left")
+    left_over = F.array_except("members", F.coalesce("holders", F.array().cast("array<string>")))
+    known = one_left.where(F.size(left_over) == 1).select("round", F.col("_other").alias("slot"), left_over[0].alias("_was"))
+    found = picks.join(known, ["round", "slot"], "left")
+    return found.select("round", "slot", "owner", F.coalesce("_was", "owner").alias("original"))
 
 
 def override_latest(labelled: DataFrame, overrides: DataFrame) -> DataFrame:

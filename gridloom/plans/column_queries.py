@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from gridloom.functions import dates as dt
 from gridloom.functions import metrics as mx
 from gridloom.functions import parse as ps
-from gridloom.functions import similarity as sim
 from gridloom.functions import text as tx
 from gridloom.operators import conflict as cf
 from gridloom.operators import regression as rg
@@ -253,16 +252,35 @@ STANDARD = {
 }
 
 
-@query()
+_STANDARD_SQL = "CASE position " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in STANDARD.items()) + " END"
+_SP = lambda x: _SPACED.replace("coalesce(name, '')", f"coalesce({x}, '')")
+
+
+def similar_sql(names: str, others: str, least: float) -> str:
+    """SQL of (b, x, y, score) for two tables (b, name): all pairs of a block within the bound by length, subsequence bit by bit."""
+    side = lambda t: f"(SELECT DISTINCT b, name, array_to_string(list_sort(string_split(name, ' ')), ' ') AS k FROM {t} WHERE name <> '')"
+    masks = "map_from_entries(list_transform(list_distinct(string_split(k, '')), lambda c: struct_pack(key := c, value := CAST(list_sum(list_transform(range(length(k)), lambda i: CASE WHEN k[i + 1] = c THEN CAST(1 AS BIGINT) << i ELSE 0 END)) AS BIGINT))))"
+    state = "list_reduce(list_prepend(f, list_transform(string_split(l, ''), lambda c: coalesce(m[c], 0))), lambda s, h: ((s + (s & h)) | (s - (s & h))) & f)"
+    return f"""(SELECT b, x, y, score FROM (SELECT b, x, y, 200.0 * (length(k) - bit_count({state})) / (length(k) + length(l)) AS score FROM (
+  SELECT p.b, p.name AS x, q.name AS y, p.k, q.k AS l, p.m, (CAST(1 AS BIGINT) << length(p.k)) - 1 AS f
+  FROM (SELECT *, {masks} AS m FROM {side(names)}) p JOIN {side(others)} q USING (b)
+  WHERE 200.0 * least(length(p.k), length(q.k)) / (length(p.k) + length(q.k)) >= {least})) WHERE score >= {least})"""
+
+
+_FUZZY = f"""WITH s AS (SELECT row_id, standard_pos AS b, team, {_SP('canonical_name')} AS name FROM player_match),
+c AS (SELECT DISTINCT CAST(substr(gsis_id, 4, 8) AS BIGINT) AS card, unnest(string_split({_STANDARD_SQL}, ' ')) AS b, team, {_SP('full_name')} AS name FROM nflreadpy_rosters),
+p AS (SELECT s.row_id, c.card, z.score, s.team = c.team AS own FROM s JOIN {similar_sql('s', 'c', 80)} z ON s.b = z.b AND s.name = z.x JOIN c ON c.b = z.b AND c.name = z.y),
+a AS (SELECT row_id, max((score, -card)) AS t, max((score, -card)) FILTER (own) AS o FROM p GROUP BY 1)"""
+
+
+@query(_FUZZY + " SELECT row_id, -(CASE WHEN t[1] >= 95 THEN t ELSE o END)[2] AS card, round((CASE WHEN t[1] >= 95 THEN t ELSE o END)[1], 4) AS score FROM a WHERE t[1] >= 95 OR o IS NOT NULL")
 def lcs_ratio_block(spark: SparkSession, d: str) -> DataFrame:
-    """Best roster name for every match row by the ratio of sorted words, within position and first letter of the last word."""
-    letter = F.substring(F.element_at(F.split("name", " "), -1), 1, 1)
+    """Best roster name for every match row by the ratio of sorted words, within the position."""
     spine = load(spark, d, "player_match").select("row_id", F.col("standard_pos").alias("pos"), "team", tx.spaced_key(F.col("canonical_name")).alias("name"))
     cards = load(spark, d, "nflreadpy_rosters").select(
         F.substring("gsis_id", 4, 8).cast("long").alias("card"), F.explode(F.split(tx.mapped(F.col("position"), STANDARD), " ")).alias("pos"), "team", tx.spaced_key(F.col("full_name")).alias("name")
     )
-    block = lambda df: df.where("name <> ''").withColumn("block", F.concat_ws("|", "pos", letter))
-    found = rs.fuzzy_in_block(block(spine), "row_id", "name", block(cards.distinct()), "card", "name", "block", "team", sim.token_sort_ratio, sim.ratio_bound)
+    found = rs.fuzzy_in_block(spine.where("name <> ''"), "row_id", "name", cards.where("name <> ''").distinct(), "card", "name", "pos", "team")
     return found.withColumn("score", F.round("score", 4))
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Largest side, in rows, that ``bounded_broadcast`` ships to every executor.
+#: Largest side in rows that ``bounded_broadcast`` ships to every executor.
 BROADCAST_ROWS = 200_000
+#: Largest side in bytes, about.
+BROADCAST_BYTES = 32_000_000
 
 
 def local_session(cpus: int = 8, app: str = "gridloom", **conf: str) -> SparkSession:
@@ -39,10 +41,12 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Uses the shared folder of ``spark.checkpoint.dir``; sets a folder only where the session names none."""
+    """Uses the shared folder of ``spark.checkpoint.dir``; only a local session may go without one and gets a folder of this machine."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
+        if not shared and not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or os.path.join(tempfile.gettempdir(), "gridloom-checkpoints"))
 
 
@@ -52,10 +56,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Materialises a small side once, counts it, and marks it for broadcast only within ``max_rows``.
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: the letters of its text form and eight per column."""
+    return F.lit(8 * len(df.columns)) + F.coalesce(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))), F.lit(0))
 
-    Beyond the bound the same rows come back unmarked, so that a shuffle join is planned.
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Materialises a small side once, measures it, and marks it for broadcast only within both bounds.
+
+    Beyond them the same rows come back unmarked, so that a shuffle join is planned.
     """
     kept = cut_lineage(df)
-    return F.broadcast(kept) if kept.count() <= max_rows else kept
+    size = kept.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(row_bytes(kept)), F.lit(0)).alias("bytes")).first()
+    return F.broadcast(kept) if size["n"] <= max_rows and size["bytes"] <= max_bytes else kept

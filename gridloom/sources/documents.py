@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloom.operators.ordering import ranked
+
 #: One player of a team document.
 CHART_PLAYER = "name string, depth int, injured boolean, attainment string, standard_slot string, standard_pos string, cap_number string, stats map<string,string>, stats_season int"
 
@@ -27,18 +29,26 @@ def read_json(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
 def unnest_charts(documents: DataFrame, order: Sequence[str] = ("_file",)) -> DataFrame:
     """One row per player of team documents; ``row_id`` counts in the order of files, slots and places.
 
-    The order number is a struct of positions made dense within a document
-    first, so documents are numbered in parallel and only their sizes are summed.
+    Rows are ranked in parallel; no task holds all documents.
     """
     slots = documents.where(F.col("depth_chart").isNotNull()).select(*order, "team", "abbr", "source", "base_defense", F.posexplode(F.map_entries("depth_chart")).alias("_slot", "_entry"))
     players = slots.select(*order, "team", "abbr", "source", "base_defense", "_slot", F.col("_entry.key").alias("ourlads_pos"), F.posexplode("_entry.value").alias("_place", "_player"))
     rows = players.select("*", "_player.*").withColumn("stats_json", F.to_json("stats")).drop("_player", "stats")
-    within = Window.partitionBy(*order).orderBy("_slot", "_place")
-    sizes = rows.groupBy(*order).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)  # one row per document
-    starts = sizes.withColumn("_start", F.coalesce(F.sum("_n").over(upto), F.lit(0))).drop("_n")
-    numbered = rows.withColumn("_i", F.row_number().over(within) - 1).join(starts, list(order))
-    return numbered.withColumn("row_id", F.col("_start") + F.col("_i")).drop("_i", "_start", "_slot", "_place")
+    return ranked(rows, *order, "_slot", "_place").withColumnRenamed("rank", "row_id").drop("_slot", "_place")
+
+
+def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, strict: bool = True) -> DataFrame:
+    """CSV files with a header as typed rows; columns are found by name, and a file that lacks one is refused where ``strict``.
+
+    Nothing is inferred. Columns of the file that the schema doesn't name are left out; cells that don't parse are null.
+    """
+    wanted = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    held = spark.read.option("header", True).csv(path)
+    missing = [f.name for f in wanted.fields if f.name not in held.columns]
+    if missing and strict:
+        raise ValueError(f"source lacks {', '.join(missing)}")
+    typed = lambda f: F.expr(f"try_cast(`{f.name}` AS {f.dataType.simpleString()})") if f.name in held.columns else F.lit(None).cast(f.dataType)
+    return held.select(*[typed(f).alias(f.name) for f in wanted.fields])
 
 
 def keyed_rows(df: DataFrame, column: str, key: str = "record_id") -> DataFrame:

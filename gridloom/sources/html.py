@@ -18,6 +18,7 @@ class TableReader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.rows: list[tuple[int, int, list[str], list[str]]] = []
         self.table = -1
+        self._counted: dict[int, int] = {}
         self._cells: list[str] | None = None
         self._links: list[str] = []
         self._text: list[str] | None = None
@@ -58,28 +59,22 @@ class TableReader(HTMLParser):
         elif tag == "tr" and self._cells is not None:
             self._close_cell()
             if self._cells:
-                self.rows.append((self.table, sum(r[0] == self.table for r in self.rows), self._cells, self._links))
+                self.rows.append((self.table, self._counted.get(self.table, 0), self._cells, self._links))
+                self._counted[self.table] = self._counted.get(self.table, 0) + 1
             self._cells = None
 
 
 def embedded_object(page: str, name: str) -> str | None:
-    """JSON text of the object that a script assigns to ``name``, found by balancing braces outside strings."""
-    at = page.find(name)
-    start = page.find("{", at) if at >= 0 else -1
-    if start < 0:
+    """JSON text of the object that follows ``name`` in a page, null if there is none or it isn't JSON."""
+    _, found, after = page.partition(name)
+    opening = after.find("{") if found else -1
+    if opening < 0:
         return None
-    depth, quoted, escaped = 0, False, False
-    for i in range(start, len(page)):
-        c = page[i]
-        if quoted:
-            quoted, escaped = (c != '"' or escaped), (c == "\\" and not escaped)
-        elif c == '"':
-            quoted = True
-        elif c in "{}":
-            depth += 1 if c == "{" else -1
-            if depth == 0:
-                return page[start : i + 1]
-    return None
+    try:
+        _, end = json.JSONDecoder().raw_decode(after, opening)
+    except ValueError:
+        return None
+    return after[opening:end]
 
 
 def table_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -107,14 +102,7 @@ def embedded_objects(pages: DataFrame, key: str, html: str, name: str) -> DataFr
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for k, page in zip(batch["k"], batch["h"], strict=True):
-                text = embedded_object(page, name)
-                try:
-                    json.loads(text or "")
-                except ValueError:
-                    text = None
-                found.append((k, text))
+            found = [(k, embedded_object(page, name)) for k, page in zip(batch["k"], batch["h"], strict=True)]
             yield pd.DataFrame(found, columns=["k", "object"])
 
     kind = dict(rows.dtypes)["k"]

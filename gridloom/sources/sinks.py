@@ -33,9 +33,17 @@ def keyed_json_lines(df: DataFrame, key: str, order: str) -> DataFrame:
     return df.select(F.col(order).alias("_o"), F.concat(F.lit("{"), name, F.lit(":"), record, F.lit("}")).alias("value")).orderBy("_o").select("value")
 
 
-def keyed_object(df: DataFrame, key: str) -> DataFrame:
-    """One row with the whole keyed object as JSON, for a table that fits one task (a league's master)."""
-    return df.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), F.struct(*[c for c in df.columns if c != key]).alias("v")))))).alias("value"))
+#: Rows and letters that a single keyed object may have.
+OBJECT_ROWS, OBJECT_LETTERS = 100_000, 256_000_000
+
+
+def keyed_object(df: DataFrame, key: str, most_rows: int = OBJECT_ROWS, most_letters: int = OBJECT_LETTERS) -> DataFrame:
+    """One row with the whole keyed object as JSON, for a table that fits one task (a league's master); a larger one is refused."""
+    record = F.struct(*[F.col(c) for c in df.columns if c != key])
+    size = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length(F.to_json(record))), F.lit(0)).alias("letters")).first()
+    if size["n"] > most_rows or size["letters"] > most_letters:
+        raise ValueError(f"{size['n']} rows of {size['letters']} letters are too many for one object; export keyed lines")
+    return df.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(key).cast("string").alias("k"), record.alias("v")))))).alias("value"))
 
 
 def unmatched_report(df: DataFrame, name: str, detail: Mapping[str, str]) -> DataFrame:

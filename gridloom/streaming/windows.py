@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridloom.session import ensure_checkpoint_dir
+from gridloom.session import cut_lineage, ensure_checkpoint_dir
 
 
 def windowed_counts(events: DataFrame, time: str, kind: str, value: str, length: str = "1 hour", late: str = "2 hours") -> DataFrame:
@@ -20,7 +20,8 @@ def windowed_counts(events: DataFrame, time: str, kind: str, value: str, length:
 def run_available(spark: SparkSession, source: DataFrame, mode: str = "complete") -> DataFrame:
     """Runs a streaming aggregation over what is there and gives its result from files in the shared folder.
 
-    Each micro-batch replaces the result; the folder survives the loss of an executor.
+    Each micro-batch replaces the result; the folder survives the loss of an executor. The
+    result is checkpointed, then the stream's own folder is deleted.
     """
     ensure_checkpoint_dir(spark)
     place = f"{spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
@@ -30,4 +31,7 @@ def run_available(spark: SparkSession, source: DataFrame, mode: str = "complete"
 
     query = source.writeStream.outputMode(mode).option("checkpointLocation", f"{place}/state").trigger(availableNow=True).foreachBatch(store).start()
     query.awaitTermination()
-    return spark.read.parquet(f"{place}/result")
+    result = cut_lineage(spark.read.parquet(f"{place}/result"))
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return result

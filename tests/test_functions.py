@@ -12,6 +12,7 @@ from gridloom.functions import parse as ps
 from gridloom.functions import similarity as sim
 from gridloom.functions import text as tx
 from gridloom.operators import conflict as cf
+from gridloom.operators import resolve as rs
 from tests.conftest import rows
 
 
@@ -95,9 +96,15 @@ def test_season_line(spark):
     found = values(spark, [text, "Career: 3 GP", "", None], ps.season_line(X))
     assert (found[0]["season"], found[0]["school"], found[0]["gp"]) == ("2025", "Ohio State", "13")
     assert [tuple(s) for s in found[0]["stats"]] == [("Rec", "87"), ("Rec TD", "9")]
+    assert [tuple(s) for s in found[0]["career"]] == [("GP", "38")] and values(spark, ["2025: Ohio State"], ps.season_line(X))[0]["career"] is None
     assert found[1:] == [None, None, None]
 
 
+def test_joined_items(spark):
+    df = spark.createDataFrame([(["a", "b"],), ([],), (None,)], "x array<string>")
+    assert [v[0] for v in df.select(tx.join_or_null(X, "/")).collect()] == ["a/b", None, None]
+
+
 def test_seasons_and_ages(spark):
     day = F.to_date(X)
     assert values(spark, ["2026-08-31", "2026-09-01"], dt.season_started(day, 9)) == [2025, 2026]
@@ -133,9 +140,24 @@ def plain_lcs(a, b):
 
 def test_subsequence_equals_dynamic_programming():
     r = random.Random(3)
-    for _ in range(300):
-        a, b = ("".join(r.choice("abcd ") for _ in range(r.randrange(12))) for _ in range(2))
-        assert sim.common_subsequence(a, b) == plain_lcs(a, b)
+    pairs = [tuple("".join(r.choice("abcd ") for _ in range(r.randrange(12))) for _ in range(2)) for _ in range(200)]
+    pairs += [tuple("".join(r.choice("abcdefgh") for _ in range(n)) for n in sizes) for sizes in ((62, 62), (62, 90), (63, 64), (120, 70))]
+    expected = [plain_lcs(a, b) for a, b in pairs]
+    assert sim.common_subsequences(pairs).tolist() == expected
+    assert [sim.common_subsequence(a, b) for a, b in pairs] == expected
+
+
+def test_similar_names_equal_all_pairs_of_a_block(spark):
+    r = random.Random(7)
+    words = ["al", "ali", "bo", "x", "stone", "stoneham", "marco", "polo", "li", "lee", "vandermeer", "ab", "abc", "acb"]
+    name = lambda: " ".join(r.choice(words)[: r.randrange(1, 11)] for _ in range(r.randrange(1, 3)))
+    left, right = ({(r.choice("pq"), name()) for _ in range(120)} for _ in range(2))
+    whole = lambda t: " ".join(sorted(t.split()))
+    ratio = lambda x, y: 200.0 * plain_lcs(whole(x), whole(y)) / (len(whole(x)) + len(whole(y)))
+    for least in (80.0, 95.0):
+        wanted = {(b, x, y) for b, x in left for c, y in right if b == c and ratio(x, y) >= least}
+        found = rs.similar_names(spark.createDataFrame(sorted(left), "b string, x string"), spark.createDataFrame(sorted(right), "b string, y string"), least)
+        assert {tuple(z)[:3] for z in found.select("b", "x", "y").collect()} == wanted and wanted
 
 
 def test_ratio_ignores_word_order(spark):

@@ -81,7 +81,83 @@ def test_paging_and_retries():
             raise r
         return r
 
-    assert paging.with_retries(call, 3, 1.0, waits.append) == "ok" and waits == [1.0, 2.0]
+    assert paging.with_retries(call, 3, 1.0, waits.append) == "ok" and len(waits) == 2
+    assert 1.0 <= waits[0] <= 1.25 and 2.0 <= waits[1] <= 2.5
+
+
+def test_counted_pages_refuse_what_is_not_whole():
+    twice = [{"id": 1, "v": 1}, {"id": 2}, {"id": 1, "v": 2}]
+    pages = lambda data, total: lambda at, n: {"items": data[at : at + n], "total": total}
+    with pytest.raises(paging.Refused):
+        paging.counted_pages(pages(twice, 3), 2)
+    assert paging.counted_pages(pages(twice, 3), 2, dedupe_by="id") == twice[:2]
+    with pytest.raises(paging.Refused):
+        paging.counted_pages(pages(twice[:2], 2), 2, min_total=3)
+    with pytest.raises(paging.Refused):
+        paging.counted_pages(pages(twice[:2], 2), 2, validate=lambda item: "v" in item)
+
+
+def test_statuses_backoff_bulk_and_references():
+    assert paging.status_hint(200, {}, 0, 2) is None
+    for status, attempt in ((404, 0), (403, 2)):
+        with pytest.raises(paging.Refused):
+            paging.status_hint(status, {}, attempt, 2)
+    with pytest.raises(RuntimeError) as held:
+        paging.status_hint(429, {"Retry-After": "7"}, 0, 2)
+    assert held.value.wait == 7.0
+    with pytest.raises(RuntimeError):
+        paging.status_hint(403, {}, 0, 2)  # may be a guard against haste
+    assert paging.backoff(3, 1.0, chance=lambda: 0.0) == 8.0 and paging.backoff(20, 1.0, most=60.0, chance=lambda: 1.0) == 75.0
+
+    def broken():
+        raise OSError
+
+    each = lambda part: [{"id": part}, {"id": "x"}]
+    assert paging.bulk_or_each(lambda: [{"id": 1}], each, ["a"]) == ([{"id": 1}], True)
+    assert paging.bulk_or_each(broken, each, ["a", "b"]) == ([{"id": "a"}, {"id": "x"}, {"id": "b"}], False)
+    tree = {"root": {"items": [{"$ref": "a"}, {"$ref": "b"}]}, "a": {"items": [{"$ref": "c"}, {"$ref": "b"}, {"$ref": "root"}]}, "b": {"n": 1}, "c": {"n": 2}}
+    assert paging.followed_refs("root", tree.__getitem__) == [{"address": "b", "n": 1}, {"address": "c", "n": 2}]
+
+
+def test_paged_source(spark):
+    source = paging.paged_source("numbers", lambda: ["0", "3"], lambda page: [{"n": int(page) + i} for i in range(2)])
+    spark.dataSource.register(source)
+    found = rows(spark.read.format("numbers").load())
+    assert found == [("0", 0, '{"n": 0}'), ("0", 1, '{"n": 1}'), ("3", 0, '{"n": 3}'), ("3", 1, '{"n": 4}')]
+
+
+def test_chunks_never_exceed_their_size(spark):
+    chunks = [r["keys"].split(",") for r in paging.in_chunks(spark.range(1000), "id", 100).collect()]
+    assert sorted(map(len, chunks)) == [100] * 10 and sorted(int(k) for c in chunks for k in c) == list(range(1000))
+
+
+def test_wide_and_broken_lines_of_a_grid(spark, tmp_path):
+    (tmp_path / "g.csv").write_text("\ufeffa," + ",".join(str(i) for i in range(99)) + '\r\n"x\ny",2\n\n', encoding="utf-8")
+    found = [r["cells"] for r in layout.read_grid(spark, str(tmp_path / "g.csv")).orderBy("line").collect()]
+    assert found[0] == ["a", *map(str, range(99))] and found[1] == ["x\ny", "2"]
+
+
+def test_typed_csv(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("id,name,w\n1,A,2.5\nx,B,\n", encoding="utf-8")
+    found = docs.read_csv(spark, str(tmp_path / "c.csv"), "w double, id int")
+    assert found.dtypes == [("w", "double"), ("id", "int")] and rows(found) == [(None, None), (2.5, 1)]
+    with pytest.raises(ValueError, match="lacks z"):
+        docs.read_csv(spark, str(tmp_path / "c.csv"), "z int")
+    assert rows(docs.read_csv(spark, str(tmp_path / "c.csv"), "z int, name string", strict=False)) == [(None, "A"), (None, "B")]
+
+
+def test_one_object_is_refused_when_large(spark):
+    df = spark.createDataFrame([("b", 1), ("a", None)], "id string, v int")
+    assert sinks.keyed_object(df, "id").first()[0] == '{"a":{},"b":{"v":1}}'
+    with pytest.raises(ValueError, match="too many"):
+        sinks.keyed_object(df, "id", most_rows=1)
+
+
+def test_log_enriched_maps_and_optional_tables(spark, tmp_path):
+    sinks.append_log(str(tmp_path / "logs" / "l.txt"), "one\n")
+    sinks.append_log(str(tmp_path / "logs" / "l.txt"), "two")
+    assert (tmp_path / "logs" / "l.txt").read_text() == "one\ntwo\n"
+    assert docs.has_table(spark, "no_such_table") is False
 
 
 def test_fetch_each_allows_few_failures(spark):
@@ -92,9 +168,9 @@ def test_fetch_each_allows_few_failures(spark):
             raise OSError
         return f"b{k}"
 
-    assert paging.fetch_each(ids, "id", fetch).where("problem IS NULL").count() == 19
+    assert paging.fetch_each(ids, "id", fetch, first_wait=0.0).where("problem IS NULL").count() == 19
     with pytest.raises(paging.Refused):
-        paging.fetch_each(ids, "id", fetch, failures_allowed=0.01)
+        paging.fetch_each(ids, "id", fetch, failures_allowed=0.01, first_wait=0.0)
     assert sum(len(r["keys"].split(",")) for r in paging.in_chunks(ids, "id", 6).collect()) == 20
 
 
