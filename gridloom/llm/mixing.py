@@ -74,7 +74,8 @@ def sized_documents(docs: DataFrame, doc_id: str, text: str, source: str) -> Dat
     rows = docs.where(F.col(source).isNotNull()).select(
         F.col(doc_id).alias("doc"), F.col(source).alias("source"), quality(F.col(text)).alias("weight"), F.col(text).alias("text")
     )
-    return cut_lineage(ranked_within(token_sizes(rows, "text", ["doc", "source", "weight"]), ["doc"], ["source", "n_tokens", "weight"], "copy"))
+    sizes = cut_lineage(token_sizes(rows, "text", ["doc", "source", "weight"]))  # ranking reads its rows twice
+    return cut_lineage(ranked_within(sizes, ["doc"], ["source", "n_tokens", "weight"], "copy"))
 
 
 def mix_documents(sized: DataFrame, plan: DataFrame, seed: int = 11) -> DataFrame:

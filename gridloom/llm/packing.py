@@ -88,7 +88,7 @@ def pack_items(items: DataFrame, packs: Sequence[tuple[str, int]], item: str, si
     """
     kept = [(n, int(c)) for n, c in packs if c is not None and c >= 1]
     # groups follow from the identifier and, for repeated ones, the copy: the layout of the files plays no part
-    sized = items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("n_tokens"))
+    sized = cut_lineage(items.select(F.col(item).alias("item"), F.col(size).cast("long").alias("n_tokens")))  # ranking reads its rows twice
     numbered = cut_lineage(ranked_within(sized, ["item"], ["n_tokens"], "_copy"))
     groups = max(1, math.ceil(numbered.count() / GROUP_ITEMS))
     kinds = F.array(*[F.struct(F.lit(n).alias("pack_name"), F.lit(c).cast("long").alias("capacity")) for n, c in kept]) if kept else None
