@@ -94,12 +94,12 @@ def _f_tail(f: float, d1: int, d2: int) -> float:
 
 
 def residuals(df: DataFrame, columns: Sequence[Column], target: Column, model: Fit) -> DataFrame:
-    """``df`` with ``fitted``, ``residual`` and ``loo_residual`` (residual over one minus leverage)."""
+    """``df`` with ``fitted``, ``residual`` and ``loo_residual`` (residual over one minus leverage; null for a row that alone decides its own value)."""
     dot = lambda weights: sum((c * F.lit(float(w)) for c, w in zip(columns, weights, strict=True)), F.lit(0.0))
     fitted = dot(model.coefficients)
     leverage = sum((dot(model.inverse[i]) * c for i, c in enumerate(columns)), F.lit(0.0))
     out = df.withColumn("fitted", fitted).withColumn("residual", target - F.col("fitted"))
-    return out.withColumn("loo_residual", F.try_divide(F.col("residual"), 1 - leverage))
+    return out.withColumn("loo_residual", F.when(1 - leverage > 1e-9, F.col("residual") / (1 - leverage)))
 
 
 def rmse(column: str, where: Column | None = None) -> Column:

@@ -30,6 +30,12 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
     return pick_row(df, keys, [F.col(c).desc_nulls_last() for c in order])
 
 
+def first_and_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """One row per key with ``first_COLUMN`` and ``last_COLUMN``: one scan, one partially aggregated shuffle. Orders have no nulls."""
+    at = F.struct(*order)
+    return df.groupBy(*keys).agg(*[F.min_by(c, at).alias(f"first_{c}") for c in columns], *[F.max_by(c, at).alias(f"last_{c}") for c in columns])
+
+
 def prefer_row(df: DataFrame, keys: Sequence[str], preferred: Column, order: Sequence[Column]) -> DataFrame:
     """A preferred row per key if there is one, else the first in order."""
     return pick_row(df, keys, [F.coalesce(preferred, F.lit(False)).desc(), *order])

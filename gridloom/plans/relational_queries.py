@@ -161,10 +161,8 @@ def prefer_aggregate_row(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""SELECT l_partkey, min_by(l_orderkey, (l_orderkey, l_linenumber)) AS first_order, max_by(l_orderkey, (l_orderkey, l_linenumber)) AS last_order FROM lineitem GROUP BY 1""")
 def keep_first_keep_last(spark: SparkSession, d: str) -> DataFrame:
-    lines, order = load(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber"), ["l_orderkey", "l_linenumber"]
-    first = rel.keep_first(lines, ["l_partkey"], order).select("l_partkey", F.col("l_orderkey").alias("first_order"))
-    last = rel.keep_last(lines, ["l_partkey"], order).select("l_partkey", F.col("l_orderkey").alias("last_order"))
-    return first.join(last, "l_partkey")
+    ends = rel.first_and_last(load(spark, d, "lineitem"), ["l_partkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey"])
+    return ends.withColumnsRenamed({"first_l_orderkey": "first_order", "last_l_orderkey": "last_order"})
 
 
 @query("SELECT user_id, event_id, event_type, value FROM events WHERE value > 50 AND event_type IS NOT NULL QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
