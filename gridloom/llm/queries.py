@@ -10,7 +10,7 @@ from gridloom.llm import survivors as sv
 from gridloom.llm.matching import match_rosters
 from gridloom.llm.mixing import mix_documents, mix_plan, mix_shares, sized_documents
 from gridloom.llm.packing import fill_report, pack_items
-from gridloom.llm.text_forms import canonical_sql, with_canonical
+from gridloom.llm.text_forms import LOOK_ALIKES, canonical_sql, with_canonical
 from gridloom.llm.tokens import token_sizes
 from gridloom.llm.top_n import top_n
 from gridloom.llm.truncation import judged_documents, truncation_rates
@@ -170,11 +170,19 @@ _CLAIMS = " UNION ALL ".join(
     )
 )
 
+#: What names are ordinarily stored in: ASCII but the grave accent, and composed Latin letters that are no compatibility forms.
+_ORDINARY = "[ -_a-~À-ÖØ-öø-ıĴ-ľŁ-ňŊ-žƀ-ǃǍ-ǰǴ-ɏḀ-ỿ]*"
+
 ORACLE = {
     "p4_top_five": _TOP,
     "p4_found": f"SELECT iteration_id, madden_pos_label, card_id FROM ({_TOP})",
     "p5_forms": f"SELECT tbl, row_id, name AS stored, canonical, mixed AS mixed_script FROM ({canonical_sql(_NAMES, 'name')})",
-    "p5_found": f"SELECT tbl, row_id FROM ({canonical_sql(_NAMES, 'name')}) WHERE name IS DISTINCT FROM canonical OR mixed",
+    "p5_found": f"""
+SELECT DISTINCT tbl, row_id FROM {_NAMES}
+WHERE name IS NOT NULL AND (name <> nfc_normalize(name) OR NOT regexp_full_match(name, '{_ORDINARY}'))
+  AND NOT (regexp_matches(name, '[^\\p{{Latin}}\\P{{L}}]') AND NOT regexp_matches(name, '\\p{{Latin}}')
+           AND NOT regexp_full_match(regexp_replace(name, '\\P{{L}}', '', 'g'), '[{"".join(LOOK_ALIKES)}]*'))
+""",
     "p6_found": f"""
 SELECT player_key, field_name, row_id FROM ({_CLAIMS})
 WHERE player_key IN (SELECT player_key FROM player_match GROUP BY 1 HAVING count(*) >= 2)
