@@ -275,3 +275,16 @@ def draft_picks(entries: DataFrame, picks: DataFrame, aliases: Mapping[str, str]
     by_name = _only(s.where("key <> ''").select("sid", *on, "key").join(p, [*on, "key"]).select("sid", "card"))
     by_initial = _only(s.where("ini IS NOT NULL").select("sid", *on, "ini").join(p, [*on, "ini"]).select("sid", "card"))
     return _coalesced(entries, [("alias", by_alias), ("name", by_name), ("initial", by_initial)], "pick")
+
+
+def id_then_similar(spine: DataFrame, cards: DataFrame, strict: float = 95.0, loose: float = 80.0) -> DataFrame:
+    """The card with the row's ``id``, else the one of the most similar name of the row's position.
+
+    The spine has ``id`` beside (sid, name, team, grp), cards have ``id`` beside
+    (card, name, team, position); null ids match nothing. Of cards of one id the last in order counts.
+    """
+    last = cards.where("id IS NOT NULL").groupBy("id").agg(F.max_by("card", F.struct("ord", "card")).alias("card"))
+    known = spine.where("id IS NOT NULL").select("sid", "id").join(last, "id").select("sid", "card")
+    missed = spine.join(known.select("sid"), "sid", "left_anti")
+    similar = find_ids(missed.select("sid", "name", "team", "grp"), [("similar", cards)], strict=strict, loose=loose).where("card IS NOT NULL").select("sid", "card")
+    return _coalesced(spine, [("id", known), ("similar", similar)])

@@ -65,6 +65,33 @@ def standing_owners(picks: DataFrame, standings: DataFrame) -> DataFrame:
     return found.select("round", "slot", "owner", F.coalesce("_was", "owner").alias("original"))
 
 
+def order_problems(picks: DataFrame, teams: DataFrame, rounds: int, least: int, most: int) -> list[str]:
+    """What keeps picks (pick, round, owner) from being a whole draft order; nothing if it is one.
+
+    Picks count from 1 without gaps or repeats, rounds 1 to ``rounds`` follow
+    each other, all owners are ``teams`` (team), and every team owns a pick.
+    """
+    before = F.lag("round").over(Window.orderBy("pick"))  # a few hundred picks
+    seen = picks.withColumn("_before", before).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("pick").alias("distinct"), F.min("pick").alias("first"), F.max("pick").alias("last"), F.count_distinct("round").alias("rounds"),
+        F.min("round").alias("low"), F.max("round").alias("high"), F.sum((F.col("round") < F.col("_before")).cast("int")).alias("back"),
+    ).first()
+    owners = picks.select(F.col("owner").alias("team")).distinct()
+    problems = []
+    if seen["distinct"] < seen["n"]:
+        problems.append("a pick is listed twice")
+    if not least <= seen["n"] <= most or seen["first"] != 1 or seen["last"] != seen["n"]:
+        problems.append(f"{seen['n']} picks don't count from 1 to {most} at most")
+    if (seen["rounds"], seen["low"], seen["high"]) != (rounds, 1, rounds) or seen["back"]:
+        problems.append(f"rounds aren't 1 to {rounds} in order")
+    strange = sorted(r["team"] for r in owners.join(teams, "team", "left_anti").collect())  # at most a pick's number
+    if strange:
+        problems.append(f"unknown owners {', '.join(strange)}")
+    if teams.join(owners, "team", "left_anti").limit(1).count():
+        problems.append("a team owns no pick")
+    return problems
+
+
 def override_latest(labelled: DataFrame, overrides: DataFrame) -> DataFrame:
     """Known owners (round, owner, original) replace the label of that owner's latest unlabelled pick of the round."""
     open_picks = labelled.where(F.col("owner") == F.col("original")).groupBy("round", "owner").agg(F.max("slot").alias("slot"))

@@ -41,6 +41,11 @@ def _cards(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "nflreadpy_rosters").select(number.alias("card"), F.col("full_name").alias("name"), "team", "position", F.col("season").alias("ord")).distinct()
 
 
+def _rating_cards(spark: SparkSession, d: str) -> DataFrame:
+    latest = rel.keep_last(load(spark, d, "madden_ratings").where("first_name IS NOT NULL"), ["first_name", "last_name", "team_label"], ["delivered_at", "row_id"])
+    return latest.select(F.col("row_id").alias("card"), F.concat_ws(" ", "first_name", "last_name").alias("name"), F.col("team_label").alias("team"), F.col("madden_pos_label").alias("position"), F.col("row_id").alias("ord"))
+
+
 #: Spellings that the resolvers are told about; a null forces a row to stay without a match.
 ALIASES: dict[str, str | None] = {
     "William Lamowpick": "William Lamopwick", "Xaiier Chaluvtti": "Xavier Chaluvtti", "Bian Galaymore": "Brian Galaymore",
@@ -57,7 +62,8 @@ def _alias_sql(column: str, table: dict[str, str | None], default: str = "NULL")
 _CARDS_SQL = "SELECT DISTINCT CAST(substr(gsis_id, 4, 8) AS BIGINT) AS card, full_name AS name, team, position, season AS ord FROM nflreadpy_rosters"
 
 
-@query(f"""WITH charts AS (SELECT row_id AS sid, team, list_distinct(list_filter([{_SP(_alias_sql('name', ALIASES))}, {_SP('name')}], lambda k: k <> '')) AS ks FROM ourlads_players),
+def _charts_sql(where: str = "true") -> str:
+    return f"""WITH charts AS (SELECT row_id AS sid, team, list_distinct(list_filter([{_SP(_alias_sql('name', ALIASES))}, {_SP('name')}], lambda k: k <> '')) AS ks FROM ourlads_players WHERE {where}),
 s AS (SELECT sid, team, unnest(range(len(ks))) AS try, unnest(ks) AS key FROM charts),
 l AS (SELECT * FROM madden_ratings WHERE first_name IS NOT NULL QUALIFY row_number() OVER (PARTITION BY first_name, last_name, team_label ORDER BY delivered_at DESC NULLS LAST, row_id DESC) = 1),
 c AS (SELECT row_id AS card, row_id AS ord, team_label AS team, {_SP("concat_ws(' ', first_name, last_name)")} AS key FROM l),
@@ -68,13 +74,21 @@ w AS (SELECT sid, try, sw.key, card, ord, sw.team = cw.team AS own FROM sw JOIN
 t1 AS (SELECT sid, min_by(card, (try, ord, card)) AS card FROM s JOIN c USING (key, team) GROUP BY 1), t2 AS (SELECT sid, min_by(card, (try, ord, card)) AS card FROM w WHERE own GROUP BY 1),
 t3 AS (SELECT sid, min_by(card, (try, ord, card)) AS card FROM safe JOIN c USING (key) GROUP BY 1), t4 AS (SELECT sid, min_by(card, (try, ord, card)) AS card FROM w WHERE key NOT IN (SELECT key FROM shared) GROUP BY 1)
 SELECT charts.sid, coalesce(t1.card, t2.card, t3.card, t4.card) AS card, CASE WHEN t1.card IS NOT NULL THEN 'team_name' WHEN t2.card IS NOT NULL THEN 'team_words' WHEN t3.card IS NOT NULL THEN 'league_name' WHEN t4.card IS NOT NULL THEN 'league_words' END AS match_source
-FROM charts LEFT JOIN t1 USING (sid) LEFT JOIN t2 USING (sid) LEFT JOIN t3 USING (sid) LEFT JOIN t4 USING (sid)""")
+FROM charts LEFT JOIN t1 USING (sid) LEFT JOIN t2 USING (sid) LEFT JOIN t3 USING (sid) LEFT JOIN t4 USING (sid)"""
+
+
+@query(_charts_sql())
 def resolve_chart_ratings(spark: SparkSession, d: str) -> DataFrame:
     """Depth-chart rows to rating cards: the team's names and words first, then the league's where no two teams share the name."""
     charts = load(spark, d, "ourlads_players").select(F.col("row_id").alias("sid"), "name", "team", F.col("standard_pos").alias("grp"))
-    latest = rel.keep_last(load(spark, d, "madden_ratings").where("first_name IS NOT NULL"), ["first_name", "last_name", "team_label"], ["delivered_at", "row_id"])
-    cards = latest.select(F.col("row_id").alias("card"), F.concat_ws(" ", "first_name", "last_name").alias("name"), F.col("team_label").alias("team"), F.col("madden_pos_label").alias("position"), F.col("row_id").alias("ord"))
-    return lg.find_cards(charts, cards, ALIASES).select("sid", "card", "match_source")
+    return lg.find_cards(charts, _rating_cards(spark, d), ALIASES).select("sid", "card", "match_source")
+
+
+@query(_charts_sql("years_pro = 0"))
+def resolve_rookies(spark: SparkSession, d: str) -> DataFrame:
+    """First-year players of the charts to rating cards, by the same ways."""
+    charts = load(spark, d, "ourlads_players").where("years_pro = 0").select(F.col("row_id").alias("sid"), "name", "team", F.col("standard_pos").alias("grp"))
+    return lg.find_cards(charts, _rating_cards(spark, d), ALIASES).select("sid", "card", "match_source")
 
 
 _KEY = "regexp_replace(array_to_string(list_filter(string_split(trim(regexp_replace(replace(lower(strip_accents(coalesce({x}, ''))), '.', ''), '\\s+', ' ', 'g')), ' '), lambda t: t NOT IN ('jr', 'sr', 'ii', 'iii', 'iv', 'vi', 'v')), ' '), '[^a-z]', '', 'g')"

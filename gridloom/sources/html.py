@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.operators.relational import prefer_side
+
 
 class TableReader(HTMLParser):
     """Rows of all tables of a page, also of tables inside comments; cells carry their text and first link."""
@@ -107,3 +109,26 @@ def embedded_objects(pages: DataFrame, key: str, html: str, name: str) -> DataFr
 
     kind = dict(rows.dtypes)["k"]
     return rows.mapInPandas(read, f"k {kind}, object string").withColumnRenamed("k", key)
+
+
+def linked_amounts(rows: DataFrame, key: str) -> DataFrame:
+    """(key, table_no, name, amount) of table rows: the first cell with a link and the first cell that is an amount of money.
+
+    Rows without either, such as totals, are left out; of a name listed twice in a table the last row counts.
+    """
+    pairs = F.arrays_zip(F.col("cells").alias("cell"), F.col("links").alias("link"))
+    named = F.get(F.filter(pairs, lambda p: (p["link"] != "") & (p["cell"] != "")), F.lit(0))["cell"]
+    amount = F.get(F.filter("cells", lambda c: c.startswith("$")), F.lit(0))
+    found = rows.select(key, "table_no", "row_no", named.alias("name"), amount.alias("amount")).where("name IS NOT NULL AND amount IS NOT NULL")
+    return found.groupBy(key, "table_no", "name").agg(F.max_by("amount", "row_no").alias("amount"))
+
+
+def first_listed(tables: Sequence[tuple[str, DataFrame]], keys: Sequence[str]) -> DataFrame:
+    """All rows of the first table and those of each later table whose key no earlier one has, with ``listed_in``."""
+    found = None
+    for label, rows in tables:
+        marked = rows.withColumn("listed_in", F.lit(label))
+        found = marked if found is None else prefer_side(found, marked, keys)
+    if found is None:
+        raise ValueError("no tables")
+    return found

@@ -89,6 +89,43 @@ def test_slot_owners(spark):
     assert rows(st.modal_owners(many)) == [(1, "a")]
 
 
+def test_order_problems(spark):
+    teams = spark.createDataFrame([("a",), ("b",)], "team string")
+    of = lambda *picks: spark.createDataFrame(picks, "pick int, round int, owner string")
+    assert st.order_problems(of((1, 1, "a"), (2, 1, "b"), (3, 2, "b")), teams, 2, 2, 4) == []
+    assert len(st.order_problems(of((1, 2, "a"), (1, 1, "z"), (9, 1, "a")), teams, 3, 2, 4)) == 5
+
+
+def test_ids_aliases_and_doubt(spark):
+    spine, cards = tables(
+        spark,
+        [(1, "Pat Stone", "SF", "CB"), (2, "Al Forced", "SF", "CB"), (3, "Guard Man", "SF", "OL"), (4, "Joe Moore", "NYG", "CB"), (5, "Nichol Name", "SF", "CB"), (6, None, "SF", "CB")],
+        [(10, "Pat Stone", "SF", "CB", 1), (11, "Al Forced", "SF", "CB", 2), (12, "Guard Man", "SF", "OL", 3), (13, "Joe Moore", "NYG", "S", 4), (14, "Nicholas Name", "SF", "CB", 5)],
+    )
+    got = found(lg.find_ids(spine, [("rosters", cards)], {"Al Forced": None}, ["OL"], {"CB": "S", "S": "CB"}))
+    assert got == {1: (10, "rosters"), 2: (None, None), 3: (None, None), 4: (13, "rosters_retry"), 5: (14, "rosters"), 6: (None, None)}
+    with_id = spine.withColumn("id", F.when(F.col("sid") == 2, F.lit("x")))
+    contracts = cards.withColumn("id", F.when(F.col("card") == 13, F.lit("x")))
+    got = found(lg.id_then_similar(with_id, contracts))
+    assert got[2] == (13, "id") and got[5] == (14, "similar") and got[6] == (None, None)
+    doubtful = {r["sid"]: (r["card"], r["low_confidence"]) for r in lg.legacy_match(spine, cards).collect()}
+    assert doubtful[1] == (10, False) and doubtful[5] == (14, True) and doubtful[6] == (None, False)
+
+
+def test_alias_then_name_and_ids_without_cards(spark):
+    spine, cards = tables(spark, [(1, "Pat Stone", "SF", "CB"), (2, "No Card", "SF", "CB")], [(10, "Pat Stone", "SF", "CB", 1)])
+    assert found(lg.find_cards(spine, cards, {"Pat Stone": "Patrick Stone"}))[1] == (10, "team_name")
+    ids = spark.createDataFrame([(2, 99)], "sid int, card int")
+    assert found(lg.crosswalk_then_name(spine, ids, cards)) == {1: (10, "name_team"), 2: (99, "crosswalk")}
+
+
+def test_draft_picks_need_one_pick(spark):
+    entries = spark.createDataFrame([(1, "Al Two", 2023, 1), (2, "B. One", 2023, 2), (3, "Al Two", None, 1), (4, "Cy Nick", 2023, 3)], "sid int, name string, year int, round int")
+    picks = spark.createDataFrame([(1, "Al Two", 2023, 1), (2, "Al Two", 2023, 1), (40, "Bob One", 2023, 2), (70, "Cyrus Nickel", 2023, 3)], "pick int, name string, year int, round int")
+    got = {r["sid"]: (r["pick"], r["match_source"]) for r in lg.draft_picks(entries, picks, {"Cy Nick": "Cyrus Nickel"}).collect()}
+    assert got == {1: (None, None), 2: (40, "initial"), 3: (None, None), 4: (70, "alias")}
+
+
 def test_maps_and_totals(spark):
     df = spark.sql("SELECT map('tck', '3', 'TCK', '4', 'X', '0', 'N', null) AS m, array(1.5, null, 2.0) AS a")
     named = df.select(rel.remap_keys("m", {"TCK": "TACKLES"}).alias("m"))

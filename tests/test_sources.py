@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloom.sources import documents as docs
-from gridloom.sources import html, layout, paging, sinks
+from gridloom.sources import games, html, layout, paging, sinks
 from gridloom.streaming import incremental as inc
 from tests.conftest import rows
 
@@ -196,3 +196,34 @@ def test_incremental(spark):
     chosen, rest = inc.next_from_pool(["x"], ["x", "y", "z"], 2, 1)
     assert chosen[0] == "x" and len(chosen) == 2 and len(set(chosen)) == 2
     assert rows(inc.last_known_good(new, old, "week"), "week", "is_cached") == [(1, True), (2, False), (3, False)]
+
+
+def test_game_documents_and_leaders(spark):
+    side = lambda which, team, score: {"side": which, "team": team, "name": team, "score": score, "winner": which == "home", "linescores": [7.0, 3.0]}
+    game = {
+        "id": "g", "competitors": [side("away", "B", "10"), side("home", "A", "17")],
+        "statistics": [{"team": "A", "items": [{"name": "yards", "value": "300"}, {"name": "yards", "value": "1"}, {"name": "x", "value": "2"}]}],
+        "leaders": [{"team": "A", "groups": [{"name": "passing", "leaders": [{"athlete_id": "7", "name": "Q", "line": "200"}]}, {"name": "rushing", "leaders": []}]}],
+        "videos": [{"url": "u", "title": "one"}, {"url": "u", "title": "two"}, {"url": None, "title": "x"}, {"url": "v", "title": None}],
+    }
+    text = spark.createDataFrame([(json.dumps(game),), (json.dumps({"id": "half", "competitors": [side("home", "A", None)]}),)], "t string")
+    found = games.game_documents(text.select(F.from_json("t", games.GAME).alias("g")).select("g.*"), ["yards"], {"rushing": "RUSH", "passing": "PASS"})
+    (one,) = found.collect()
+    assert (one["home"]["score"], one["home"]["linescore"], one["away"]["winner"], one["home_stats"], one["away_stats"]) == (17, [7, 3], False, {"yards": "300"}, {})
+    assert [v["title"] for v in one["highlights"]] == ["one"]
+    master = spark.createDataFrame([("7", 88)], "espn string, madden int")
+    assert rows(games.leader_lines(found, master, "espn", ["madden"]), "game_id", "category", "team", "madden") == [("g", "PASS", "A", 88)]
+
+
+def test_references_of_one_answer(spark):
+    answer = spark.sql("SELECT array(named_struct('id', 1, 'team', 2, 'role', 9), named_struct('id', 3, 'team', 5, 'role', 1)) AS elements, array(named_struct('id', 2, 'name', 'Old'), named_struct('id', 2, 'name', 'New')) AS teams, array(named_struct('id', 9, 'short', 'GK')) AS roles")
+    found = games.with_references(answer, "elements", {"team": ("teams", {"name": "team_name"}), "role": ("roles", {"short": "position"})})
+    assert rows(found, "id", "team_name", "position") == [(1, "New", "GK"), (3, None, None)]
+
+
+def test_amounts_of_active_players_win(spark):
+    line = lambda name, *cells: f"<tr><td><a href='/p'>{name}</a></td>{''.join(f'<td>{c}</td>' for c in cells)}</tr>"
+    page = f"<table>{line('Ann', 'x', '$5', '$9')}{line('Bob', '$1')}<tr><td>TOTAL</td><td>$6</td></tr></table><table>{line('Ann', '$7')}{line('Cy', '$2')}</table>"
+    amounts = html.linked_amounts(html.table_rows(spark.createDataFrame([("t", page)], "k string, h string"), "k", "h"), "k")
+    of = lambda i: amounts.where(F.col("table_no") == i).drop("table_no")
+    assert rows(html.first_listed([("active", of(0)), ("hurt", of(1))], ["k", "name"]), "name", "amount", "listed_in") == [("Ann", "$5", "active"), ("Bob", "$1", "active"), ("Cy", "$2", "hurt")]
