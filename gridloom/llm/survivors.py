@@ -31,18 +31,21 @@ from __future__ import annotations
 import itertools
 import math
 from collections import defaultdict
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.session import bounded_broadcast, cut_lineage
+
 #: Spellings of "not known"; a text without any letter or digit is one as well.
 UNKNOWN = (
     "n/a", "na", "none", "null", "nan", "nil", "unknown", "unk", "tbd", "tba", "undefined",
     "not known", "not available", "not applicable", "no data", "pending",
 )
-#: Sources that ``fuse`` tells apart; agreement patterns are bounded by the Bell number of this plus one.
+#: Sources whose agreement patterns are gathered on the driver: there are no more than the Bell number of this plus one.
 MAX_SOURCES = 8
 
 
@@ -144,43 +147,111 @@ def _posteriors(
     return {v: math.exp(c - top) / total for v, c in confidence.items()}
 
 
-def estimate(
-    patterns: Mapping[tuple[tuple[str, int], ...], int], prior: Prior = Prior()
-) -> tuple[dict[tuple[tuple[str, int], ...], dict[int, float]], dict[str, float], dict[tuple[str, str], float]]:
+Pattern = tuple[tuple[str, int], ...]
+
+
+def _sums(pattern: Pattern, n: int, posterior: Mapping[int, float]) -> Iterator[tuple[str, str, str, float]]:
+    """What a pattern that ``n`` items have adds to the sums that accuracies and dependence are taken from."""
+    for source, value in pattern:
+        yield "right", source, "", n * posterior[value]
+        yield "made", source, "", float(n)
+    for (s, v), (t, w) in itertools.combinations(sorted(pattern), 2):
+        if v == w:
+            yield "agree_true", s, t, n * posterior[v]
+            yield "agree_false", s, t, n * (1 - posterior[v])
+        else:
+            yield "differ", s, t, float(n)
+
+
+def _model(sums: Mapping[tuple[str, str, str], float], prior: Prior) -> tuple[dict[str, float], dict[tuple[str, str], float]]:
+    """Accuracies, and dependence per pair of sources that ever met."""
+    accuracy = {s: min(max(sums.get(("right", s, ""), 0.0) / made, 0.01), 0.99) for (kind, s, _), made in sums.items() if kind == "made"}
+    depends = {}
+    for s, t in sorted({(s, t) for _, s, t in sums if t}):
+        a, b = accuracy[s], accuracy[t]
+        both_true, both_false = a * b, (1 - a) * (1 - b) / prior.false_values
+        c, mean = prior.copied_share, (a + b) / 2
+        log_odds = math.log(prior.copying / (1 - prior.copying))
+        log_odds += sums.get(("agree_true", s, t), 0.0) * math.log((c * mean + (1 - c) * both_true) / both_true)
+        log_odds += sums.get(("agree_false", s, t), 0.0) * math.log((c * (1 - mean) + (1 - c) * both_false) / both_false)
+        log_odds += sums.get(("differ", s, t), 0.0) * math.log(1 - c)
+        depends[s, t] = 1 / (1 + math.exp(-max(min(log_odds, 50), -50)))
+    return accuracy, depends
+
+
+def estimate(patterns: Mapping[Pattern, int], prior: Prior = Prior()) -> tuple[dict[Pattern, dict[int, float]], dict[str, float], dict[tuple[str, str], float]]:
     """Posteriors per pattern, accuracies, and dependence per pair of sources, from counted agreement patterns."""
-    sources = sorted({s for pattern in patterns for s, _ in pattern})
-    accuracy = dict.fromkeys(sources, prior.accuracy)
+    accuracy = dict.fromkeys(sorted({s for pattern in patterns for s, _ in pattern}), prior.accuracy)
     depends: dict[tuple[str, str], float] = {}
     posterior: dict = {}
     for _ in range(prior.rounds):
         posterior = {p: _posteriors(p, accuracy, depends, prior) for p in patterns}
-        right, made = defaultdict(float), defaultdict(float)
-        agree_true, agree_false, differ = defaultdict(float), defaultdict(float), defaultdict(float)
+        sums: dict[tuple[str, str, str], float] = defaultdict(float)
         for pattern, n in patterns.items():
-            for source, value in pattern:
-                right[source] += n * posterior[pattern][value]
-                made[source] += n
-            for (s, v), (t, w) in itertools.combinations(sorted(pattern), 2):
-                if v == w:
-                    agree_true[s, t] += n * posterior[pattern][v]
-                    agree_false[s, t] += n * (1 - posterior[pattern][v])
-                else:
-                    differ[s, t] += n
-        accuracy = {s: min(max(right[s] / made[s], 0.01), 0.99) for s in sources}
-        depends = {}
-        for pair in {*agree_true, *differ}:
-            a, b = accuracy[pair[0]], accuracy[pair[1]]
-            both_true, both_false = a * b, (1 - a) * (1 - b) / prior.false_values
-            other = max(1 - both_true - both_false, 1e-9)
-            c, mean = prior.copied_share, (a + b) / 2
-            log_odds = math.log(prior.copying / (1 - prior.copying))
-            log_odds += agree_true[pair] * math.log((c * mean + (1 - c) * both_true) / both_true)
-            log_odds += agree_false[pair] * math.log((c * (1 - mean) + (1 - c) * both_false) / both_false)
-            log_odds += differ[pair] * math.log(1 - c)
-            depends[pair] = 1 / (1 + math.exp(-max(min(log_odds, 50), -50)))
+            for kind, s, t, x in _sums(pattern, n, posterior[pattern]):
+                sums[kind, s, t] += x
+        accuracy, depends = _model(sums, prior)
     return posterior, accuracy, depends
 
 
+def _parsed(claims: Sequence[str]) -> Pattern:
+    return tuple((s, int(v)) for s, v in (c.rsplit("=", 1) for c in claims))
+
+
+def _settled_here(histogram: DataFrame, prior: Prior) -> DataFrame:
+    """(f, pattern, _position, posterior) with the patterns of few sources gathered on the driver."""
+    by_field: dict[str, dict] = defaultdict(dict)
+    for row in histogram.collect():
+        by_field[row["field_name"]][_parsed(row["_pattern"])] = row["count"]
+    settled = []
+    for name, patterns in by_field.items():
+        posterior, _, _ = estimate(patterns, prior)
+        settled += [(name, [f"{s}={v}" for s, v in p], v, float(round(q, 6))) for p, values in posterior.items() for v, q in values.items()]
+    return histogram.sparkSession.createDataFrame(settled, "f string, pattern array<string>, _position long, posterior double")
+
+
+def _settled_there(histogram: DataFrame, prior: Prior) -> DataFrame:
+    """The same with the patterns left where they are: only sums per source and pair of sources reach the driver."""
+    first = histogram.select("field_name", F.explode("_pattern").alias("c")).select("field_name", F.regexp_replace("c", "=[0-9]+$", "").alias("s")).distinct()
+    accuracy: dict[str, dict[str, float]] = defaultdict(dict)
+    for row in first.collect():
+        accuracy[row["field_name"]][row["s"]] = prior.accuracy
+    depends: dict[str, dict[tuple[str, str], float]] = defaultdict(dict)
+
+    def judged(batch: pd.DataFrame, accuracy: Mapping, depends: Mapping) -> Iterator[tuple]:
+        for f, claims, n in zip(batch["field_name"], batch["_pattern"], batch["count"], strict=True):
+            pattern = _parsed(list(claims))
+            yield f, list(claims), pattern, int(n), _posteriors(pattern, accuracy[f], depends[f], prior)
+
+    for turn in range(prior.rounds):
+        if turn == prior.rounds - 1:
+            break
+        accuracy, depends = _next_models(histogram, judged, accuracy, depends, prior)
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(f, claims, v, round(q, 6)) for f, claims, _, _, values in judged(batch, accuracy, depends) for v, q in values.items()]
+            yield pd.DataFrame(rows, columns=["f", "pattern", "_position", "posterior"])
+
+    return cut_lineage(histogram.mapInPandas(settle, "f string, pattern array<string>, _position long, posterior double"))
+
+
+def _next_models(histogram: DataFrame, judged: Callable, accuracy: Mapping, depends: Mapping, prior: Prior) -> tuple[dict, dict]:
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums: dict[tuple, float] = defaultdict(float)
+            for f, _, pattern, n, posterior in judged(batch, accuracy, depends):
+                for kind, s, t, x in _sums(pattern, n, posterior):
+                    sums[f, kind, s, t] += x
+            yield pd.DataFrame([(*k, x) for k, x in sums.items()], columns=["f", "kind", "s", "t", "x"])
+
+    by_field: dict[str, dict] = defaultdict(dict)
+    for row in histogram.mapInPandas(add, "f string, kind string, s string, t string, x double").groupBy("f", "kind", "s", "t").agg(F.sum("x").alias("x")).collect():
+        by_field[row["f"]][row["kind"], row["s"], row["t"]] = row["x"]
+    models = {f: _model(sums, prior) for f, sums in by_field.items()}
+    return {f: m[0] for f, m in models.items()}, {f: m[1] for f, m in models.items()}
+
+
 def fuse(
     df: DataFrame,
     key: str,
@@ -194,10 +265,10 @@ def fuse(
 ) -> DataFrame:
     """(key, field_name, row_id, value, posterior): the value of maximum posterior and the row it is taken from.
 
-    ``source`` names at most ``MAX_SOURCES`` sources. A source's claim about an
-    item is its preferred row's value.
+    A source's claim about an item is its preferred row's value. Patterns of up
+    to ``MAX_SOURCES`` sources are settled on the driver, those of more over the
+    cluster, by the same rules.
     """
-    spark = df.sparkSession
     claim = [
         F.when(
             is_real(f),
@@ -224,20 +295,13 @@ def fuse(
         .withColumn("_values", F.array_distinct(F.transform("claims", lambda x: x["c"]["n"])))
         .withColumn("_pattern", F.transform("claims", lambda x: F.concat_ws("=", x["s"], F.array_position("_values", x["c"]["n"]).cast("string"))))
     )
-    histogram = items.groupBy("field_name", "_pattern").count().collect()
-    if len({claim.rsplit("=", 1)[0] for row in histogram for claim in row["_pattern"]}) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; group them first")
-    by_field: dict[str, dict] = defaultdict(dict)
-    for row in histogram:
-        pattern = tuple((s, int(v)) for s, v in (c.rsplit("=", 1) for c in row["_pattern"]))
-        by_field[row["field_name"]][pattern] = row["count"]
-    settled = []
-    for name, patterns in by_field.items():
-        posterior, _, _ = estimate(patterns, prior)
-        settled += [(name, [f"{s}={v}" for s, v in p], v, float(round(q, 6))) for p, values in posterior.items() for v, q in values.items()]
-    table = spark.createDataFrame(settled, "f string, pattern array<string>, _position long, posterior double")
+    items = cut_lineage(items)
+    histogram = cut_lineage(items.groupBy("field_name", "_pattern").count())
+    sources = histogram.select(F.explode("_pattern").alias("c")).select(F.regexp_replace("c", "=[0-9]+$", "").alias("s")).distinct()
+    few = sources.limit(MAX_SOURCES + 1).count() <= MAX_SOURCES
+    table = (_settled_here if few else _settled_there)(histogram, prior)
     best = table.groupBy("f", "pattern").agg(F.max("posterior").alias("posterior"), F.collect_list(F.struct("posterior", "_position")).alias("ranked"))
-    joined = items.join(F.broadcast(best), (F.col("field_name") == F.col("f")) & (F.col("_pattern") == F.col("pattern")))
+    joined = items.join(bounded_broadcast(best), (F.col("field_name") == F.col("f")) & (F.col("_pattern") == F.col("pattern")))
     top_positions = F.transform(F.filter("ranked", lambda x: x["posterior"] == F.col("posterior")), lambda x: x["_position"])
     chosen = F.array_min(
         F.transform(F.filter("claims", lambda x: F.array_contains(top_positions, F.array_position("_values", x["c"]["n"]))), lambda x: x["c"])

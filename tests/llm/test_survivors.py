@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from gridloom.llm import survivors as sv
@@ -76,7 +75,15 @@ def test_fusion_takes_values_from_rows(spark):
     assert all(0 < r["posterior"] <= 1 for r in found.collect())
 
 
-def test_fusion_refuses_too_many_sources(spark):
-    data = [(i, "a", False, None, "SF", None, None, "x", f"s{i}") for i in range(sv.MAX_SOURCES + 1)]
-    with pytest.raises(ValueError, match="sources"):
-        sv.fuse(spark.createDataFrame(data, SCHEMA), "k", FIELDS, F.col("p"), "listed", "seen", "row_id")
+def test_fusion_of_many_sources_follows_the_same_rules(spark, monkeypatch):
+    r = random.Random(2)
+    teams = ["SF", "ZEN", "KES", None]
+    data = [(i * 9 + j, f"k{i}", False, None, r.choice(teams), r.choice([None, 1, 2]), None, "x", f"s={j}") for i in range(40) for j in range(4)]
+    df = spark.createDataFrame(data, SCHEMA)
+    fuse = lambda t: rows(sv.fuse(t, "k", FIELDS, F.col("p"), "listed", "seen", "row_id"))
+    here = fuse(df)
+    monkeypatch.setattr(sv, "MAX_SOURCES", 2)
+    there = fuse(df)
+    assert [x[:4] for x in here] == [x[:4] for x in there] and all(abs(x[4] - y[4]) < 1e-5 for x, y in zip(here, there, strict=True))
+    many = spark.createDataFrame([(i, "a", False, None, "SF" if i % 3 else "ZEN", None, None, "x", f"s{i}") for i in range(30)], SCHEMA)
+    assert [x[3] for x in fuse(many)] == ["SF"]
