@@ -144,7 +144,9 @@ def sort_keys() -> Column:
     # every token of some length beside a measure: a slip in one token leaves the others
     words = F.filter(F.split("name_key", " "), lambda w: F.length(w) > 2)
     beside = lambda p, measure: F.transform(words, lambda w: F.struct(F.lit(p).alias("p"), F.concat(w, F.lit(" "), measure).alias("lead"), known(weight).alias("k")))
-    return F.concat(passes, beside(len(keys), height), beside(len(keys) + 1, age))
+    # and beside the initial of each other token, where no measure is known on both sides
+    initial = lambda w: F.transform(F.filter(F.split("name_key", " "), lambda o: o != w), lambda o: F.struct(F.lit(len(keys) + 2).alias("p"), F.concat(w, F.lit(" "), F.substring(o, 1, 1)).alias("lead"), known(weight).alias("k")))
+    return F.concat(passes, beside(len(keys), height), beside(len(keys) + 1, age), F.flatten(F.transform(words, initial)))
 
 
 def _college_worth(a: str, b: str) -> float:
