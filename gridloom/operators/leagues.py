@@ -76,11 +76,12 @@ def find_cards(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str] |
     return _coalesced(spine, tiers)
 
 
-def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str], aliases: Mapping[str, str | None] | None = None) -> DataFrame:
+def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str], aliases: Mapping[str, str | None] | None = None, league: bool = True) -> DataFrame:
     """Name and team, name alone, shared words within the team, the same words within the team, then the league's words.
 
     A null alias forces no match. The league tier needs a compatible position:
     ``compatible`` maps a position to the groups it may stand for, space-separated.
+    Without ``league`` there are four tiers; a row without a team has the name tier only.
     """
     lookup = tx.mapped(F.col("name"), aliases or {}, default=F.col("name"))
     s = spine.withColumn("_name", lookup).where(F.col("_name").isNotNull()).select(
@@ -104,14 +105,17 @@ def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str]
     own = shared.where(F.col("team") == F.col("c_team"))
     overlap = _only(own.where(same_first & (F.size(further) > 0)).select("sid", "card"))
     swapped = _only(own.where(same_words).select("sid", "card"))
+    tiers = [("name_team", name_team), ("name_only", name_only), ("token_overlap", overlap), ("token_set_swap", swapped)]
+    if not league:
+        return _coalesced(spine, tiers)
     strong = shared.where((same_first & (F.size(long_further) > 0)) | same_words)
     weak = shared.where(F.size(F.filter("common", lambda w: F.length(w) >= 4)) >= 2)
     weak = weak.join(strong.select("sid").distinct(), "sid", "left_anti")
     one = _only(strong.select("sid", "card").unionByName(weak.select("sid", "card")))
     details = strong.unionByName(weak).select("sid", "card", "grp", "position").distinct()
     fits = F.array_contains(F.split(tx.mapped(F.col("position"), compatible), " "), F.col("grp"))
-    league = one.join(details, ["sid", "card"]).where(fits).select("sid", "card").distinct()
-    return _coalesced(spine, [("name_team", name_team), ("name_only", name_only), ("token_overlap", overlap), ("token_set_swap", swapped), ("league_token", league)])
+    in_league = one.join(details, ["sid", "card"]).where(fits).select("sid", "card").distinct()
+    return _coalesced(spine, [*tiers, ("league_token", in_league)])
 
 
 def labelled_match(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str], free_agents: str, agrees: Column) -> DataFrame:

@@ -12,6 +12,7 @@ from gridloom.functions import text as tx
 from gridloom.operators import leagues as lg
 from gridloom.operators import relational as rel
 from gridloom.operators import standings as st
+from gridloom.operators.resolve import Tier, resolve_tiers
 from gridloom.plans.column_queries import _SET, _SP, _STANDARD_SQL, STANDARD, similar_sql
 from gridloom.session import load
 from gridloom.sources import sinks
@@ -84,6 +85,10 @@ def resolve_chart_ratings(spark: SparkSession, d: str) -> DataFrame:
     return lg.find_cards(charts, _rating_cards(spark, d), ALIASES).select("sid", "card", "match_source")
 
 
+_RATINGS_SQL = """SELECT row_id AS card, concat_ws(' ', first_name, last_name) AS name, team_label AS team, madden_pos_label AS position, row_id AS ord FROM madden_ratings WHERE first_name IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY first_name, last_name, team_label ORDER BY delivered_at DESC NULLS LAST, row_id DESC) = 1"""
+
+
 @query(_charts_sql("years_pro = 0"))
 def resolve_rookies(spark: SparkSession, d: str) -> DataFrame:
     """First-year players of the charts to rating cards, by the same ways."""
@@ -99,9 +104,10 @@ _FITS = f"list_contains(string_split({_STANDARD_SQL}, ' '), grp)"
 _TIER_SQL = "CASE " + " ".join(f"WHEN t{i}.card IS NOT NULL THEN '{n}'" for i, n in enumerate(("name_team", "name_only", "token_overlap", "token_set_swap", "league_token"), 1)) + " END"
 
 
-@query(f"""WITH named AS (SELECT row_id AS sid, team, standard_pos AS grp, {_alias_sql('canonical_name', ALIASES | NO_MATCH, 'canonical_name')} AS name FROM player_match),
+def _five_sql(table: str, name: str, cards: str, league: str) -> str:
+    return f"""WITH named AS (SELECT row_id AS sid, team, standard_pos AS grp, {_alias_sql(name, ALIASES | NO_MATCH, name)} AS name FROM {table}),
 s AS (SELECT sid, team, grp, {_MK('name')} AS key, {_MK(_FIRST.format(x='name'))} AS f, {_SET.replace('{x}', 'name')} AS w FROM named WHERE name IS NOT NULL AND {_MK('name')} <> ''),
-c AS (SELECT card, team AS c_team, position, ord, {_MK('name')} AS c_key, {_MK(_FIRST.format(x='name'))} AS c_f, {_SET.replace('{x}', 'name')} AS c_w FROM ({_CARDS_SQL})),
+c AS (SELECT card, team AS c_team, position, ord, {_MK('name')} AS c_key, {_MK(_FIRST.format(x='name'))} AS c_f, {_SET.replace('{x}', 'name')} AS c_w FROM ({cards})),
 n AS (SELECT sid, s.team, c.c_team, card, ord FROM s JOIN c ON key = c_key),
 su AS (SELECT *, unnest(list_filter(w, lambda x: x <> f)) AS word FROM s), cu AS (SELECT *, unnest(c_w) AS word FROM c),
 p AS (SELECT *, list_intersect(w, c_w) AS common FROM (SELECT DISTINCT sid, team, grp, f, w, card, c_team, position, c_f, c_w FROM su JOIN cu USING (word))),
@@ -109,14 +115,36 @@ q AS (SELECT *, f = c_f AS same_first, w = c_w AS same_words, len(list_filter(co
 strong AS (SELECT * FROM q WHERE (same_first AND far > 0) OR same_words), weak AS (SELECT * FROM q WHERE long >= 2 AND sid NOT IN (SELECT sid FROM strong)), both_ AS (SELECT * FROM strong UNION ALL SELECT * FROM weak),
 t1 AS (SELECT sid, min_by(card, (-ord, card)) AS card FROM n WHERE team = c_team GROUP BY 1), t2 AS ({_ONE.format(t='n')}),
 t3 AS ({_ONE.format(t='q WHERE team = c_team AND same_first AND further > 0')}), t4 AS ({_ONE.format(t='q WHERE team = c_team AND same_words')}), one AS ({_ONE.format(t='both_')}),
-t5 AS (SELECT DISTINCT sid, card FROM one JOIN both_ USING (sid, card) WHERE {_FITS})
+t5 AS (SELECT DISTINCT sid, card FROM one JOIN both_ USING (sid, card) WHERE {_FITS} AND {league})
 SELECT row_id AS sid, coalesce(t1.card, t2.card, t3.card, t4.card, t5.card) AS card, {_TIER_SQL} AS match_source
-FROM player_match m LEFT JOIN t1 ON m.row_id = t1.sid LEFT JOIN t2 ON m.row_id = t2.sid LEFT JOIN t3 ON m.row_id = t3.sid LEFT JOIN t4 ON m.row_id = t4.sid LEFT JOIN t5 ON m.row_id = t5.sid""")
+FROM {table} m LEFT JOIN t1 ON m.row_id = t1.sid LEFT JOIN t2 ON m.row_id = t2.sid LEFT JOIN t3 ON m.row_id = t3.sid LEFT JOIN t4 ON m.row_id = t4.sid LEFT JOIN t5 ON m.row_id = t5.sid"""
+
+
+@query(_five_sql("player_match", "canonical_name", _CARDS_SQL, "true"))
 def resolve_five_tiers(spark: SparkSession, d: str) -> DataFrame:
     """Match rows to rosters through five tiers."""
     return lg.five_tiers(_spine(spark, d), _cards(spark, d), STANDARD, ALIASES | NO_MATCH).select("sid", "card", "match_source")
 
 
+@query(_five_sql("ourlads_players", "name", _RATINGS_SQL, "false"))
+def resolve_four_tiers(spark: SparkSession, d: str) -> DataFrame:
+    """The same without the league for another target: chart rows to rating cards."""
+    charts = load(spark, d, "ourlads_players").select(F.col("row_id").alias("sid"), "name", "team", F.col("standard_pos").alias("grp"))
+    return lg.five_tiers(charts, _rating_cards(spark, d), STANDARD, ALIASES | NO_MATCH, league=False).select("sid", "card", "match_source")
+
+
+@query(f"""WITH s AS (SELECT row_id AS sid, team, {_MK(_alias_sql('canonical_name', ALIASES | NO_MATCH, 'canonical_name'))} AS k FROM player_match), c AS (SELECT *, {_MK('name')} AS k FROM ({_CARDS_SQL})),
+t1 AS (SELECT k, team, min_by(card, (-ord, card)) AS card FROM c WHERE k <> '' AND team IS NOT NULL GROUP BY 1, 2), t2 AS (SELECT k, min(card) AS card FROM c WHERE k <> '' GROUP BY 1 HAVING count(DISTINCT card) = 1)
+SELECT sid, coalesce(t1.card, t2.card) AS card, CASE WHEN t1.card IS NOT NULL THEN 'name_team' WHEN t2.card IS NOT NULL THEN 'name_only' END AS match_source FROM s LEFT JOIN t1 USING (k, team) LEFT JOIN t2 USING (k)""")
+def resolve_last_of_team(spark: SparkSession, d: str) -> DataFrame:
+    """Match rows by alias (a null forces none), the last card of the name and team, then a name that one card has."""
+    key = F.nullif(tx.match_key(F.col("name"), True), F.lit(""))
+    spine = _spine(spark, d).withColumn("name", tx.mapped(F.col("name"), ALIASES | NO_MATCH, default=F.col("name")))
+    both = F.when(key.isNotNull() & F.col("team").isNotNull(), F.struct(key.alias("k"), "team"))
+    tiers = [Tier("name_team", both, both, unique=False, order=-F.col("ord")), Tier("name_only", key, key)]
+    return resolve_tiers(spine, _cards(spark, d), "card", tiers, "card").select("sid", "card", "match_source")
+
+
 _ROSTER = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(strip_accents(coalesce({x}, ''))), '[.''’]', '', 'g'), '[-–]', ' ', 'g'), '\\b(jr|sr|ii|iii|iv)\\b', '', 'g'), '\\s+', ' ', 'g'))"
 #: The aliases in the form of the keys.
 _LOWER: dict[str, str | None] = {k.lower(): (v or "").lower() for k, v in ALIASES.items()}
