@@ -72,17 +72,21 @@ def sorted_words(text: Column) -> Column:
     return F.array_join(F.array_sort(F.filter(F.split(text, r"\s+"), lambda w: w != "")), " ")
 
 
-def token_sort_ratio(a: Column, b: Column) -> Column:
-    """200 times the common subsequence of the sorted words over both lengths; null if one is null, 0 if one is empty."""
+def sorted_ratio(x: Column, y: Column) -> Column:
+    """200 times the common subsequence of two texts over both lengths; null if one is null, 0 if one is empty."""
 
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series(common_subsequences(list(zip(x.fillna(""), y.fillna(""), strict=True))))
 
-    x, y = sorted_words(a), sorted_words(b)
     both = F.length(x) + F.length(y)
     return F.when((F.length(x) == 0) | (F.length(y) == 0), 0.0).otherwise(200.0 * F.pandas_udf(common, "long")(x, y) / both)
 
 
+def token_sort_ratio(a: Column, b: Column) -> Column:
+    """The ratio of the sorted words of both."""
+    return sorted_ratio(sorted_words(a), sorted_words(b))
+
+
 def ratio_bound(a: Column, b: Column) -> Column:
     """The greatest ratio that the lengths allow."""
     m, n = F.length(a), F.length(b)
@@ -105,3 +109,50 @@ def grams_in_common(length: Column, ratio: float) -> Column:
     """
     q = ratio / 200
     return F.greatest(F.ceil((3 * q - 1) * (length + length * (ratio / (200 - ratio))) - 1 - 1e-9), F.lit(1))
+
+
+def signature(text: str) -> tuple[int, int, int, int]:
+    """Two 128-bit sets as pairs of signed numbers: the numbered letters of a text and its numbered grams, each in a bucket.
+
+    Letters beyond the fourth of a bucket and grams that share a bucket are not
+    in the sets; ``may_reach`` allows for them.
+    """
+    letters = grams = 0
+    seen: dict[object, int] = {}
+    for i, c in enumerate(text):
+        bucket = ord(c) % 32
+        n = seen[bucket] = seen.get(bucket, -1) + 1
+        if n < 4:
+            letters |= 1 << 4 * bucket + n
+        if i:
+            gram = text[i - 1] + c
+            n = seen[gram] = seen.get(gram, -1) + 1
+            grams |= 1 << (ord(gram[0]) * 31 + ord(c) * 5 + n * 53) % 127
+    signed = lambda n: n - (1 << 64) if n >> 63 else n
+    low = (1 << 64) - 1
+    return signed(letters & low), signed(letters >> 64), signed(grams & low), signed(grams >> 64)
+
+
+def signed_text(text: Column) -> Column:
+    """``signature`` as a struct (l0, l1, g0, g1)."""
+
+    def signatures(x: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([signature(t) for t in x], columns=["l0", "l1", "g0", "g1"], dtype="int64")
+
+    return F.pandas_udf(signatures, "l0 long, l1 long, g0 long, g1 long")(text)
+
+
+def may_reach(x: str, y: str, ratio: float) -> Column:
+    """Whether the lengths and signatures (columns n_, l0_, l1_, g0_, g1_ followed by ``x`` and ``y``) leave a ratio of ``ratio`` possible.
+
+    The common subsequence has at most the letters in common, and the grams in
+    common are at least those of ``grams_in_common`` for the two lengths. What a
+    set leaves out of a text is at most what it has fewer than the text.
+    """
+    both = F.col(f"n_{x}") + F.col(f"n_{y}")
+    bits = lambda k, a: F.bit_count(F.col(f"{k}0_{a}")) + F.bit_count(F.col(f"{k}1_{a}"))
+    shared = lambda k: F.bit_count(F.col(f"{k}0_{x}").bitwiseAND(F.col(f"{k}0_{y}"))) + F.bit_count(F.col(f"{k}1_{x}").bitwiseAND(F.col(f"{k}1_{y}")))
+    left_out = lambda k, fewer: F.least(*[F.col(f"n_{a}") - fewer - bits(k, a) for a in (x, y)])
+    least_letters, least_grams = both * (ratio / 200) - 1e-6, both * (3 * ratio / 200 - 1) - 1 - 1e-6
+    shortest = F.least(F.col(f"n_{x}"), F.col(f"n_{y}")) >= least_letters
+    return shortest & (shared("l") + left_out("l", 0) >= least_letters) & (shared("g") + left_out("g", 1) >= least_grams)

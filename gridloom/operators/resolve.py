@@ -78,32 +78,84 @@ def unique_match(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return agreed.where(F.col("_a") == F.col("_b")).select(left, F.col("_a").alias(right))
 
 
+#: Ratio from which on the rarest grams of a name find fewer candidates than its block.
+INDEXED = 85.0
+#: Tasks that share the names of a block where its pairs are joined.
+SPREAD = 4
+
+
 def similar_names(names: DataFrame, others: DataFrame, least: float) -> DataFrame:
     """(b, x, y, score): names (b, x) and others (b, y) of one block whose sorted words have a ratio of ``least`` or more.
 
-    An exact candidate index stands in for all pairs of a block: names that
-    similar share so many grams (``grams_in_common``) that the rarest ones of
-    both, all but that many less one, have one in common. ``least`` is above 200/3.
+    From ``INDEXED`` on an exact candidate index stands in for all pairs of a
+    block: names that similar share so many grams (``grams_in_common``) that the
+    rarest ones of both, all but that many less one, have one in common. Below,
+    most grams would be looked up: pairs of a block are joined. Either join
+    keeps only pairs whose signatures leave the ratio possible (``may_reach``).
+    ``least`` is above 200/3.
     """
-    def keyed(df: DataFrame, name: str) -> DataFrame:
-        sorted_name = df.select("b", name, sim.sorted_words(F.col(name)).alias("k")).where("k <> ''").distinct()
-        return sorted_name.withColumn("g", F.explode(sim.numbered_grams(F.col("k"))))
-
-    left, right = cut_lineage(keyed(names, "x")), cut_lineage(keyed(others, "y"))
-    frequent = left.select("g").unionByName(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
-    frequent = bounded_broadcast(frequent)
+    tasks = 4 * int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, many pairs: not to be coalesced by size
 
-    def rarest(df: DataFrame, name: str) -> DataFrame:
-        listed = df.join(frequent, "g").groupBy("b", name, "k").agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
-        # letters of short texts stand beside their pairs: they are all looked up
-        kept = F.when(F.length("k") <= 3, F.size("gs")).otherwise(F.size("gs") - sim.grams_in_common(F.length("k"), least) + 1)
-        return listed.select("b", name, F.col("k").alias(f"k_{name}"), F.explode(F.slice("gs", F.lit(1), F.greatest(kept, F.lit(1)).cast("int"))).alias("e")).select("b", name, f"k_{name}", F.col("e.g").alias("g"))
-
-    bound = sim.ratio_bound(F.col("k_x"), F.col("k_y")) >= least
-    pairs = rarest(left, "x").join(rarest(right, "y").hint("merge"), ["b", "g"]).where(bound).select("b", "x", "y").distinct()
-    # the aggregate keeps the costly expression out of the join's condition
-    scored = pairs.withColumn("score", sim.token_sort_ratio(F.col("x"), F.col("y")))
-    return scored.where(F.col("score") >= least)
+    def keyed(df: DataFrame, name: str) -> DataFrame:
+        sorted_name = df.select("b", name, sim.sorted_words(F.col(name)).alias("k")).where("b IS NOT NULL AND k <> ''").distinct()
+        signed = sorted_name.withColumn("s", sim.signed_text(F.col("k")))
+        return cut_lineage(signed.select("b", name, F.col("k").alias(f"k_{name}"), F.length("k").alias(f"n_{name}"), *[F.col(f"s.{c}").alias(f"{c}_{name}") for c in ("l0", "l1", "g0", "g1")]))
+
+    left, right = keyed(names, "x"), keyed(others, "y")
+    if least < INDEXED:
+        # the names of a block are spread over a few tasks, each with all others of the block
+        spread = left.withColumn("part", F.pmod(F.hash("x"), F.lit(SPREAD))).repartition(tasks, "b", "part")
+        copied = right.withColumn("part", F.explode(F.array(*[F.lit(i) for i in range(SPREAD)]))).repartition(tasks, "b", "part")
+        joined = spread.join(copied.hint("merge"), ["b", "part"])
+        pairs = joined.where(sim.may_reach("x", "y", least)).select("b", "x", "y", "k_x", "k_y")
+    else:
+        grams = lambda df, name: df.select("*", F.explode(sim.numbered_grams(F.col(f"k_{name}"))).alias("g"))
+        left, right = cut_lineage(grams(left, "x")), cut_lineage(grams(right, "y"))
+        frequent = left.select("g").unionByName(right.select("g")).groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+        frequent = bounded_broadcast(frequent)
+
+        def rarest(df: DataFrame, name: str) -> DataFrame:
+            own = [c for c in df.columns if c != "g"]
+            listed = df.join(frequent, "g").groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("n", "g"))).alias("gs"))
+            length = F.col(f"n_{name}")
+            # letters of short texts stand beside their pairs: they are all looked up
+            kept = F.when(length <= 3, F.size("gs")).otherwise(F.size("gs") - sim.grams_in_common(length, least) + 1)
+            return listed.select(*own, F.explode(F.slice("gs", F.lit(1), F.greatest(kept, F.lit(1)).cast("int"))).alias("e")).select(*own, F.col("e.g").alias("g")).repartition(tasks, "b", "g")
+
+        joined = rarest(left, "x").join(rarest(right, "y").hint("merge"), ["b", "g"])
+        pairs = joined.where(sim.may_reach("x", "y", least)).select("b", "x", "y", "k_x", "k_y").distinct()
+    scored = pairs.withColumn("score", sim.sorted_ratio(F.col("k_x"), F.col("k_y")))
+    return scored.where(F.col("score") >= least).select("b", "x", "y", "score")
+
+
+def most_similar(rows: DataFrame, cards: DataFrame, least: float) -> DataFrame:
+    """(s, c, score): for rows (s, b, x) the card (c, b, y) of the best ratio in the block, from ``least`` on, the smallest of several.
+
+    Names of the same words need no comparison; only the others are looked up among similar ones.
+    """
+    rows = rows.where("b IS NOT NULL")
+    cards = cards.where("b IS NOT NULL").groupBy("b", "y").agg(F.min("c").alias("c"))
+    words = lambda df, name: df.withColumn("k", sim.sorted_words(F.col(name))).where("k <> ''")
+    by_words = words(cards, "y").groupBy("b", "k").agg(F.min("c").alias("c"), F.lit(100.0).alias("score"))
+    same = cut_lineage(words(rows, "x").join(by_words.hint("merge"), ["b", "k"], "left").select("s", "b", "x", "c", "score"))
+    missed = same.where("score IS NULL").select("s", "b", "x")
+    scored = similar_names(missed.select("b", "x").distinct(), cards.select("b", "y"), least)
+    best = scored.join(cards.hint("merge"), ["b", "y"]).groupBy("b", "x").agg(F.max(F.struct("score", (-F.col("c")).alias("m"))).alias("v"))
+    similar = missed.join(best.hint("merge"), ["b", "x"]).select("s", (-F.col("v.m")).alias("c"), F.col("v.score").alias("score"))
+    return same.where("score IS NOT NULL").select("s", "c", "score").unionByName(similar)
+
+
+def similar_any_or_own(rows: DataFrame, cards: DataFrame, strict: float, loose: float) -> DataFrame:
+    """(s, c, score) for rows (s, b, x, t) and cards (c, b, y, t): the best card of the block from ``strict`` on, else the best of the own team from ``loose`` on.
+
+    Only pairs that can count are looked for: whole blocks from ``strict`` on, and
+    for rows without such a card those of a block and team.
+    """
+    found = cut_lineage(most_similar(rows.select("s", "b", "x"), cards.select("c", "b", "y"), strict))
+    missed = rows.join(found.select("s").distinct(), "s", "left_anti")
+    team = F.when(F.col("b").isNotNull() & F.col("t").isNotNull(), F.struct("b", "t"))
+    own = most_similar(missed.select("s", team.alias("b"), "x"), cards.select("c", team.alias("b"), "y"), loose)
+    return found.unionByName(own)
 
 
 def fuzzy_in_block(
@@ -116,13 +168,7 @@ def fuzzy_in_block(
     from ``loose`` on the best name of the row's own team does. Distinct names
     are compared once per block.
     """
-    names = spine.select(F.col(block).alias("b"), F.col(spine_name).alias("x")).distinct()
-    others = candidates.select(F.col(block).alias("b"), F.col(candidate_name).alias("y")).distinct()
-    scored = similar_names(names, others, loose)
     rows = spine.select(F.col(spine_id).alias("s"), F.col(block).alias("b"), F.col(spine_name).alias("x"), F.col(team).alias("t"))
-    cards = candidates.select(F.col(candidate_id).alias("c"), F.col(block).alias("b"), F.col(candidate_name).alias("y"), F.col(team).alias("ct"))
-    pairs = rows.join(scored.hint("merge"), ["b", "x"]).join(cards.hint("merge"), ["b", "y"])
-    best = lambda condition: F.max(F.when(condition, F.struct("score", (-F.col("c")).alias("m"))))
-    judged = pairs.groupBy("s").agg(best(F.lit(True)).alias("any"), best(F.col("t") == F.col("ct")).alias("own"))
-    chosen = F.when(F.col("any.score") >= strict, F.col("any")).when(F.col("own.score") >= loose, F.col("own"))
-    return judged.withColumn("_c", chosen).where(F.col("_c").isNotNull()).select(F.col("s").alias(spine_id), (-F.col("_c.m")).alias(candidate_id), F.col("_c.score").alias("score"))
+    cards = candidates.select(F.col(candidate_id).alias("c"), F.col(block).alias("b"), F.col(candidate_name).alias("y"), F.col(team).alias("t"))
+    found = similar_any_or_own(rows, cards, strict, loose)
+    return found.select(F.col("s").alias(spine_id), F.col("c").alias(candidate_id), "score")

@@ -160,6 +160,47 @@ def test_similar_names_equal_all_pairs_of_a_block(spark):
         assert {tuple(z)[:3] for z in found.select("b", "x", "y").collect()} == wanted and wanted
 
 
+def test_best_of_block_or_team_compares_only_pairs_that_count(spark, monkeypatch):
+    r = random.Random(11)
+    words = ["marco", "marko", "polo", "pollo", "stone", "stoneham", "stonehan", "vandermeer", "vandermere", "lee", "li"]
+    name = lambda: " ".join(r.choice(words) for _ in range(2))
+    spine = [(i, r.choice("pq"), name(), r.choice(["a", "b", None])) for i in range(80)]
+    cards = [(i, r.choice("pq"), name(), r.choice(["a", "b", None])) for i in range(60)]
+    whole = lambda t: " ".join(sorted(t.split()))
+    ratio = lambda x, y: 200.0 * plain_lcs(whole(x), whole(y)) / (len(whole(x)) + len(whole(y)))
+    wanted = {}
+    for s, b, x, t in spine:
+        every = [(ratio(x, y), -c, u == t and t is not None) for c, d, y, u in cards if d == b]
+        best = max([e for e in every if e[0] >= 95] or [e for e in every if e[0] >= 80 and e[2]], default=None)
+        if best:
+            wanted[s] = (-best[1], round(best[0], 6))
+    asked = []
+    search = rs.similar_names
+    monkeypatch.setattr(rs, "similar_names", lambda n, o, least: asked.append((least, n.distinct().collect())) or search(n, o, least))
+    found = rs.fuzzy_in_block(spark.createDataFrame(spine, "s int, b string, x string, t string"), "s", "x", spark.createDataFrame(cards, "c int, b string, y string, t string"), "c", "y", "b", "t")
+    assert {z[0]: (z[1], round(z[2], 6)) for z in found.collect()} == wanted
+    # names of the same words aren't compared, and from the lower ratio on only within a team
+    in_block = {(d, whole(y)) for _, d, y, _ in cards}
+    (strict, whole_block), (loose, in_team) = asked
+    assert (strict, loose) == (95.0, 80.0)
+    assert whole_block and not [z for z in whole_block if (z["b"], whole(z["x"])) in in_block]
+    assert in_team and {len(z["b"]) for z in in_team} == {2}
+
+
+@pytest.mark.parametrize("letters", ["ab ", "abcdefghijklmnopqrstuvwxyz", "aßĀπ語 "])
+def test_signatures_never_drop_a_pair(spark, letters):
+    r = random.Random(5)
+    text = lambda: "".join(r.choice(letters) for _ in range(r.randrange(1, 40)))
+    slip = lambda t: "".join(c for c in t if r.random() > 0.1) + r.choice(["", r.choice(letters)])
+    pairs = [(t, u) for t in (text() for _ in range(300)) for u in (slip(t), text()) if u]
+    df = spark.createDataFrame([(a, b, 200.0 * plain_lcs(a, b) / (len(a) + len(b))) for a, b in pairs], "k_x string, k_y string, ratio double")
+    for n in "xy":
+        df = df.withColumn("s", sim.signed_text(F.col(f"k_{n}"))).select("*", F.length(f"k_{n}").alias(f"n_{n}"), *[F.col(f"s.{c}").alias(f"{c}_{n}") for c in ("l0", "l1", "g0", "g1")]).drop("s")
+    for least in (70.0, 80.0, 95.0):
+        judged = df.select((F.col("ratio") >= least).alias("similar"), sim.may_reach("x", "y", least).alias("kept")).collect()
+        assert any(z["similar"] for z in judged) and not [z for z in judged if z["similar"] and not z["kept"]]
+
+
 def test_ratio_ignores_word_order(spark):
     df = spark.createDataFrame([("kaoru mitoma", "mitoma kaoru"), ("a", None), ("", "x"), ("abcd", "abxd")], "a string, b string")
     assert [r[0] for r in df.select(sim.token_sort_ratio(F.col("a"), F.col("b"))).collect()] == [100.0, None, 0.0, 75.0]
