@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from gridloom.functions import text as tx
 from gridloom.operators.relational import first_claims
 from gridloom.operators.resolve import Tier, fuzzy_in_block, resolve_tiers, similar_names
+from gridloom.session import cut_lineage
 
 
 def _coalesced(spine: DataFrame, tiers: Sequence[tuple[str, DataFrame]], found: str = "card", source: str = "match_source") -> DataFrame:
@@ -235,12 +236,14 @@ def find_ids(
     tried = [("", s)]
     if retry:
         tried.append(("_retry", s.withColumn("grp", tx.mapped(F.col("grp"), retry)).where("grp IS NOT NULL")))
-    tiers = []
+    listed = [(label, cut_lineage(cards.select("card", "team", F.col("position").alias("grp"), tx.spaced_key(F.col("name")).alias("key")).where("key <> ''").distinct())) for label, cards in sources]
+    tiers: list[tuple[str, DataFrame]] = []
     for suffix, rows in tried:
-        for label, cards in sources:
-            c = cards.select("card", "team", F.col("position").alias("grp"), tx.spaced_key(F.col("name")).alias("key")).where("key <> ''").distinct()
+        for label, c in listed:
+            for _, earlier in tiers:  # a row that has a card is looked up no more
+                rows = rows.join(earlier.select("sid"), "sid", "left_anti")
             found = fuzzy_in_block(rows, "sid", "key", c, "card", "key", "grp", "team", strict, loose)
-            tiers.append((label + suffix, found.select("sid", "card")))
+            tiers.append((label + suffix, cut_lineage(found.where("card IS NOT NULL").select("sid", "card"))))
     return _coalesced(spine, tiers)
 
 

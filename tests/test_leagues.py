@@ -42,6 +42,16 @@ def test_five_tiers(spark):
     assert got == {1: (10, "name_team"), 2: (11, "token_overlap"), 3: (12, "token_set_swap"), 4: (13, "league_token"), 5: (None, None), 6: (None, None)}
 
 
+def test_ids_look_up_only_rows_without_a_card(spark, monkeypatch):
+    spine, cards = tables(spark, [(1, "Ana Vandermeer", "A", "WR"), (2, "Bo Stonebridge", "A", "WR"), (3, "Cy Nobody", "A", "WR")], [(10, "Ana Vandermeer", "A", "WR", 1), (11, "Bo Stonebridge", "A", "WR", 2)])
+    asked = []
+    search = lg.fuzzy_in_block
+    monkeypatch.setattr(lg, "fuzzy_in_block", lambda rows, *rest: asked.append(sorted(r["sid"] for r in rows.collect())) or search(rows, *rest))
+    got = found(lg.find_ids(spine, [("one", cards.where("card = 10")), ("all", cards)], retry={"WR": "TE"}))
+    assert got == {1: (10, "one"), 2: (11, "all"), 3: (None, None)}
+    assert asked == [[1, 2, 3], [2, 3], [3], [3]]
+
+
 def test_labels_of_misses(spark):
     spine, cards = tables(
         spark,
