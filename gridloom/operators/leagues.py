@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text as tx
 from gridloom.operators.relational import first_claims
-from gridloom.operators.resolve import Tier, fuzzy_in_block, resolve_tiers, similar_names
+from gridloom.operators.resolve import Tier, fuzzy_in_block, resolve_tiers, similar_any_or_own
 from gridloom.session import cut_lineage
 
 
@@ -248,7 +248,7 @@ def find_ids(
 
 
 def legacy_match(spine: DataFrame, cards: DataFrame, low: float = 95.0) -> DataFrame:
-    """(sid, card, score, low_confidence): a name that one card has (100), else the best ratio from 90 on, else from 75 on with 80 in the team.
+    """(sid, card, score, low_confidence): a name that one card has (100), else the best ratio from 90 on, else the best of the team from 80 on.
 
     Of cards of one name the last one in order counts; names are compared in one block.
     """
@@ -257,14 +257,10 @@ def legacy_match(spine: DataFrame, cards: DataFrame, low: float = 95.0) -> DataF
     named = cards.select("card", "team", "ord", tx.spaced_key(F.col("name")).alias("key")).where("key <> ''")
     last = named.groupBy("key", "team").agg(F.max_by("card", F.struct("ord", "card")).alias("card"))
     single = named.groupBy("key").agg(F.min("card").alias("card"), F.max("card").alias("_most")).where(F.col("card") == F.col("_most"))
-    exact = s.join(single, "key").select("sid", "card", F.lit(100.0).alias("score"), F.lit(0).alias("tier"))
-    scored = similar_names(s.select("b", F.col("key").alias("x")).distinct(), last.select(whole.alias("b"), F.col("key").alias("y")).distinct(), 75.0)
-    pairs = s.withColumnRenamed("key", "x").join(scored.hint("merge"), ["b", "x"]).join(last.select(F.col("key").alias("y"), F.col("team").alias("c_team"), "card"), "y")
-    best = lambda c: F.max(F.when(c, F.struct("score", (-F.col("card")).alias("m"))))
-    judged = pairs.groupBy("sid").agg(best(F.lit(True)).alias("any"), best((F.col("team") == F.col("c_team")) & (F.col("score") >= 80)).alias("own"))
-    chosen = F.when(F.col("any.score") >= 90, F.col("any")).otherwise(F.col("own"))
-    fuzzy = judged.withColumn("_c", chosen).where("_c IS NOT NULL").select("sid", (-F.col("_c.m")).alias("card"), F.col("_c.score").alias("score"), F.lit(1).alias("tier"))
-    first = exact.unionByName(fuzzy).groupBy("sid").agg(F.min_by(F.struct("card", "score"), F.col("tier")).alias("f"))
+    exact = s.join(single, "key").select("sid", "card", F.lit(100.0).alias("score"))
+    missed = s.join(single.select("key"), "key", "left_anti")
+    fuzzy = similar_any_or_own(missed.select(F.col("sid").alias("s"), "b", F.col("key").alias("x"), F.col("team").alias("t")), last.select(F.col("card").alias("c"), whole.alias("b"), F.col("key").alias("y"), F.col("team").alias("t")), 90.0, 80.0)
+    first = exact.unionByName(fuzzy.select(F.col("s").alias("sid"), F.col("c").alias("card"), "score")).groupBy("sid").agg(F.first(F.struct("card", "score")).alias("f"))
     joined = spine.select("sid").join(first, "sid", "left")
     return joined.select("sid", F.col("f.card").alias("card"), F.col("f.score").alias("score"), F.coalesce(F.col("f.score") < low, F.lit(False)).alias("low_confidence"))
 

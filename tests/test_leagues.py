@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators import leagues as lg
 from gridloom.operators import relational as rel
+from gridloom.operators import resolve as rs
 from gridloom.operators import standings as st
 from tests.conftest import rows
 
@@ -52,6 +53,17 @@ def test_ids_look_up_only_rows_without_a_card(spark, monkeypatch):
     assert asked == [[1, 2, 3], [2, 3], [3], [3]]
 
 
+def test_legacy_names_compare_the_league_only_from_ninety_on(spark, monkeypatch):
+    spine, cards = tables(spark, [(1, "Ana Vandermeer", "A", "WR"), (2, "Bo Stonebridge", "A", "WR"), (3, "Cy Longworth", "A", "WR")], [(10, "Ana Vandermeer", "B", "WR", 1), (11, "Bo Stonebridg", "B", "WR", 2), (12, "Cyd Longwerta", "A", "WR", 3), (13, "Cyd Longwerta", "B", "WR", 4)])
+    asked = []
+    search = rs.similar_names
+    for module in (rs, lg):
+        monkeypatch.setattr(module, "similar_names", lambda n, o, least: asked.append((least, sorted(r["x"] for r in n.collect()))) or search(n, o, least), raising=False)
+    got = {r["sid"]: (r["card"], r["low_confidence"]) for r in lg.legacy_match(spine, cards).collect()}
+    assert got == {1: (10, False), 2: (11, False), 3: (12, True)}
+    assert asked == [(90.0, ["bo stonebridge", "cy longworth"]), (80.0, ["cy longworth"])]
+
+
 def test_labels_of_misses(spark):
     spine, cards = tables(
         spark,
