@@ -92,31 +92,52 @@ def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str]
         "card", "ord", F.col("team").alias("c_team"), "position", tx.match_key(F.col("name"), True).alias("c_key"), tx.match_key(F.split(F.trim("name"), r"\s+")[0], True).alias("c_first"), tx.token_set(F.col("name")).alias("c_words")
     )
     s = s.where("key <> ''")
-    by_name = s.join(c, F.col("key") == F.col("c_key"))
-    name_team = _first(by_name.where(F.col("team") == F.col("c_team")).select("sid", "card", (-F.col("ord")).alias("ord")))  # the last card of a name and team
-    name_only = _only(by_name.select("sid", "card"))
-    # every tier below needs a word in common besides the first: a common first name alone joins nothing
-    exploded = s.withColumn("word", F.explode(F.array_except("words", F.array("first"))))
-    other = c.withColumn("word", F.explode("c_words"))
-    shared = exploded.join(other.hint("merge"), "word").drop("word").dropDuplicates(["sid", "card", "c_key", "c_team", "position"])
-    shared = shared.withColumn("common", F.array_intersect("words", "c_words"))
-    further = F.filter("common", lambda w: (w != F.col("first")) & (w != F.col("c_first")))
-    long_further = F.filter(further, lambda w: F.length(w) >= 4)
-    same_first, same_words = F.col("first") == F.col("c_first"), F.col("words") == F.col("c_words")
-    own = shared.where(F.col("team") == F.col("c_team"))
-    overlap = _only(own.where(same_first & (F.size(further) > 0)).select("sid", "card"))
-    swapped = _only(own.where(same_words).select("sid", "card"))
-    tiers = [("name_team", name_team), ("name_only", name_only), ("token_overlap", overlap), ("token_set_swap", swapped)]
-    if not league:
-        return _coalesced(spine, tiers)
-    strong = shared.where((same_first & (F.size(long_further) > 0)) | same_words)
-    weak = shared.where(F.size(F.filter("common", lambda w: F.length(w) >= 4)) >= 2)
-    weak = weak.join(strong.select("sid").distinct(), "sid", "left_anti")
-    one = _only(strong.select("sid", "card").unionByName(weak.select("sid", "card")))
-    details = strong.unionByName(weak).select("sid", "card", "grp", "position").distinct()
-    fits = F.array_contains(F.split(tx.mapped(F.col("position"), compatible), " "), F.col("grp"))
-    in_league = one.join(details, ["sid", "card"]).where(fits).select("sid", "card").distinct()
-    return _coalesced(spine, [*tiers, ("league_token", in_league)])
+    # cards are reduced to a row per key before each join, so that a common name or word multiplies no rows
+    of_team = c.groupBy("c_key", "c_team").agg(F.min_by("card", F.struct(-F.col("ord"), "card")).alias("_last"))  # the last card of a name and team
+    of_name = c.groupBy("c_key").agg(F.when(F.min("card") == F.max("card"), F.min("card")).alias("_single")).withColumnRenamed("c_key", "n_key")
+    named = s.join(of_team, (F.col("key") == F.col("c_key")) & (F.col("team") == F.col("c_team")), "left").join(of_name, F.col("key") == F.col("n_key"), "left")
+    named = named.select(*s.columns, F.coalesce("_last", "_single").alias("card"), F.when(F.col("_last").isNotNull(), "name_team").otherwise("name_only").alias("match_source"))
+    groups = sorted({g for v in compatible.values() for g in v.split(" ")})
+    if len(groups) > 63:
+        raise ValueError("positions stand for more than 63 groups")
+    bit = {g: 1 << i for i, g in enumerate(groups)}
+    stands = {p: str(sum(bit[g] for g in set(v.split(" ")))) for p, v in compatible.items()}
+
+    def entries(first: str, words: str, team: str, least: int) -> Column:
+        """The keys under which a name is found; words are letters only, so a key means one thing.
+
+        Whole names take part with ``least`` words besides the first name.
+        """
+        further = F.array_except(F.col(words), F.array(first))
+        long = F.filter(F.col(words), lambda w: F.length(w) >= 4)
+        key = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
+        no = F.array().cast("array<string>")
+        whole = F.when((F.size(words) > 0) & (F.size(further) >= least), F.array(F.array_join(words, " "))).otherwise(no)
+        own = F.concat(F.transform(further, lambda w: key("first", F.col(first), w, F.col(team))), F.transform(whole, lambda w: key("same", w, F.col(team))))
+        lists = [F.when(F.col(team).isNotNull(), own).otherwise(no)]
+        if league:
+            lists.append(F.transform(F.filter(further, lambda w: F.length(w) >= 4), lambda w: key("strong", F.col(first), w)))
+            lists.append(F.transform(whole, lambda w: key("strong", w)))
+            lists.append(F.flatten(F.transform(long, lambda w: F.transform(F.filter(long, lambda v: v > w), lambda v: key("weak", w, v)))))
+        return F.explode(F.concat(*lists))
+
+    mask = F.when(F.col("card").isNotNull(), tx.mapped(F.col("position"), stands).cast("long"))
+    listed = c.select("card", mask.alias("_mask"), entries("c_first", "c_words", "c_team", 0).alias("entry"))
+    listed = listed.groupBy("entry").agg(F.min("card").alias("_lo"), F.max("card").alias("_hi"), F.bit_or("_mask").alias("_mask"))
+    looked = named.where("card IS NULL").select("sid", tx.mapped(F.col("grp"), {g: str(n) for g, n in bit.items()}).cast("long").alias("_bit"), entries("first", "words", "team", 1).alias("entry"))
+    hits = looked.join(listed.hint("merge"), "entry").select("sid", F.substring_index("entry", "|", 1).alias("kind"), "_lo", "_hi", F.coalesce(F.col("_mask").bitwiseAND(F.col("_bit")) != 0, F.lit(False)).alias("_fits"))
+    of = lambda kind, x: F.when(F.col("kind") == kind, F.col(x))
+    kinds = ("first", "same", "strong", "weak")
+    judged = hits.groupBy("sid").agg(*[f(of(k, x)).alias(f"{k}{x}") for k in kinds for f, x in ((F.min, "_lo"), (F.max, "_hi"), (F.max, "_fits"))])
+    one = lambda k: F.when(F.col(f"{k}_lo") == F.col(f"{k}_hi"), F.col(f"{k}_lo"))
+    fit = lambda k: F.when(F.col(f"{k}_fits"), one(k))
+    in_league = F.when(F.col("strong_fits").isNotNull(), fit("strong")).otherwise(fit("weak"))
+    worded = judged.select("sid", one("first").alias("_w0"), one("same").alias("_w1"), in_league.alias("_w2"))
+    labels = ("token_overlap", "token_set_swap", "league_token")
+    by_words = worded.select("sid", F.coalesce("_w0", "_w1", "_w2").alias("card"), F.coalesce(*[F.when(F.col(f"_w{i}").isNotNull(), n) for i, n in enumerate(labels)]).alias("match_source"))
+    found = named.select("sid", "card", "match_source").unionByName(by_words).where("card IS NOT NULL")
+    found = found.select(F.col("sid").alias("_sid"), "card", "match_source")
+    return spine.join(found, F.col("sid") == F.col("_sid"), "left").drop("_sid")
 
 
 def labelled_match(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str], free_agents: str, agrees: Column) -> DataFrame:

@@ -64,6 +64,33 @@ def test_legacy_names_compare_the_league_only_from_ninety_on(spark, monkeypatch)
     assert asked == [(90.0, ["bo stonebridge", "cy longworth"]), (80.0, ["cy longworth"])]
 
 
+def shuffled_rows(spark, df):
+    """Rows that a query writes to shuffles."""
+    jvm, store = spark.sparkContext._jvm, spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        none = spark.sparkContext._gateway.new_array(jvm.double, 0)
+        stages = store.stageList(jvm.java.util.ArrayList(), False, False, none, jvm.java.util.ArrayList())
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = written()
+    df.collect()
+    return written() - before
+
+
+def common_word(spark):
+    """Different first names and one last name: as many pairs share a word as there are rows times cards."""
+    letters = [f"{a}{b}" for a in "abcdefghijklmnopqrst" for b in "abcdefghijklmnopqrst"]
+    return tables(spark, [(i, f"x{n} Stonebridge", "A", "WR") for i, n in enumerate(letters)], [(i, f"y{n} Stonebridge", "A", "WR", i) for i, n in enumerate(letters)])
+
+
+def test_five_tiers_multiply_no_common_word(spark):
+    df = lg.five_tiers(*common_word(spark), {"WR": "WR"})
+    assert shuffled_rows(spark, df) < 20_000
+    assert df.where("card IS NOT NULL").count() == 0
+
+
 def test_labels_of_misses(spark):
     spine, cards = tables(
         spark,
