@@ -91,6 +91,12 @@ def test_five_tiers_multiply_no_common_word(spark):
     assert df.where("card IS NOT NULL").count() == 0
 
 
+def test_four_tiers_multiply_no_common_word(spark):
+    df = lg.five_tiers(*common_word(spark), {"WR": "WR"}, league=False)
+    assert shuffled_rows(spark, df) < 20_000
+    assert df.where("card IS NOT NULL").count() == 0
+
+
 def test_labels_of_misses(spark):
     spine, cards = tables(
         spark,
