@@ -92,52 +92,53 @@ def five_tiers(spine: DataFrame, cards: DataFrame, compatible: Mapping[str, str]
         "card", "ord", F.col("team").alias("c_team"), "position", tx.match_key(F.col("name"), True).alias("c_key"), tx.match_key(F.split(F.trim("name"), r"\s+")[0], True).alias("c_first"), tx.token_set(F.col("name")).alias("c_words")
     )
     s = s.where("key <> ''")
-    # cards are reduced to a row per key before each join, so that a common name or word multiplies no rows
-    of_team = c.groupBy("c_key", "c_team").agg(F.min_by("card", F.struct(-F.col("ord"), "card")).alias("_last"))  # the last card of a name and team
-    of_name = c.groupBy("c_key").agg(F.when(F.min("card") == F.max("card"), F.min("card")).alias("_single")).withColumnRenamed("c_key", "n_key")
-    named = s.join(of_team, (F.col("key") == F.col("c_key")) & (F.col("team") == F.col("c_team")), "left").join(of_name, F.col("key") == F.col("n_key"), "left")
-    named = named.select(*s.columns, F.coalesce("_last", "_single").alias("card"), F.when(F.col("_last").isNotNull(), "name_team").otherwise("name_only").alias("match_source"))
     groups = sorted({g for v in compatible.values() for g in v.split(" ")})
     if len(groups) > 63:
         raise ValueError("positions stand for more than 63 groups")
     bit = {g: 1 << i for i, g in enumerate(groups)}
     stands = {p: str(sum(bit[g] for g in set(v.split(" ")))) for p, v in compatible.items()}
+    kinds = ("team", "name", "first", "same", *(("strong", "weak") if league else ()))
 
-    def entries(first: str, words: str, team: str, least: int) -> Column:
+    def entries(name: str, first: str, words: str, team: str, least: int) -> Column:
         """The keys under which a name is found; words are letters only, so a key means one thing.
 
-        Whole names take part with ``least`` words besides the first name.
+        Whole names take part with ``least`` words besides the first name. Only
+        the kind and 96 bits of hashes of a key are shuffled.
         """
         further = F.array_except(F.col(words), F.array(first))
         long = F.filter(F.col(words), lambda w: F.length(w) >= 4)
-        key = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
         no = F.array().cast("array<string>")
+        own = lambda keys: F.when(F.col(team).isNotNull(), F.transform(keys, lambda k: F.concat_ws("|", k, F.col(team)))).otherwise(no)
+        glued = F.when(F.col(name) != "", F.array(name)).otherwise(no)
         whole = F.when((F.size(words) > 0) & (F.size(further) >= least), F.array(F.array_join(words, " "))).otherwise(no)
-        own = F.concat(F.transform(further, lambda w: key("first", F.col(first), w, F.col(team))), F.transform(whole, lambda w: key("same", w, F.col(team))))
-        lists = [F.when(F.col(team).isNotNull(), own).otherwise(no)]
+        beside = lambda some: F.transform(some, lambda w: F.concat_ws("|", F.col(first), w))
+        lists = {"team": own(glued), "name": glued, "first": own(beside(further)), "same": own(whole)}
         if league:
-            lists.append(F.transform(F.filter(further, lambda w: F.length(w) >= 4), lambda w: key("strong", F.col(first), w)))
-            lists.append(F.transform(whole, lambda w: key("strong", w)))
-            lists.append(F.flatten(F.transform(long, lambda w: F.transform(F.filter(long, lambda v: v > w), lambda v: key("weak", w, v)))))
-        return F.explode(F.concat(*lists))
-
-    mask = F.when(F.col("card").isNotNull(), tx.mapped(F.col("position"), stands).cast("long"))
-    listed = c.select("card", mask.alias("_mask"), entries("c_first", "c_words", "c_team", 0).alias("entry"))
-    listed = listed.groupBy("entry").agg(F.min("card").alias("_lo"), F.max("card").alias("_hi"), F.bit_or("_mask").alias("_mask"))
-    looked = named.where("card IS NULL").select("sid", tx.mapped(F.col("grp"), {g: str(n) for g, n in bit.items()}).cast("long").alias("_bit"), entries("first", "words", "team", 1).alias("entry"))
-    hits = looked.join(listed.hint("merge"), "entry").select("sid", F.substring_index("entry", "|", 1).alias("kind"), "_lo", "_hi", F.coalesce(F.col("_mask").bitwiseAND(F.col("_bit")) != 0, F.lit(False)).alias("_fits"))
-    of = lambda kind, x: F.when(F.col("kind") == kind, F.col(x))
-    kinds = ("first", "same", "strong", "weak")
-    judged = hits.groupBy("sid").agg(*[f(of(k, x)).alias(f"{k}{x}") for k in kinds for f, x in ((F.min, "_lo"), (F.max, "_hi"), (F.max, "_fits"))])
+            lists["strong"] = F.concat(beside(F.filter(further, lambda w: F.length(w) >= 4)), whole)
+            lists["weak"] = F.flatten(F.transform(long, lambda w: F.transform(F.filter(long, lambda v: v > w), lambda v: F.concat_ws("|", w, v))))
+        hashed = lambda n, k: F.struct(F.lit(n).alias("kind"), F.xxhash64(F.lit(n), k).alias("h"), F.hash(F.lit(n), k).alias("g"))
+        return F.explode(F.concat(*[F.transform(lists[k], lambda x: hashed(n, x)) for n, k in enumerate(kinds)]))  # noqa: B023
+
+    # cards are reduced to a row per entry before the one join, so that a common name or word multiplies no rows
+    mask = [F.when(F.col("card").isNotNull(), tx.mapped(F.col("position"), stands).cast("long")).alias("_mask")] if league else []
+    listed = c.select("card", "ord", *mask, entries("c_key", "c_first", "c_words", "c_team", 0).alias("e")).select("card", "ord", *["_mask"] * league, "e.*")
+    of_team, other = F.col("kind") == 0, F.when(F.col("kind") != 0, F.col("card"))
+    last = F.min(F.when(of_team, F.struct(-F.col("ord"), "card")))  # the last card of a name and team
+    listed = listed.groupBy("h", "g").agg(last["card"].alias("_last"), F.min(other).alias("_lo"), F.max(other).alias("_hi"), *[F.bit_or("_mask").alias("_mask")] * league)
+    grp = [tx.mapped(F.col("grp"), {g: str(n) for g, n in bit.items()}).cast("long").alias("_bit")] if league else []
+    looked = s.select("sid", *grp, entries("key", "first", "words", "team", 1).alias("e")).select("sid", *["_bit"] * league, "e.*")
+    fits = F.coalesce(F.col("_mask").bitwiseAND(F.col("_bit")) != 0, F.lit(False)) if league else F.lit(False)
+    hits = looked.join(listed.hint("merge"), ["h", "g"]).select("sid", "kind", F.coalesce("_last", "_lo").alias("_lo"), F.coalesce("_last", "_hi").alias("_hi"), fits.alias("_fits"))
+    aggregates = ((F.min, "_lo"), (F.max, "_hi"), (F.max, "_fits"))
+    of = lambda n, x: F.when(F.col("kind") == n, F.col(x))
+    judged = hits.groupBy("sid").agg(*[f(of(n, x)).alias(f"{k}{x}") for n, k in enumerate(kinds) for f, x in aggregates[: 3 if k in ("strong", "weak") else 2]])
     one = lambda k: F.when(F.col(f"{k}_lo") == F.col(f"{k}_hi"), F.col(f"{k}_lo"))
     fit = lambda k: F.when(F.col(f"{k}_fits"), one(k))
-    in_league = F.when(F.col("strong_fits").isNotNull(), fit("strong")).otherwise(fit("weak"))
-    worded = judged.select("sid", one("first").alias("_w0"), one("same").alias("_w1"), in_league.alias("_w2"))
-    labels = ("token_overlap", "token_set_swap", "league_token")
-    by_words = worded.select("sid", F.coalesce("_w0", "_w1", "_w2").alias("card"), F.coalesce(*[F.when(F.col(f"_w{i}").isNotNull(), n) for i, n in enumerate(labels)]).alias("match_source"))
-    found = named.select("sid", "card", "match_source").unionByName(by_words).where("card IS NOT NULL")
-    found = found.select(F.col("sid").alias("_sid"), "card", "match_source")
-    return spine.join(found, F.col("sid") == F.col("_sid"), "left").drop("_sid")
+    tiers = [("name_team", one("team")), ("name_only", one("name")), ("token_overlap", one("first")), ("token_set_swap", one("same"))]
+    if league:
+        tiers.append(("league_token", F.when(F.col("strong_fits").isNotNull(), fit("strong")).otherwise(fit("weak"))))
+    found = judged.select(F.col("sid").alias("_sid"), F.coalesce(*[card for _, card in tiers]).alias("card"), F.coalesce(*[F.when(card.isNotNull(), n) for n, card in tiers]).alias("match_source"))
+    return spine.join(found.where("card IS NOT NULL"), F.col("sid") == F.col("_sid"), "left").drop("_sid")
 
 
 def labelled_match(spine: DataFrame, cards: DataFrame, aliases: Mapping[str, str], free_agents: str, agrees: Column) -> DataFrame:

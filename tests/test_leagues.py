@@ -97,6 +97,28 @@ def test_four_tiers_multiply_no_common_word(spark):
     assert df.where("card IS NOT NULL").count() == 0
 
 
+def test_four_tiers_shuffle_cards_and_names_once(spark, tmp_path):
+    """Cards that are made by an exchange are made once, and names are shuffled as hashes; every tenth row has a card."""
+    n, letters = 20_000, lambda x: F.translate(F.abs(F.xxhash64(x)).cast("string"), "0123456789", "abcdefghij")
+    name = lambda x: F.concat(letters(x), F.lit(" "), letters(-x - 1))
+    numbered = spark.range(n).select("id", name(F.col("id")).alias("name"), name(F.when(F.col("id") % 10 == 0, F.col("id")).otherwise(F.col("id") + n)).alias("other"))
+    numbered.write.parquet(f"{tmp_path}/names")
+    numbered = spark.read.parquet(f"{tmp_path}/names")
+    spine = numbered.select(F.col("id").alias("sid"), "name", F.lit("Stonefall Miners").alias("team"), F.lit("WR").alias("grp"))
+    cards = numbered.select(F.col("id").alias("card"), F.col("other").alias("name"), F.lit("Stonefall Miners").alias("team"), F.lit("WR").alias("position"), F.col("id").alias("ord"))
+    before = shuffle_bytes(spark)
+    assert lg.five_tiers(spine, rel.keep_last(cards, ["name"], ["ord"]), {"WR": "WR"}, league=False).where("card = sid AND match_source = 'name_team'").count() == n / 10
+    assert shuffle_bytes(spark) - before < 300 * n
+
+
+def shuffle_bytes(spark):
+    """Bytes that the session has written to shuffles."""
+    jvm, store = spark.sparkContext._jvm, spark.sparkContext._jsc.sc().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
 def test_labels_of_misses(spark):
     spine, cards = tables(
         spark,
