@@ -2,14 +2,18 @@
 
 import itertools
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridloom.llm import names as nm
-from gridloom.llm import people
+from gridloom.llm import people, variants
 from gridloom.llm.components import components
 from gridloom.llm.variants import attribute_worth, name_worth
+from gridloom.session import cut_lineage
 from tests.conftest import rows
+from tests.test_leagues import shuffle_bytes
 
 
 def full_distance(a, b):
@@ -200,3 +204,34 @@ def test_agreeing_match_rows_link_without_a_common_index_entry(spark):
         (4, "e", "Decoby Drayelley", None, "WR", 9, None, "5-9", 180, None, "x"),
     ]
     assert rows(people.match_pairs(spark.createDataFrame(data, MATCH))) == [(0, 1), (3, 4)]
+
+
+def some_charts(spark):
+    """Twenty charts of sixty different names; every tenth name is typed with a slip as well."""
+    letters = lambda x: "".join("abcdefghij"[int(d)] for d in str(x))
+    named = [(d, f"{letters(7919 * (d * 60 + i) ** 2 + 10**8)} {letters(104729 * (d * 60 + i + 1) ** 2 + 10**8)}", i) for d in range(20) for i in range(60)]
+    slips = [(d, name[:-1], i) for d, name, i in named if i % 10 == 0]
+    return chart(spark, *[(d, name, f"{i:02}/1", i, None, 60 + i % 30, 20 + i % 15, i) for d, name, i in named + slips])
+
+
+def test_charts_meet_as_a_whole_as_they_do_in_the_index(spark, monkeypatch):
+    data = some_charts(spark)
+    expected = [(d * 60 + i, 1200 + d * 6 + i // 10) for d in range(20) for i in range(0, 60, 10)]
+    before = shuffle_bytes(spark)
+    assert rows(people.chart_pairs(data)) == sorted(expected, key=lambda r: [(True, str(v)) for v in r])
+    whole = shuffle_bytes(spark) - before
+    assert whole < 900 * data.count()
+    monkeypatch.setattr(variants, "WHOLE_BLOCK", 0, raising=False)
+    assert rows(people.chart_pairs(data)) == sorted(expected, key=lambda r: [(True, str(v)) for v in r])
+
+
+def test_shuffle_files_are_gone_after_a_checkpoint(spark):
+    files = lambda: sum(1 for f in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if f.endswith(".data"))
+    before = files()
+    kept = cut_lineage(spark.range(10_000).repartition(4, "id").withColumn("x", F.col("id") * 2).repartition(4, "x"))
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.2)
+    assert files() <= before
+    assert kept.agg(F.sum("x")).first()[0] == 9_999 * 10_000
