@@ -23,6 +23,7 @@ Defined results
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from gridloom.llm import names as nm
 from gridloom.llm.assignment import assign
-from gridloom.llm.neighbourhood import sorted_neighbourhood
+from gridloom.llm.neighbourhood import Screen, sorted_neighbourhood
 from gridloom.llm.people import entity_of, hashed, inches
 from gridloom.llm.survivors import UNKNOWN
 from gridloom.llm.variants import NAME_WORTH, name_worth, with_name_key
@@ -178,6 +179,42 @@ def _looked_up(a: np.ndarray, b: np.ndarray, judge) -> np.ndarray:
     return np.array([judge(int(p) >> 32, int(p) & 0xFFFFFFFF) for p in distinct], dtype="float64")[place]
 
 
+def _screen(rows: pd.DataFrame) -> Screen:
+    """Lets all pairs pass whose measures leave the threshold within reach of the other fields.
+
+    It sees every pair, so it counts in halves in the smallest integers, rounded in favour of the pair.
+    """
+
+    def measure(*columns: str) -> tuple[np.ndarray, ...]:
+        values = [rows[c].to_numpy(dtype="float64", na_value=np.nan) for c in columns]
+        known = ~np.isnan(values).any(axis=0)
+        return known.astype("int8"), *(np.clip(np.where(known, v, 0), -9999, 9999).astype("int16") for v in values)
+
+    jersey, height = measure("jersey"), measure("height")
+    weight, age = measure("weight_low", "weight_high"), measure("age_low", "age_high")
+    least = math.floor(2 * (THRESHOLD - sum(most for _, most, _ in _FURTHER)))
+    counted = {f: (np.int8(math.ceil(2 * won) - math.ceil(2 * lost)), np.int8(math.ceil(2 * lost))) for f, (won, lost) in WORTH.items()}
+
+    def worth(field: str, same: np.ndarray, known: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        step, lost = counted[field]
+        total = same.view("int8") * step
+        total += lost
+        total *= known[x]
+        total *= known[y]
+        return total
+
+    def hopeful(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        total = worth("jersey", jersey[1][x] == jersey[1][y], jersey[0], x, y)
+        total += worth("height", height[1][x] == height[1][y], height[0], x, y)
+        for field, (known, low, high), near in (("weight", weight, WEIGHT_NEAR), ("age", age, AGE_NEAR)):
+            close = low[x] <= high[y] + np.int16(near)
+            close &= low[y] <= high[x] + np.int16(near)
+            total += worth(field, close, known, x, y)
+        return total >= least
+
+    return hopeful
+
+
 def _compare(rows: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     """Scores of the pairs of rows that reach the threshold; of two rows one is of side 0 and one of side 1."""
     empty = pd.DataFrame({"l": np.zeros(0, "int64"), "r": np.zeros(0, "int64"), "score": np.zeros(0)})
@@ -204,6 +241,10 @@ def _compare(rows: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
         hopeful = total + left_to_win >= THRESHOLD
         left_to_win -= most
         i, j, total = i[hopeful], j[hopeful], total[hopeful]
+        if field == "colleges" and len(i):  # takes longer than a look at the names
+            used, place = np.unique(np.concatenate([i, j]), return_inverse=True)
+            hopeful = _name_screen(rows["name_key"].to_numpy()[used])(place[: len(i)], place[len(i) :], total + most >= OTHER_EVIDENCE)
+            i, j, total = i[hopeful], j[hopeful], total[hopeful]
         if not len(i):
             return empty
         codes, values = _codes(rows[field].to_numpy())
@@ -218,9 +259,118 @@ def _compare(rows: pd.DataFrame, x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"l": entity[i[good]], "r": entity[j[good]], "score": total[good]}).groupby(["l", "r"], as_index=False)["score"].max()
 
 
+#: Caches of a process; what they forget is computed again.
+_TOKENS: dict[str, tuple[tuple[str, ...], str]] = {}
+_LETTERS: dict[str, tuple[int, ...]] = {}
+_TOLD: dict[str, tuple[tuple[int, ...], ...]] = {}
+_MOST_CACHED = 100_000
+#: Tokens of a name that ``_name_screen`` takes in, and pairs that it takes at once.
+_SCREENED_TOKENS, _SCREENED_PAIRS = 3, 20_000
+
+
+def _tokens(name: str) -> tuple[tuple[str, ...], str]:
+    if name not in _TOKENS:
+        if len(_TOKENS) > _MOST_CACHED:
+            _TOKENS.clear()
+        words = name.split()
+        plain = name.isascii() and name.islower() and all(map(str.isalpha, words)) and nm.PARTICLES.isdisjoint(words) and nm.SUFFIXES.keys().isdisjoint(words)
+        _TOKENS[name] = (tuple(words), "") if plain else nm.tokens(name)
+    return _TOKENS[name]
+
+
+def _bits(text: str | list[str], size: int = 63) -> int:
+    found = 0
+    for c in text:
+        found |= 1 << (ord(c) & size)
+    return found
+
+
+def _letters(token: str) -> tuple[int, ...]:
+    """Length of a token and, as bits: its letters, those of its sound, those of the names that it is short for, its first and last letter, its initials."""
+    if token not in _LETTERS:
+        if len(_LETTERS) > _MOST_CACHED:
+            _LETTERS.clear()
+        full, short = nm.FULL_NAMES.get(token, ()), nm.NICKNAMES.get(token, "").split()
+        ends = _bits(token[:1], 31) | _bits(token[-1:], 31) << 32
+        initials = _bits([t[0] for t in (token, *full, *short) if t])
+        _LETTERS[token] = (min(len(token), 99), _bits(token), _bits(nm.sound(token)), _bits("".join(full)), ends, initials)
+    return _LETTERS[token]
+
+
+def _told(name: str) -> tuple[tuple[int, ...], ...]:
+    """``_letters`` of the tokens of a name, at fixed places; of none for a name of more tokens."""
+    if name not in _TOLD:
+        if len(_TOLD) > _MOST_CACHED:
+            _TOLD.clear()
+        core, most = _tokens(name)[0], _SCREENED_TOKENS
+        _TOLD[name] = tuple(map(_letters, [*core, *[""] * (most - len(core))] if len(core) <= most else [""] * most))
+    return _TOLD[name]
+
+
+def _may_agree(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """False only for tokens that ``names.token_kind`` calls nothing; the last axis is that of ``_letters``.
+
+    An edit takes one letter out of a token at most, and puts one into it; a short form has no letter, or after a slip one, that the
+    token or the token's full names lack.
+    """
+    (length, plain, heard, full, ends, initials), (length_, plain_, heard_, full_, ends_, initials_) = np.moveaxis(a, -1, 0), np.moveaxis(b, -1, 0)
+    more, more_ = np.bitwise_count(plain & ~plain_), np.bitwise_count(plain_ & ~plain)
+    least, most = np.minimum(length, length_), np.maximum(length, length_)
+    edited = (most - least <= 2) & (np.maximum(more, more_) <= np.where(least >= 6, 2, 1))
+    sounds = (least >= 5) & (np.bitwise_count(heard & ~heard_) <= 1) & (np.bitwise_count(heard_ & ~heard) <= 1)
+    lacks = np.where(length < length_, more, more_)
+    short = (least < most) & ((lacks == 0) & (ends & ends_ != 0) | (lacks <= 1) & (least <= 4) & (most > 4))
+    named = (full != 0) & (np.bitwise_count(plain_ & ~full) <= 1) | (full_ != 0) & (np.bitwise_count(plain & ~full_) <= 1)
+    initial = (most <= 3) | (initials & initials_ != 0)
+    return (least > 0) & np.where(least <= 2, initial, edited | sounds | short | named)
+
+
+def _name_screen(names: np.ndarray):
+    """Drops pairs of places of names that ``name_worth`` refuses, as far as the letters of their tokens tell.
+
+    Every token of weight needs a partner, where ``strong`` is set one of all does. Of two names of two tokens of weight both are paired;
+    else neighbouring tokens may be written together as well.
+    """
+    codes, distinct = _codes(names)
+    told = np.array([_told(n) for n in distinct], dtype="uint64")
+    written = np.zeros((len(told), _SCREENED_TOKENS - 1, 6), dtype="uint64")  # of neighbouring tokens as one
+    tokens, sizes = slice(0, _SCREENED_TOKENS), told[:, :, 0]
+    two, screened = (sizes[:, 1] > 0) & (sizes[:, 2] == 0) & (sizes[:, :2] > 1).all(axis=1), sizes[:, 0] > 0
+
+    def covered(may: np.ndarray, size: np.ndarray) -> np.ndarray:
+        own = may[:, tokens].any(axis=2)
+        joined = may[:, _SCREENED_TOKENS :, tokens].any(axis=2)
+        own[:, :-1] |= joined
+        own[:, 1:] |= joined
+        return (own | (size <= 1)).all(axis=1)
+
+    def some(i: np.ndarray, j: np.ndarray, strong: np.ndarray) -> np.ndarray:
+        ok = np.ones(len(i), dtype=bool)
+        both = two[i] & two[j]
+        may = _may_agree(told[i[both], :2][:, :, None], told[j[both], :2][:, None])
+        ok[both] = may[:, 0, 0] & may[:, 1, 1] | may[:, 0, 1] & may[:, 1, 0] | strong[both] & may.any(axis=(1, 2))
+        rest = ~both & screened[i] & screened[j]
+        a, b = (np.concatenate([told[k[rest]], written[k[rest]]], axis=1) for k in (i, j))
+        may = _may_agree(a[:, :, None], b[:, None])
+        ok[rest] = covered(may, sizes[i[rest]]) & covered(may.swapaxes(1, 2), sizes[j[rest]]) | strong[rest] & may.any(axis=(1, 2))
+        return ok
+
+    def hopeful(i: np.ndarray, j: np.ndarray, strong: np.ndarray) -> np.ndarray:
+        i, j = codes[i], codes[j]
+        rest = ~(two[i] & two[j])
+        for k in np.unique(np.concatenate([i[rest], j[rest]])):
+            core = _tokens(distinct[k])[0] if screened[k] else ()
+            for t, pair in enumerate(itertools.pairwise(core)):
+                written[k, t] = _letters("".join(pair))
+        parts = [slice(at, at + _SCREENED_PAIRS) for at in range(0, len(i), _SCREENED_PAIRS)]
+        return np.concatenate([some(i[p], j[p], strong[p]) for p in parts]) if parts else np.zeros(0, dtype=bool)
+
+    return hopeful
+
+
 def _name_worth(others: int):
     def judge(a: str, b: str) -> float:
-        found = name_worth(nm.tokens(a), nm.tokens(b), others)
+        found = name_worth(_tokens(a), _tokens(b), others)
         return -np.inf if found is None else found
 
     return judge
@@ -239,8 +389,8 @@ _FURTHER = (
 
 def scored_pairs(records: DataFrame, window: int = WINDOW) -> DataFrame:
     """(l, r, score): entity of the match rows, entity of the roster, best total weight of their records."""
-    keyed = with_key_token(records).withColumn("passes", sort_keys()).drop("token", "rest")
-    scored = sorted_neighbourhood(keyed, "passes", _compare, "l long, r long, score double", window, "entity")
+    keyed = cut_lineage(with_key_token(records)).withColumn("passes", sort_keys()).drop("token", "rest")
+    scored = sorted_neighbourhood(keyed, "passes", _compare, "l long, r long, score double", window, "entity", _screen)
     return scored.groupBy("l", "r").agg(F.max("score").alias("score"))
 
 

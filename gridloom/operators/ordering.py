@@ -12,14 +12,16 @@ def _column(c: str | Column) -> Column:
     return F.col(c).asc_nulls_last() if isinstance(c, str) else c
 
 
-def ranked(df: DataFrame, *order: str | Column) -> DataFrame:
+def ranked(df: DataFrame, *order: str | Column, without: tuple[str, ...] = ()) -> DataFrame:
     """``df`` with ``rank``: the row's place in the global order, from 0; names sort ascending with nulls last.
 
+    Columns ``without`` take part in the order only.
+
     The sorted rows are written to the checkpoint folder first, so a lost
     executor can't give a row another rank. An empty table stays empty.
     """
     keys = [_column(c) for c in order]
-    placed = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_place", F.monotonically_increasing_id()))
+    placed = cut_lineage(df.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*without).withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", 33)
     sizes = sorted((row["p"], row["n"]) for row in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
     starts, total = [], 0

@@ -4,13 +4,16 @@ import datetime as dt
 import itertools
 import random
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from gridloom.llm import assignment as asg
 from gridloom.llm import matching as mt
+from gridloom.llm import names as nm
 from gridloom.llm import neighbourhood as nb
+from gridloom.llm.variants import name_worth
 from gridloom.operators.ordering import ranked
 from tests.conftest import rows
 
@@ -127,3 +130,66 @@ def test_empty_sides(spark, tables):
 def test_college_keys(spark):
     df = spark.createDataFrame([(c,) for c in ("University of Alder College", "U. Zephyr Falls Tech", "Talmere St.", "Orrin A and M", "Orrin A&M", "n/a", None)], "c string")
     assert [r[0] for r in df.select(mt.college_key(mt.known_text(F.col("c")))).collect()] == ["alder college", "zephyr falls tech", "talmere state", "orrin am", "orrin am", None, None]
+
+
+def slipped(r: random.Random, name: str) -> str:
+    """The name with a slip, a token shortened, a token to spare, two written together or another token."""
+    core = name.split()
+    k = r.randrange(len(core))
+    way = r.randrange(6)
+    if way == 0 and len(core) > 1:
+        core = ["".join(core[:2]), *core[2:]]
+    elif way == 1:
+        core.append(r.choice("abcdefgh"))
+    elif way == 2:
+        core[k] = core[k][: r.randrange(1, 4)]
+    elif way == 3:
+        core[k] = r.choice(sorted(nm.FULL_NAMES))
+    for _ in range(r.randrange(3)):
+        k = r.randrange(len(core))
+        i = r.randrange(len(core[k]))
+        core[k] = core[k][:i] + r.choice("aeinrst") + core[k][i + r.randrange(2) :]
+    return nm.name_key(" ".join(core))
+
+
+def made_names(r: random.Random, n: int) -> list[str]:
+    parts = "ka lo mi ren tas vel dor qui sha phi zen bur".split()
+    first = sorted(nm.NICKNAMES)
+    return [nm.name_key(f"{r.choice(first)} {''.join(r.choices(parts, k=3))}{r.choice(['', '', ' ii', ' b.'])}") for _ in range(n)]
+
+
+def test_the_look_at_the_letters_drops_no_names_that_are_accepted():
+    r = random.Random(11)
+    a = made_names(r, 6000)
+    b = [slipped(r, x) for x in a]
+    n = len(a)
+    hopeful = mt._name_screen(np.array(a + b, dtype=object))
+    i = np.arange(n)
+    for strong, others in ((False, 0), (True, 1)):
+        accepted = np.array([name_worth(nm.tokens(x), nm.tokens(y), others) is not None for x, y in zip(a, b, strict=True)])
+        kept = hopeful(i, n + i, np.full(n, strong))
+        assert accepted.sum() > 2000 and not (accepted & ~kept).any()
+    assert hopeful(i, np.roll(n + i, 1), np.zeros(n, dtype=bool)).mean() < 0.2
+
+
+def test_a_long_run_hands_on_only_the_pairs_whose_measures_leave_hope():
+    r = random.Random(12)
+    n = 1500
+    names = made_names(r, n // 2)
+    names += [slipped(r, x) for x in names]
+    of = lambda values, none: [None if r.random() < none else r.choice(values) for _ in range(n)]
+    rows = pd.DataFrame({
+        "entity": range(n), "side": [i * 2 // n for i in range(n)], "name_key": names, "pass": 0, "run": 5, "jersey": of(range(100), 0.1), "height": of(range(68, 79), 0.1),
+        "weight_low": of(range(180, 320), 0.1), "age_low": of(range(21, 37), 0.1), "positions": "QB", "colleges": of(["", "alder", "orrin state"], 0.0), "teams": "SF",
+    })
+    rows.loc[n // 2 :, ["jersey", "height", "age_low"]] = rows.loc[: n // 2 - 1, ["jersey", "height", "age_low"]].to_numpy()
+    rows = rows.assign(weight_high=rows["weight_low"], age_high=rows["age_low"]).sample(frac=1, random_state=1).reset_index(drop=True)
+    rank, run, number, side = np.arange(n), *(rows[c].to_numpy() for c in ("run", "pass", "side"))
+    pairs = lambda screen, split: [np.concatenate(z) for z in zip(*nb.neighbour_pairs(rank, run, number, side, 20, split, screen), strict=True)]
+    for split, cross in ((0, (n // 2) ** 2), (700, None)):
+        every, few = pairs(lambda x, y: True, split), pairs(mt._screen(rows), split)
+        assert len({*zip(*every, strict=True)}) == len(every[0]) and (cross is None or len(every[0]) == cross)
+        assert len(few[0]) < 0.1 * len(every[0])
+        found = mt._compare(rows, *every)
+        assert len(found) > 50
+        pd.testing.assert_frame_equal(found, mt._compare(rows, *few))
